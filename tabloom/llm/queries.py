@@ -49,13 +49,74 @@ def op10_bpe_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_roundtrip(_documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
+def op5_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import functions as F
+
+    from .mixing import mix
+
+    return mix(_documents(spark, sf_dir)).withColumn("position", F.round("position", 9))
+
+
+OP5_SQL = r"""
+WITH d AS (
+  SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size,
+         md5(coalesce(doc_id::VARCHAR, '')) AS h FROM documents),
+s AS (SELECT source, sum(size)::BIGINT AS source_size FROM d GROUP BY source),
+r AS (SELECT *, row_number() OVER (ORDER BY source IS NULL, source) - 1 AS k, sum(source_size) OVER () AS total FROM s),
+w AS (SELECT *, [5, 2, 1][(k % 3 + 1)::INT] AS weight, [-0.5, 0.0, 0.5][(k % 3 + 1)::INT]::DOUBLE AS slope FROM r),
+o AS (
+  SELECT *, row_number() OVER (ORDER BY 2.0 * source_size / weight, k) AS place, coalesce(sum(2 * source_size) OVER before, 0) AS held, sum(weight) OVER () - coalesce(sum(weight) OVER before, 0) AS rest
+  FROM w WINDOW before AS (ORDER BY 2.0 * source_size / weight, k ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+l AS (SELECT *, (1.5::DOUBLE * total - held) / rest AS level FROM o),
+t AS (
+  SELECT *, CASE WHEN 2 * source_size <= weight * level THEN (2 * source_size)::DOUBLE
+            ELSE weight * (SELECT arg_min(level, place) FROM l WHERE 2 * source_size > weight * level) END AS target FROM l),
+c AS (
+  SELECT d.doc_id, d.size, t.source_size, t.target, t.slope, floor(t.target + 0.5)::BIGINT AS goal,
+         coalesce(sum(d.size) OVER (PARTITION BY d.source ORDER BY d.h, d.doc_id, d.size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS done_
+  FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source),
+k AS (SELECT *, greatest(0, least(size, goal - done_)) AS one, greatest(0, least(size, goal - source_size - done_)) AS two FROM c)
+SELECT doc_id, size, source_size, target, (one + two)::BIGINT AS taken, ((one > 0)::INT + (two > 0)::INT)::INT AS passes,
+       CASE WHEN one + two > 0 THEN round(CASE WHEN slope = 0 THEN done_ / target
+            ELSE (sqrt((1 - slope) * (1 - slope) + 4 * slope * (done_ / target)) - (1 - slope)) / (2 * slope) END, 9) + 0.0 END AS position
+FROM k
+"""
+
+
+def op6_mpeg_audio(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .mpeg_audio import mpeg_column
+
+    return mpeg_column(_documents(spark, sf_dir))
+
+
+def op7_shard_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import functions as F
+
+    from .sharding import shard_by_bytes
+
+    out = shard_by_bytes(_documents(spark, sf_dir), 16)
+    return out.withColumn("law", F.lit("bytes")).withColumn("grown_shard", F.lit(None).cast("int"))
+
+
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .toxicity import fit, score_documents
+
+    docs = _documents(spark, sf_dir)
+    return score_documents(docs, fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))
+
+
 QUERIES: dict[str, Query] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op3_token_counts": op3_token_counts,
     "op4_secret_spans": op4_secret_spans,
+    "op5_source_mix": op5_source_mix,
+    "op6_mpeg_audio": op6_mpeg_audio,
+    "op7_shard_bytes": op7_shard_bytes,
+    "op8_toxicity": op8_toxicity,
     "op10_bpe_roundtrip": op10_bpe_roundtrip,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op1_exact_dedup": OP1_SQL,
+    "op5_source_mix": OP5_SQL,
 }
