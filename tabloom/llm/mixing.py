@@ -66,12 +66,12 @@ def source_targets(sizes: DataFrame, weights=WEIGHTS, budget: float = 1.5, most:
 
 
 def mix(docs: DataFrame, text: str = "text", ident: str = "doc_id", source: str = "source", weights=WEIGHTS, slopes=SLOPES, budget: float = 1.5, most: int = 2) -> DataFrame:
-    """One row for each input row: identifier, size, source_size, target, taken, passes, position.
+    """One row for each input row: identifier, size, source_size, target, taken, passes, position, positions.
 
     size: words of the text (null: 0). taken: words the mix takes of the document, repeats
     counted, at most `most` times its size; a source's taken words add up to its target, rounded.
     passes: how often the document is begun. position: training time in 0..1 of its first word
-    (null when none is taken). The order within a source is that of md5(identifier), then the
+    (null when none is taken), positions that of each pass. The order within a source is that of md5(identifier), then the
     identifier, then the size; rows equal in all three are interchangeable. Null is a source of
     its own, and comes last. An empty table gives an empty result. The rows come range-sorted by position.
     """
@@ -101,14 +101,31 @@ def mix(docs: DataFrame, text: str = "text", ident: str = "doc_id", source: str
         return F.greatest(F.lit(0), F.least(F.col("size"), F.col("_mx_goal") - k * F.col("source_size") - F.col("_mx_at")))
 
     slope = F.element_at(F.array(*map(F.lit, slopes)), (F.col("_mx_rank") % len(slopes)).cast("int") + 1)
-    share = F.try_divide(F.col("_mx_at"), F.col("target"))  # of the source's demand, before this document
-    root = F.sqrt((1 - slope) * (1 - slope) + 4 * slope * share)
-    position = F.when(F.abs(slope) < 1e-9, share).otherwise((root - (1 - slope)) / (2 * slope)) + 0.0  # not -0
+
+    def due(k: int):
+        """Training time at which the document's words of pass k begin."""
+        share = F.try_divide(F.col("_mx_at") + k * F.col("source_size") if k else F.col("_mx_at"), F.col("target"))
+        root = F.sqrt((1 - slope) * (1 - slope) + 4 * slope * share)
+        return F.when(F.abs(slope) < 1e-9, share).otherwise((root - (1 - slope)) / (2 * slope)) + 0.0  # not -0
     rows = rows.withColumns({
         "taken": sum((taken(k) for k in range(1, most)), taken(0)).cast("long"),
         "passes": sum(((taken(k) > 0).cast("int") for k in range(1, most)), (taken(0) > 0).cast("int")),
     })
-    rows = rows.withColumn("position", F.when(F.col("taken") > 0, position))
+    rows = rows.withColumn("position", F.when(taken(0) > 0, due(0)))
+    rows = rows.withColumn("positions", F.array_compact(F.array(*[F.when(taken(k) > 0, due(k)) for k in range(most)])))
     rows = rows.repartitionByRange(shuffle_partitions(docs.sparkSession), F.col("position").asc_nulls_last(), "_mx_ident")
     rows = rows.sortWithinPartitions(F.col("position").asc_nulls_last(), "_mx_ident")
-    return rows.select(F.col("_mx_ident").alias(ident), F.col("size").cast("long"), F.col("source_size").cast("long"), "target", "taken", "passes", "position")
+    return rows.select(F.col("_mx_ident").alias(ident), F.col("size").cast("long"), F.col("source_size").cast("long"), "target", "taken", "passes", "position", "positions")
+
+
+def mixed_documents(docs: DataFrame, text: str = "text", ident: str = "doc_id", source: str = "source", **options) -> DataFrame:
+    """The mix itself: the input's columns, a row for each pass of a document, range-sorted by training position.
+
+    Documents the mix takes no word of go. Texts stay whole, the last one of a source too. Rows
+    that share an identifier get the passes of the one taken most; a null identifier is one like any other.
+    """
+    plan = mix(docs, text, ident, source, **options).where("passes > 0")
+    plan = plan.groupBy(F.col(ident).alias("_mx_id")).agg(F.max(F.struct("passes", "positions"))["positions"].alias("_mx_positions"))
+    rows = docs.join(plan, docs[ident].eqNullSafe(plan["_mx_id"])).withColumn("_mx_position", F.explode("_mx_positions"))
+    rows = rows.repartitionByRange(shuffle_partitions(docs.sparkSession), "_mx_position", "_mx_id").sortWithinPartitions("_mx_position", "_mx_id")
+    return rows.select(*docs.columns)

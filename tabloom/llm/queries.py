@@ -27,6 +27,29 @@ FROM d
 """
 
 
+def op2_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .near_dedup import near_dedup
+
+    return near_dedup(_documents(spark, sf_dir))
+
+
+OP2_SQL = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS words FROM documents),
+s AS (
+  SELECT DISTINCT doc_id, shingle FROM (
+    SELECT doc_id, unnest(CASE WHEN len(words) >= 3 THEN [array_to_string(words[i:i + 2], ' ') for i in range(1, len(words) - 1)]
+                               WHEN len(words) > 0 THEN [array_to_string(words, ' ')] ELSE [] END) AS shingle FROM w)),
+n AS (SELECT doc_id, count(*) AS size FROM s GROUP BY doc_id),
+p AS (SELECT a.doc_id AS u, b.doc_id AS v, count(*) AS inter FROM s a JOIN s b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id GROUP BY ALL),
+e AS (SELECT u, v FROM p JOIN n a ON a.doc_id = u JOIN n b ON b.doc_id = v WHERE 100 * inter >= 85 * (a.size + b.size - inter)),
+r AS (SELECT doc_id AS u, doc_id AS c FROM documents UNION SELECT e.v, r.c FROM r JOIN e ON r.u = e.u),
+m AS (SELECT u, min(c) AS c FROM r GROUP BY u)
+SELECT d.doc_id, coalesce(n.size, 0)::BIGINT AS n_shingles, m.c AS component_id, m.c = d.doc_id AS kept
+FROM documents d JOIN m ON m.u = d.doc_id LEFT JOIN n ON n.doc_id = d.doc_id
+"""
+
+
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -54,7 +77,7 @@ def op5_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     from .mixing import mix
 
-    return mix(_documents(spark, sf_dir)).withColumn("position", F.round("position", 9))
+    return mix(_documents(spark, sf_dir)).withColumn("position", F.round("position", 9)).drop("positions")
 
 
 OP5_SQL = r"""
@@ -107,6 +130,7 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_exact_dedup": op1_exact_dedup,
+    "op2_near_dedup": op2_near_dedup,
     "op3_token_counts": op3_token_counts,
     "op4_secret_spans": op4_secret_spans,
     "op5_source_mix": op5_source_mix,
@@ -118,5 +142,6 @@ QUERIES: dict[str, Query] = {
 
 ORACLE_SQL: dict[str, str] = {
     "op1_exact_dedup": OP1_SQL,
+    "op2_near_dedup": OP2_SQL,
     "op5_source_mix": OP5_SQL,
 }
