@@ -64,6 +64,12 @@ def op4_secret_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_spans(_documents(spark, sf_dir))
 
 
+def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .suffix_dedup import suffix_dedup
+
+    return suffix_dedup(_documents(spark, sf_dir))
+
+
 def op10_bpe_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -137,6 +143,7 @@ QUERIES: dict[str, Query] = {
     "op6_mpeg_audio": op6_mpeg_audio,
     "op7_shard_bytes": op7_shard_bytes,
     "op8_toxicity": op8_toxicity,
+    "op9_suffix_dedup": op9_suffix_dedup,
     "op10_bpe_roundtrip": op10_bpe_roundtrip,
 }
 
