@@ -11,7 +11,7 @@ from ..functions.tokens import STRING_NULLS
 from .infer import Schema
 
 SPARK_TYPES: dict[str, str] = {
-    "INTEGER": "bigint", "INT64": "bigint", "FLOAT": "double", "FLOAT64": "double", "NUMERIC": "decimal(38,9)",
+    "INTEGER": "long", "INT64": "long", "FLOAT": "double", "FLOAT64": "double", "NUMERIC": "decimal(38,9)",
     "BIGNUMERIC": "decimal(38,18)", "BOOLEAN": "boolean", "BOOL": "boolean", "TIMESTAMP": "timestamp",
     "DATETIME": "timestamp_ntz", "DATE": "date", "TIME": "string", "STRING": "string", "JSON": "string",
     "BYTES": "string", "GEOGRAPHY": "string", "INTERVAL": "string",
