@@ -19,16 +19,15 @@ import re
 from collections.abc import Iterator
 from functools import lru_cache
 from heapq import heappush
-from itertools import islice
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-#: Pieces whose ids a worker remembers from batch to batch, and the longest such piece in characters.
-CACHE_PIECES, CACHE_CHARS = 300_000, 9
+#: Pieces whose ids a worker remembers from batch to batch (about), and the longest such piece in characters.
+CACHE_PIECES, CACHE_CHARS = 200_000, 8
 #: Characters of text whose pieces are held at once, and fewest pre-tokens that share a queue.
-GROUP_CHARS, FEW = 24 << 20, 256
+GROUP_CHARS, FEW = 4 << 20, 256
 
 
 class RankQueue:
@@ -262,8 +261,11 @@ def merge_many(tokens: list[bytes], ranks: dict[bytes, int], pairs: PairTable) -
 #: Where a text may be cut before it is split by the pattern: a space between two characters that
 #: are neither white space nor control characters. No match of the pattern runs across it.
 _CUT = re.compile(r"(?<=[^\s\x00-\x20\x7f-\xa0]) (?=[^\s\x00-\x20\x7f-\xa0])")
-#: White space or controls next to a space: then not every space is such a place.
-_UNEVEN = re.compile(r"[\s\x00-\x20\x7f-\xa0] | [\s\x00-\x20\x7f-\xa0]|^ | $")
+#: Characters next to which a space may be no such place, but for the line feed.
+_ODD = re.compile("[\x00-\x09\x0b-\x1f\x7f-\xa0\u1680\u2000-\u200f\u2028\u2029\u202f\u205f\u3000]")
+
+#: Number of ids, the ids joined by spaces, the bytes they decode to.
+Entry = tuple[int, str, bytes]
 
 
 class Codec:
@@ -275,66 +277,87 @@ class Codec:
         with open(path, "rb") as f:
             self.ranks = {base64.b64decode(a): int(b) for a, b in (line.split() for line in f if line.strip())}
         self.tokens = {v: k for k, v in self.ranks.items()}
+        self.names = {v: str(v) for v in self.tokens}
         self.split = regex.compile(pattern).findall
         self.cut = pattern == _default_pattern()
         self.pairs = PairTable(self.ranks)
-        self.pieces: dict[str, tuple[int, str, bytes]] = {}
+        self.pieces: dict[str, Entry] = {}  # each stands for itself with a space before it
 
     def encode(self, text: str) -> list[int]:
-        return [int(x) for row in self.each([text], self.learn([text])) for _, ids, _ in row for x in ids.split()]
+        return [int(x) for row in self.encoded([text]) for _, ids, _ in row for x in ids.split()]
 
     def parts(self, text: str) -> list[str]:
         """Pieces of text that are split on their own; all but the first lack the space they begin with."""
-        if not text:
-            return []
         if not self.cut:
             return [text]
-        return _CUT.split(text) if _UNEVEN.search(text) else text.split(" ")
+        if "  " in text or " \n" in text or "\n " in text or text[:1] == " " or text[-1:] == " " or _ODD.search(text):
+            return _CUT.split(text)
+        return text.split(" ")
 
-    def learn(self, texts: list[str]) -> dict[str, tuple[int, str, bytes]]:
-        """Encodes the pieces of texts that are not remembered."""
-        new: set[str] = set()
-        known = self.pieces
-        for text in texts:
-            parts = self.parts(text)
-            if parts:
-                new.update([" " + p for p in parts[1:]])
-                new.add(parts[0])
-        new.difference_update(known)
-        pieces = list(new)
-        del new
-        split, ranks = self.split, self.ranks
-        tokens = [split(p) for p in pieces]
-        ids: dict[str, list[int]] = {}
+    def entry(self, ids: list[int]) -> Entry:
+        names = self.names
+        return len(ids), " ".join([names[i] for i in ids]), self.decode(ids)
+
+    def entries(self, tokens: set[str]) -> dict[str, Entry]:
+        """Entries of pre-tokens."""
+        ranks, names, out = self.ranks, self.names, {}
         odd: dict[str, bytes] = {}
-        for token in {t for row in tokens for t in row}:
+        for token in tokens:
             raw = token.encode()
-            if raw in ranks:
-                ids[token] = [ranks[raw]]
+            rank = ranks.get(raw)
+            if rank is not None:
+                out[token] = (1, names[rank], raw)
+            elif len(raw) > 256:
+                out[token] = self.entry(merge(raw, ranks))
             else:
                 odd[token] = raw
-        long = [t for t, raw in odd.items() if len(raw) > 256] if len(odd) > FEW else list(odd)
-        for t in long:
-            ids[t] = merge(odd.pop(t), ranks)
-        if odd:
-            ids.update(zip(odd, merge_many(list(odd.values()), ranks, self.pairs), strict=True))
-        fresh = {}
-        for piece, row in zip(pieces, tokens, strict=True):
-            own = [i for t in row for i in ids[t]] if len(row) != 1 else ids[row[0]]
-            fresh[piece] = (len(own), " ".join(map(str, own)), self.decode(own))
-        return fresh
-
-    def each(self, texts: list[str], fresh: dict) -> Iterator[list[tuple[int, str, bytes]]]:
-        """For each text its pieces: number of ids, the ids joined by spaces, the bytes they decode to."""
-        known = self.pieces
-        for text in texts:
-            parts = self.parts(text)
-            yield [known.get(p) or fresh[p] for p in [*parts[:1], *[" " + p for p in parts[1:]]]]
+        if len(odd) > FEW:
+            for token, ids in zip(odd, merge_many(list(odd.values()), ranks, self.pairs), strict=True):
+                out[token] = self.entry(ids)
+        else:
+            out.update((token, self.entry(merge(raw, ranks))) for token, raw in odd.items())
+        return out
 
-    def remember(self, fresh: dict) -> None:
-        room = CACHE_PIECES - len(self.pieces)
-        if room > 0:  # short pieces come again most often
-            self.pieces.update(islice(((k, v) for k, v in fresh.items() if len(k) <= CACHE_CHARS), room))
+    def learn(self, pieces: set[str]) -> dict[str, Entry]:
+        """Entries of pieces, by the pieces. A space goes before each."""
+        words = {p for p in pieces if p.isalpha()}  # with its space such a piece is one pre-token
+        rows = {p: self.split(" " + p) for p in pieces - words}
+        known = self.entries({" " + p for p in words}.union(*rows.values()))
+        out = {p: known[" " + p] for p in words}
+        for p, row in rows.items():
+            out[p] = self.joined([known[t] for t in row])
+        return out
+
+    @staticmethod
+    def joined(row: list[Entry]) -> Entry:
+        if len(row) == 1:
+            return row[0]
+        return sum([x[0] for x in row]), " ".join([x[1] for x in row]), b"".join([x[2] for x in row])
+
+    def encoded(self, texts: list[str]) -> Iterator[list[Entry]]:
+        """The entries of each text's pieces, in order."""
+        known, parts = self.pieces, self.parts
+        new: set[str] = set()
+        for text in texts:
+            new.update(parts(text)[1:])
+        new.difference_update(known)
+        fresh = self.learn(new)
+        known.update(fresh)
+        heads = {parts(text)[0] if text else "" for text in texts}
+        rows = {h: self.split(h) for h in heads}
+        own = self.entries(set().union(*rows.values()))
+        for text in texts:
+            if text:
+                row = parts(text)
+                yield [*[own[t] for t in rows[row[0]]], *[known[p] for p in row[1:]]]
+            else:
+                yield []
+        if len(known) > CACHE_PIECES:  # short pieces come again most often
+            for p in fresh:
+                if len(p) > CACHE_CHARS or len(known) > CACHE_PIECES * 2:
+                    del known[p]
+            if len(known) > CACHE_PIECES * 2:
+                known.clear()
 
     def decode(self, ids: list[int]) -> bytes:
         tokens = self.tokens
@@ -378,19 +401,20 @@ def bpe_roundtrip(docs: DataFrame, ranks: str, pattern: str, text: str = "text",
     kind = dict(docs.dtypes)[ident]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import gc
+
+        gc.disable()  # millions of small tuples and no cycles
         tool = codec(ranks, pattern)
         for batch in batches:
             counts, ids_sha, text_sha, ids = [], [], [], []
             for group in _groups(batch.column(1)):
-                fresh = tool.learn(group)
-                for done in tool.each(group, fresh):
-                    numbers, raw = " ".join([x[1] for x in done]), b"".join([x[2] for x in done])
-                    counts.append(sum([x[0] for x in done]))
+                for done in tool.encoded(group):
+                    n, numbers, raw = tool.joined(done) if done else (0, "", b"")
+                    counts.append(n)
                     ids_sha.append(hashlib.sha256(numbers.encode()).hexdigest())
                     text_sha.append(hashlib.sha256(raw).hexdigest())
                     if with_ids:
-                        ids.append(list(map(int, numbers.split())))
-                tool.remember(fresh)
+                        ids.append(np.array(numbers.split(), np.int32))
             out = [batch.column(0), pa.array(counts, pa.int64()), pa.array(ids_sha, pa.string()), pa.array(text_sha, pa.string())]
             names = ["id", "n_tokens", "ids_sha256", "decoded_sha256"]
             if with_ids:

@@ -1,0 +1,161 @@
+"""Parts of the operators that need no Spark."""
+
+import random
+import zlib
+
+import numpy as np
+import public_tokenizers as P
+import pyarrow as pa
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from tabloom.llm import bpe, induced_sort, mpeg_audio, near_dedup, secrets, sharding, suffix_dedup, toxicity
+from tabloom.llm.common import row_slices, utf8_column
+from tabloom.llm.token_count import spliced_count, token_starts
+
+
+def test_rank_queue_takes_the_lowest():
+    rng, q, held = random.Random(1), bpe.RankQueue(), []
+    for _ in range(2000):
+        r = rng.choice([rng.randrange(50_000), rng.randrange(70)])
+        q.push(r, len(held))
+        held.append(r)
+        if rng.random() < 0.3:
+            low = min(held_r for held_r in held if held_r is not None)
+            rank, at = q.take()
+            assert rank == low and at == [k for k, x in enumerate(held) if x == low]
+            held = [None if x == low else x for x in held]
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.text(alphabet="abcdeth n'1é ", min_size=1, max_size=40), min_size=1, max_size=8))
+def test_merges_together_and_alone_agree(words):
+    codec = bpe.codec(P.path("byte_bpe_50k.tiktoken"), P.PATTERN)
+    raw = [w.encode() for w in words]
+    assert bpe.merge_many(raw, codec.ranks, codec.pairs) == [bpe.merge(r, codec.ranks) for r in raw]
+    assert all(codec.decode(bpe.merge(r, codec.ranks)) == r for r in raw)
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.binary(min_size=6, max_size=60).map(lambda b: bytes(x % 3 for x in b)), min_size=1, max_size=6), st.integers(2, 6))
+def test_repeated_starts(strings, depth):
+    counts = [len(s) - depth + 1 for s in strings]
+    seen: dict[bytes, int] = {}
+    for s, n in zip(strings, counts, strict=True):
+        for k in range(n):
+            seen[s[k : k + depth]] = seen.get(s[k : k + depth], 0) + 1
+    got = induced_sort.repeated_starts(strings, depth, counts, np.zeros(len(strings), bool), queue_bytes=64)
+    assert [g.tolist() for g in got] == [[seen[s[k : k + depth]] > 1 for k in range(n)] for s, n in zip(strings, counts, strict=True)]
+
+
+def test_anchors_depend_on_windows_alone():
+    rng = np.random.default_rng(3)
+    data = rng.integers(97, 101, 6000).astype(np.uint8)
+    h, place, first, last = suffix_dedup.anchors(data)
+    assert first[0] == 0 and last[-1] == len(data) - 400 and (first[1:] == last[:-1] + 1).all()
+    moved = np.concatenate([rng.integers(97, 101, 777).astype(np.uint8), data[1000:3000]])
+    by_start = {int(s): (int(x), int(p) - int(s)) for x, p, a, b in zip(h, place, first, last, strict=True) for s in range(a, b + 1)}
+    for x, p, a, b in zip(*suffix_dedup.anchors(moved), strict=True):
+        for s in range(max(a, 777), b + 1):
+            assert by_start[s - 777 + 1000] == (int(x), int(p) - s)
+
+
+def test_keys_find_every_signature_within_the_distance():
+    rng = np.random.default_rng(5)
+    sig = rng.integers(0, 1 << 16, (1, near_dedup.POSITIONS)).astype(np.uint16)
+    for _ in range(300):
+        other = sig.copy()
+        at = rng.choice(near_dedup.POSITIONS, near_dedup.DISTANCE, replace=False)
+        other[0, at] ^= 1
+        assert set(near_dedup.chunk_keys(sig)[0].tolist()) & set(near_dedup.chunk_keys(other)[0].tolist())
+
+
+def test_intersections():
+    rng = random.Random(2)
+    sets = [np.unique(np.array([rng.randrange(300) for _ in range(rng.randint(1, 200))], np.uint64)) for _ in range(20)]
+    got = near_dedup.intersections(sets, np.arange(20), np.arange(20), width=64)
+    np.fill_diagonal(got, 0)  # of no use, and not computed in full
+    assert got.tolist() == [[len(np.intersect1d(a, b)) if a is not b else 0 for b in sets] for a in sets]
+
+
+def test_difference_balances():
+    rng = random.Random(1)
+    sizes = [rng.randint(1, 5000) for _ in range(2000)]
+    sums = [0] * 16
+    for s, own in zip(sizes, sharding.difference([[0] * 15 + [s] for s in sizes]), strict=True):
+        assert sorted(own) == list(range(16))
+        sums[own[15]] += s
+    assert max(sums) - min(sums) <= 2 and sharding.difference([]) == []
+
+
+def test_splicing_widens_until_it_aligns():
+    from tokenizers import Tokenizer
+
+    tool = Tokenizer.from_file(P.path("byte_bpe_50k.json"))
+    rng = random.Random(6)
+    for text in ("x" * 3000, "ab " * 900, " " * 500 + "a b" * 300, "".join(rng.choice(["a", " ", "  ", "\n", "<|endoftext|>", "你", "'s"]) for _ in range(3000))):
+        want = len(tool.encode(text, add_special_tokens=False).ids)
+        assert spliced_count(text, lambda t: token_starts(tool, t), 200, 8) == want
+
+
+def test_mpeg_reader_survives_junk_and_damage():
+    payload = bytes(random.Random(3).randrange(256) for _ in range(9000))
+    stored = mpeg_audio.write_stream(payload)
+    back, s = mpeg_audio.read_payload(stored)
+    assert back == payload and s.wrong == 0 and s.table["frames"] == len(s.offsets) and s.samples == 1152 * len(s.offsets)
+    tag = b"TAG" + b"title".ljust(30, b"\0") + bytes(95)
+    s = mpeg_audio.read_stream(b"\xff\xfbjunk" * 9 + stored + tag)
+    assert s.tags["title"] == "title" and s.skipped == 54 and len(s.offsets) == len(mpeg_audio.read_stream(stored).offsets)
+    bad = bytearray(stored)
+    bad[s.offsets[2] - 54 + 8] ^= 1  # in the third frame's side information
+    assert mpeg_audio.read_stream(bytes(bad)).wrong == 1
+    cut = stored[: s.offsets[1] - 54] + stored[s.offsets[2] - 54 + 100 :]
+    assert len(mpeg_audio.read_stream(cut).offsets) == len(s.offsets) - 2
+    assert mpeg_audio.read_stream(b"").offsets == [] and zlib.crc32(b"") == 0
+
+
+def test_weak_parts_count_only_together():
+    secret = "aB3dE5gH7jK9mN1pQ3sT5vX7zA9c"
+    for text, linked in (
+        (f"client_id = abcd1234\nvalue {secret}", 2), (f"value {secret}", 0), ("client_id = abcd1234", 0), (f"see https://db.example.com/x\n{secret}", 2),
+        (f"client_id = abcd1234\n\nvalue {secret}", 0), ("client_id = abcd1234 " + "x " * 200 + secret, 0), ("login: someone\npassword: hunter22", 1),
+    ):
+        base, more = secrets.scan(text)
+        assert len(more) == linked, text
+        assert set(base) <= set([*base, *more])
+
+
+def test_base_spans_by_plain_matching():
+    import re
+
+    rng = random.Random(8)
+    parts = ["password", "Token", "api_key", "APIKEY", '"', "'", " ", ":", "=", "abc123", "AKIA", "ABCDEFGHIJKLMNOPQ", "deadbeef", "0123456789abcdef", "\n", "ſecret", "x"]
+    for _ in range(500):
+        text = "".join(rng.choice(parts) for _ in range(40))
+        want = [(m.start(), 0, m.end()) for m in re.finditer(r"""([pP][aA][sS][sS][wW][oO][rR][dD]|[pP][aA][sS][sS][wW][dD]|[sS][eE][cC][rR][eE][tT]|[tT][oO][kK][eE][nN]|[aA][pP][iI]_?[kK][eE][yY])["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", text) if len(m.group(2)) >= 6]
+        want += [(m.start(), 1, m.end()) for m in re.finditer("AKIA[A-Z0-9]+", text) if len(m.group()) >= 20]
+        want += [(m.start(), 2, m.end()) for m in re.finditer("[0-9a-f]+", text) if len(m.group()) >= 24]
+        assert secrets.scan(text)[0] == sorted(want)
+
+
+def test_classifier_learns_words_and_leaves_clean_texts():
+    rng = random.Random(0)
+    vocabulary = ["".join(rng.choice("abcdefgh") for _ in range(5)) for _ in range(800)]
+    texts, labels = [], []
+    for k in range(900):
+        words = [rng.choice(vocabulary) for _ in range(60)]
+        if k % 6 == 0:
+            words[rng.randrange(60)] = rng.choice(["vile", "nasty", "rotten"])
+        texts.append(" ".join(words))
+        labels.append(int(k % 6 == 0))
+    data, offsets = utf8_column(pa.array(texts))
+    h, first = toxicity.words_of(data, offsets)
+    hashes, y = [h[first[k] : first[k + 1]] for k in range(900)], np.array(labels)
+    model = toxicity.train(hashes[:700], y[:700], np.arange(700) % 5 == 0)
+    wrong = sum((toxicity.score(model, hashes[k]) >= 0.5) != y[k] for k in range(700, 900))
+    assert wrong <= 6
+
+
+def test_row_slices_cover_all_rows():
+    offsets = np.array([0, 5, 5, 4_000_000, 4_000_010])
+    assert list(row_slices(offsets, 100)) == [(0, 2), (2, 3), (3, 4)]
