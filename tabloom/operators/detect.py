@@ -142,15 +142,20 @@ def large_enough(boxes: DataFrame, min_rows: int = 3, min_cols: int = 2) -> Data
     return boxes.where((F.col("r2") - F.col("r1") + 1 >= min_rows) & (F.col("c2") - F.col("c1") + 1 >= min_cols))
 
 
-def box_counts(boxes: DataFrame, cells: DataFrame) -> DataFrame:
+def box_counts(boxes: DataFrame, cells: DataFrame, by_row: bool = True) -> DataFrame:
     """Adds n_cells, n_content (cells of any component in the box) and the first row's nn, d and num.
 
     nn: values that aren't words for missing ones (a missing cell counts, as nan); d: distinct
     values; num: numbers. Boxes of a sheet and its cells meet on the sheet and the row: a box
-    gets a row for each of its rows, so the join is an equality, never a nested loop.
+    gets a row for each of its rows, so the join is an equality, never a nested loop. Without
+    by_row, for sheets with one box each, they meet on the sheet alone.
     """
-    rows = boxes.select(*SHEET, *BOX_COLUMNS, F.explode(F.sequence("r1", "r2")).alias("row_idx"))
-    inside = rows.join(cells, [*SHEET, "row_idx"]).where(F.col("col_idx").between(F.col("c1"), F.col("c2")))
+    if by_row:
+        rows = boxes.select(*SHEET, *BOX_COLUMNS, F.explode(F.sequence("r1", "r2")).alias("row_idx"))
+        inside = rows.join(cells, [*SHEET, "row_idx"])
+    else:
+        inside = cells.join(boxes.select(*SHEET, *BOX_COLUMNS), SHEET).where(F.col("row_idx").between(F.col("r1"), F.col("r2")))
+    inside = inside.where(F.col("col_idx").between(F.col("c1"), F.col("c2")))
     word = F.coalesce(F.col("value"), F.lit("nan"))
     first = F.col("row_idx") == F.col("r1")
     counts = inside.groupBy(*SHEET, *BOX_COLUMNS).agg(
@@ -180,8 +185,8 @@ def candidate_score(density: Column, rows: Column, cols: Column, nn: Column, d:
 
 
 def scored(boxes: DataFrame, cells: DataFrame, min_header: float = 0.6, min_rows: int = 3, density_limit: float = 0.25, dense_only: bool = True) -> DataFrame:
-    """Boxes that are dense enough, with density and score; rejected ones are gone."""
-    out = box_counts(boxes, cells).withColumn("density", F.col("n_content") / F.col("n_cells"))
+    """Boxes that are dense enough, with density and score; rejected ones are gone. dense_only is off for whole sheets."""
+    out = box_counts(boxes, cells, dense_only).withColumn("density", F.col("n_content") / F.col("n_cells"))
     out = out.where(F.col("density") >= density_limit) if dense_only else out
     score = candidate_score(
         F.col("density"), F.col("r2") - F.col("r1") + 1, F.col("c2") - F.col("c1") + 1, F.col("nn"),

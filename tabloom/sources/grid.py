@@ -14,7 +14,7 @@ from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 from ..operators.cells import DEFAULT_SHEET, ROWS_SCHEMA
 from .parse import UnsupportedFormat, extension, parse_file
 
-READABLE = (".csv", ".xlsx", ".parquet")
+READABLE = (".csv", ".xlsx", ".xls", ".parquet")
 _BATCH = 4096
 
 
@@ -38,7 +38,7 @@ def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def read_grid(spark: SparkSession, paths: str | list[str]) -> DataFrame:
-    """Rows of CSV and XLSX files in any file system that Spark reads; a file is one task's work.
+    """Rows of CSV and Excel files in any file system that Spark reads; a file is one task's work.
 
     A file that doesn't parse fails its read. For CSV files of many GB use read_large_csv.
     """
@@ -109,7 +109,7 @@ class GridReader(DataSourceReader):
     def partitions(self):
         where = self.pattern.removeprefix("file://")
         found = sorted(glob.glob(os.path.join(where, "*") if os.path.isdir(where) else where))
-        files = [p for p in found if extension(p) in (".csv", ".xlsx")]
+        files = [p for p in found if extension(p) in (".csv", ".xlsx", ".xls")]
         if not files:
             raise FileNotFoundError(self.pattern)
         return [_File(p) for p in files]

@@ -1,4 +1,4 @@
-"""Bytes of CSV and XLSX files to grids of text. No Spark here."""
+"""Bytes of CSV, XLSX and XLS files to grids of text. No Spark here."""
 
 from __future__ import annotations
 
@@ -12,6 +12,7 @@ from datetime import datetime, timedelta
 from xml.etree import ElementTree
 
 from ..functions.tokens import READER_NULLS
+from .xls import read_sheets
 
 Grid = list[list[str | None]]
 _NULLS = frozenset(READER_NULLS)
@@ -144,8 +145,20 @@ def parse_xlsx(raw: bytes) -> Iterator[tuple[str, Grid]]:
                         value = raw_value
                     if (value := _cell(value)) is not None:
                         rows.setdefault(at, {})[col] = value
-            width = max((max(r) for r in rows.values()), default=-1) + 1
-            yield sheet.get("name"), [[rows.get(k, {}).get(j) for j in range(width)] for k in range(max(rows, default=-1) + 1)]
+            yield sheet.get("name"), _filled(rows)
+
+
+def _filled(rows: dict[int, dict[int, str]]) -> Grid:
+    """Values by row and column as a grid as wide as its widest row."""
+    width = max((max(r) for r in rows.values()), default=-1) + 1
+    return [[rows.get(k, {}).get(j) for j in range(width)] for k in range(max(rows, default=-1) + 1)]
+
+
+def parse_xls(raw: bytes) -> Iterator[tuple[str, Grid]]:
+    """The same of the older binary format (from Excel 97 on)."""
+    for name, found in read_sheets(raw, _shows_date, _DATE_IDS):
+        rows = {r: known for r, cells in found.items() if (known := {c: v for c, v in cells.items() if _cell(v) is not None})}
+        yield name, _filled(rows)
 
 
 def extension(path: str) -> str:
@@ -153,13 +166,13 @@ def extension(path: str) -> str:
 
 
 def parse_file(path: str, raw: bytes) -> Iterator[tuple[str, Grid]]:
-    """(sheet, grid) of a CSV or XLSX file, told by its extension."""
+    """(sheet, grid) of a CSV, XLSX or XLS file, told by its extension."""
     kind = extension(path)
     if kind == ".csv":
         yield "_default_", parse_csv(raw)
     elif kind == ".xlsx":
         yield from parse_xlsx(raw)
     elif kind == ".xls":
-        raise UnsupportedFormat(f"{path}: the older binary Excel format isn't read; save it as .xlsx")
+        yield from parse_xls(raw)
     else:
         raise UnsupportedFormat(f"{path}: no reader for {kind or 'a file without extension'}")

@@ -1,3 +1,5 @@
+import struct
+
 import pytest
 
 from tabloom.config import EngineConfig
@@ -25,8 +27,79 @@ def test_csv():
 def test_xlsx():
     book = dict(parse_xlsx(xlsx_bytes({"One": TABLE, "empty": [], "B & C": [[None, "x"], ["n/a", 7.0]]})))
     assert book["One"][1] == ["1", "ann", "2.5"] and book["empty"] == [] and book["B & C"] == [[None, "x"], [None, "7"]]
-    with pytest.raises(UnsupportedFormat, match="xlsx"):
-        list(parse_file("a.xls", b""))
+
+
+def xls_bytes(sheets, pad=0, piece=8000):
+    """A small workbook in the older format: shared strings (cut into continuations of `piece` bytes), numbers, a date style, formulas."""
+    rec = lambda kind, body=b"": struct.pack("<HH", kind, len(body)) + body
+    words = sorted({v for rows in sheets.values() for r in rows for v in r if isinstance(v, str)})
+    sst, pieces = struct.pack("<II", len(words), len(words)), []
+    for w in words:
+        if len(sst) + 3 > piece:
+            pieces.append(sst)
+            sst = b""
+        sst += struct.pack("<HB", len(w), 1)
+        for ch in w:
+            if len(sst) + 2 > piece:
+                pieces.append(sst)
+                sst = b"\x01"
+            sst += ch.encode("utf-16-le")
+    pieces.append(sst)
+    shared = rec(0xFC, pieces[0]) + b"".join(rec(0x3C, p) for p in pieces[1:])
+    styles = rec(0x41E, struct.pack("<HHB", 164, 10, 0) + b"yyyy-mm-dd") + rec(0xE0, struct.pack("<HH", 0, 0) + bytes(16)) + rec(0xE0, struct.pack("<HH", 0, 164) + bytes(16))
+    bodies = []
+    for rows in sheets.values():
+        out = rec(0x809, struct.pack("<HH", 0x600, 0x10) + bytes(12))
+        for r, row in enumerate(rows):
+            for c, v in enumerate(row):
+                at = struct.pack("<HHH", r, c, 0)
+                if isinstance(v, bool):
+                    out += rec(0x205, at + bytes([v, 0]))
+                elif isinstance(v, str):
+                    out += rec(0xFD, at + struct.pack("<I", words.index(v)))
+                elif isinstance(v, int):
+                    out += rec(0x27E, at + struct.pack("<i", v << 2 | 2))
+                elif isinstance(v, float):
+                    out += rec(0x203, at + struct.pack("<d", v))
+                elif isinstance(v, tuple):  # a date, or a formula's text
+                    out += rec(0x203, struct.pack("<HHHd", r, c, 1, v[1])) if v[0] == "date" else rec(0x06, at + b"\0\0\0\0\0\0\xff\xff" + bytes(8)) + rec(0x207, struct.pack("<HB", len(v[1]), 0) + v[1].encode())
+        bodies.append(out + rec(0x0A))
+    names = [rec(0x85, struct.pack("<IBBBB", 0, 0, 0, len(n), 0) + n.encode()) for n in sheets]
+    head = rec(0x809, struct.pack("<HH", 0x600, 5) + bytes(12)) + styles
+    begin = len(head) + sum(map(len, names)) + len(shared) + len(rec(0x0A))
+    at, marks = begin, b""
+    for n, body in zip(sheets, bodies, strict=True):
+        marks += rec(0x85, struct.pack("<IBBBB", at, 0, 0, len(n), 0) + n.encode())
+        at += len(body)
+    stream = head + marks + shared + rec(0x0A) + b"".join(bodies) + bytes(pad)
+    size, small = 512, len(stream) < 4096
+    end, free = 0xFFFFFFFE, 0xFFFFFFFF
+    chunks = -(-len(stream) // size)
+    entry = lambda name, kind, first, n: (name.encode("utf-16-le") + b"\0\0").ljust(64, b"\0") + struct.pack("<HBB", 2 * len(name) + 2, kind, 1) + bytes(48) + struct.pack("<II", first, n) + bytes(4)
+    # Sectors: allocation table, directory, (table of small sectors), the stream.
+    first = 3 if small else 2
+    fat = [0xFFFFFFFD, end, *([end] if small else []), *range(first + 1, first + chunks), end]
+    fat += [free] * (128 - len(fat))
+    root = entry("Root Entry", 5, first if small else end, len(stream) if small else 0)
+    folder = root + entry("Workbook", 2, 0 if small else first, len(stream)) + bytes(256)
+    parts = -(-len(stream) // 64)
+    minis = ([*range(1, parts), end] + [free] * 128)[:128]
+    header = bytes.fromhex("d0cf11e0a1b11ae1") + bytes(16) + struct.pack("<HHHHH", 0x3E, 3, 0xFFFE, 9, 6) + bytes(10) + struct.pack("<IIIIIIIII", 1, 1, 0, 4096, 2 if small else end, int(small), end, 0, 0)
+    header += struct.pack("<108I", *[free] * 108)
+    table = struct.pack("<128I", *minis) if small else b""
+    return header + struct.pack("<128I", *fat) + folder + table + stream.ljust(chunks * size, b"\0")
+
+
+@pytest.mark.parametrize("pad", [0, 5000])
+def test_xls(pad):
+    sheets = {"One": TABLE, "Two": [["é你", True, None, ("date", 45293.5)], [("text", "sum"), -7, 2.25, "N/A"]]}
+    for piece in (8000, 20):
+        book = dict(parse_file("a.xls", xls_bytes(sheets, pad, piece)))
+        assert book["One"] == [["id", "name", "amt"], ["1", "ann", "2.5"], ["2", "bob", "3"], ["3", "cy", "4"]]
+        assert book["Two"] == [["é你", "True", None, "2024-01-02 12:00:00"], ["sum", "-7", "2.25", None]]
+    for bad in (b"", b"PK\x03\x04", bytes.fromhex("d0cf11e0a1b11ae1") + bytes(600)):
+        with pytest.raises((ValueError, IndexError, ArithmeticError)):
+            list(parse_file("a.xls", bad))
 
 
 @pytest.fixture
@@ -124,3 +197,10 @@ def test_config():
 def test_grid_of_parquet(spark, sf_dir):
     rows = read_object(spark, f"{sf_dir}/nation.parquet", parquet_as_grid=True)
     assert rows.count() == 25 and C.to_cells(rows).count() == 75
+
+
+def test_session(spark):
+    from tabloom.plans.session import configure_log, session
+
+    assert session(EngineConfig(log_level="WARNING")) is spark or session(EngineConfig()).sparkContext is spark.sparkContext
+    assert len(configure_log("INFO").handlers) == 1
