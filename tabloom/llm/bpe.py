@@ -24,8 +24,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from .common import bounded_batches
+
 #: Pieces whose ids a worker remembers from batch to batch (about), and the longest such piece in characters.
-CACHE_PIECES, CACHE_CHARS = 200_000, 8
+CACHE_PIECES, CACHE_CHARS = 100_000, 8
 #: Characters of text whose pieces are held at once, and fewest pre-tokens that share a queue.
 GROUP_CHARS, FEW = 4 << 20, 256
 
@@ -398,6 +400,7 @@ def bpe_roundtrip(docs: DataFrame, ranks: str, pattern: str, text: str = "text",
     empty (no ids). ids_sha256 is that of the decimal ids joined by one space. Rows are
     independent, so repeated rows and null identifiers pass through; other columns are dropped.
     """
+    bounded_batches(docs.sparkSession)
     kind = dict(docs.dtypes)[ident]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -406,8 +409,9 @@ def bpe_roundtrip(docs: DataFrame, ranks: str, pattern: str, text: str = "text",
         gc.disable()  # millions of small tuples and no cycles
         tool = codec(ranks, pattern)
         for batch in batches:
-            counts, ids_sha, text_sha, ids = [], [], [], []
+            begin = 0
             for group in _groups(batch.column(1)):
+                counts, ids_sha, text_sha, ids = [], [], [], []
                 for done in tool.encoded(group):
                     n, numbers, raw = tool.joined(done) if done else (0, "", b"")
                     counts.append(n)
@@ -415,11 +419,12 @@ def bpe_roundtrip(docs: DataFrame, ranks: str, pattern: str, text: str = "text",
                     text_sha.append(hashlib.sha256(raw).hexdigest())
                     if with_ids:
                         ids.append(np.array(numbers.split(), np.int32))
-            out = [batch.column(0), pa.array(counts, pa.int64()), pa.array(ids_sha, pa.string()), pa.array(text_sha, pa.string())]
-            names = ["id", "n_tokens", "ids_sha256", "decoded_sha256"]
-            if with_ids:
-                out, names = [*out, pa.array(ids, pa.list_(pa.int32()))], [*names, "ids"]
-            yield pa.RecordBatch.from_arrays(out, names=names)
+                out = [batch.column(0).slice(begin, len(group)), pa.array(counts, pa.int64()), pa.array(ids_sha, pa.string()), pa.array(text_sha, pa.string())]
+                names = ["id", "n_tokens", "ids_sha256", "decoded_sha256"]
+                if with_ids:
+                    out, names = [*out, pa.array(ids, pa.list_(pa.int32()))], [*names, "ids"]
+                begin += len(group)
+                yield pa.RecordBatch.from_arrays(out, names=names)
 
     shape = f"id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * with_ids
     return docs.select(docs[ident].alias("id"), docs[text].alias("text")).mapInArrow(run, shape).withColumnRenamed("id", ident)

@@ -35,6 +35,19 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Bytes of rows that go to a Python worker at once; a longer row goes alone.
+BATCH_BYTES = 8 << 20
+
+
+def bounded_batches(spark: SparkSession) -> SparkSession:
+    """Makes Arrow batches small enough for texts of any length. A smaller setting stays as it is."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    now = spark.conf.get(key)
+    if not now.rstrip("bB").isdigit() or not 0 < int(now.rstrip("bB")) <= BATCH_BYTES:
+        spark.conf.set(key, str(BATCH_BYTES))
+    return spark
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
 

@@ -23,6 +23,8 @@ from fractions import Fraction
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from .common import bounded_batches
+
 # Fixed values of the MPEG audio header (kbit/s by index; Hz by index).
 BITRATES = {
     (1, 1): (0, 32, 64, 96, 128, 160, 192, 224, 256, 288, 320, 352, 384, 416, 448),
@@ -278,6 +280,7 @@ def mpeg_column(docs: DataFrame, text: str = "text", ident: str = "doc_id", with
     and seek_offsets. Null counts as empty: 64 zero bytes. Rows are independent; equal texts
     give equal values.
     """
+    bounded_batches(docs.sparkSession)
     kind = dict(docs.dtypes)[ident]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import find_words, hash_words, materialise, mix64, row_slices, utf8_column
+from .common import bounded_batches, find_words, hash_words, materialise, mix64, row_slices, utf8_column
 
 #: Positions of a signature and bits of each; the signature distance (positions that differ) up to
 #: which every pair is found; words of a shingle.
@@ -326,6 +326,7 @@ def near_dedup(docs: DataFrame, text: str = "text", ident: str = "doc_id") -> Da
     null identifier are linked with nothing and kept, with a null component_id. Rows that share an
     identifier share its component. An empty table gives an empty result.
     """
+    bounded_batches(docs.sparkSession)
     kind = dict(docs.dtypes)[ident]
     given = docs.select(docs[ident].alias("id"), docs[text].alias("text"))
     rows = materialise(given.mapInArrow(_sketch, f"id {kind}, n long, digest binary, sig binary"), "near-sketch")

@@ -16,6 +16,8 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from .common import bounded_batches
+
 #: Fixed patterns of the base kinds, in the order in which kinds are listed.
 ASSIGN = re.compile(r"""(?:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.ASCII | re.IGNORECASE)
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
@@ -128,6 +130,7 @@ def secret_spans(docs: DataFrame, text: str = "text", ident: str = "doc_id", rea
     (no spans, digest of the empty string). Rows are independent: repeated rows and null
     identifiers pass through; other columns are dropped.
     """
+    bounded_batches(docs.sparkSession)
     kind = dict(docs.dtypes)[ident]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

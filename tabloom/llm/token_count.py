@@ -17,6 +17,8 @@ from functools import lru_cache
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from .common import bounded_batches
+
 #: A single space between characters that are not white space (nor control characters).
 _STABLE = re.compile(r"(?<=[^\s\x00-\x20\x7f-\xa0]) (?=[^\s\x00-\x20\x7f-\xa0])")
 #: Characters in a chunk, and in the first overlap tried. Shorter texts are encoded at once.
@@ -113,6 +115,7 @@ def token_counts(docs: DataFrame, vocabulary: str, text: str = "text", ident: st
     Rows are independent, so repeated rows and null identifiers pass through. Other columns are
     not returned.
     """
+    bounded_batches(docs.sparkSession)
     kind = dict(docs.dtypes)[ident]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
