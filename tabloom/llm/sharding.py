@@ -4,7 +4,7 @@ Groups are dealt by hash into cells of bounded size. A cell starts with one part
 for each group (all shards empty but one) and repeatedly combines the two partial partitions
 with the largest spread, the larger parts of one with the smaller parts of the other, until one
 is left. The cells' partitions, of which only the part sums matter, are combined in the same
-way. Merges are kept as a tree of permutations, and walking it down gives each group its shard.
+way, many at a time, level by level. Merges are kept as a tree of permutations, and walking it down gives each group its shard.
 """
 
 from __future__ import annotations
@@ -18,8 +18,8 @@ from pyspark.sql import functions as F
 
 from .common import materialise
 
-#: Groups in a cell, about; and rows in a block of row numbers, about.
-CELL_GROUPS, BLOCK_ROWS = 20_000, 20_000
+#: Groups in a cell, about; cells combined at once; and rows in a block of row numbers, about.
+CELL_GROUPS, FAN, BLOCK_ROWS = 20_000, 256, 20_000
 
 
 def difference(vectors: list[list[int]]) -> list[list[int]]:
@@ -118,18 +118,29 @@ def shard_by_bytes(docs: DataFrame, shards: int = 16, text: str = "text", ident:
         pdf["_sh_part"] = [own[-1] for own in first]
         return pdf[["_sh_key", "_sh_piece", "_sh_bytes", "_sh_cell", "_sh_part"]]
 
+    def join_cells(pdf: pd.DataFrame) -> pd.DataFrame:
+        sums: dict[int, list[int]] = {}
+        for cell, part, size in zip(pdf["_sh_cell"].tolist(), pdf["_sh_part"].tolist(), pdf["_sh_bytes"].tolist(), strict=True):
+            sums.setdefault(cell, [0] * shards)[part] = size
+        names = sorted(sums)
+        placed = dict(zip(names, difference([sums[c] for c in names]), strict=True))
+        pdf["_sh_up_part"] = [placed[c][p] for c, p in zip(pdf["_sh_cell"].tolist(), pdf["_sh_part"].tolist(), strict=True)]
+        return pdf[["_sh_cell", "_sh_part", "_sh_up", "_sh_up_part", "_sh_bytes"]]
+
     kinds = "_sh_key string, _sh_piece long, _sh_bytes long, _sh_cell int, _sh_part int"
     units = materialise(units.groupBy("_sh_cell").applyInPandas(combine, kinds), "shard-units")
-    # The driver combines the cells: `shards` sums for each CELL_GROUPS groups.
-    sums: dict[int, list[int]] = {}
-    for cell, part, size in units.groupBy("_sh_cell", "_sh_part").agg(F.sum("_sh_bytes")).collect():
-        sums.setdefault(cell, [0] * shards)[part] = size
-    names = sorted(sums)
-    placed = difference([sums[c] for c in names])
-    table = [(c, part, shard) for c, own in zip(names, placed, strict=True) for part, shard in enumerate(own)]
-    spark = docs.sparkSession
-    table = spark.createDataFrame(table, "_sh_cell int, _sh_part int, shard int")
-    units = units.join(table, ["_sh_cell", "_sh_part"]).select("_sh_key", "_sh_piece", "shard")
+    # Cells are combined in groups of FAN, those again, until one is left; only their sums matter.
+    maps, level = [], units.groupBy("_sh_cell", "_sh_part").agg(F.sum("_sh_bytes").alias("_sh_bytes"))
+    while cells > 1 or not maps:
+        cells = math.ceil(cells / FAN)
+        level = level.withColumn("_sh_up", F.floor(F.col("_sh_cell") / FAN).cast("int"))
+        level = materialise(level.groupBy("_sh_up").applyInPandas(join_cells, "_sh_cell int, _sh_part int, _sh_up int, _sh_up_part int, _sh_bytes long"), "shard-cells")
+        maps.append(level.drop("_sh_bytes"))
+        level = level.groupBy(F.col("_sh_up").alias("_sh_cell"), F.col("_sh_up_part").alias("_sh_part")).agg(F.sum("_sh_bytes").alias("_sh_bytes"))
+    units = units.select("_sh_key", "_sh_piece", "_sh_cell", "_sh_part")
+    for up in maps:
+        units = units.join(up, ["_sh_cell", "_sh_part"]).select("_sh_key", "_sh_piece", F.col("_sh_up").alias("_sh_cell"), F.col("_sh_up_part").alias("_sh_part"))
+    units = units.select("_sh_key", "_sh_piece", F.col("_sh_part").alias("shard"))
     rows = rows.join(units, ["_sh_key", "_sh_piece"]).join(groups.select("_sh_key", "group_bytes"), "_sh_key")
     rows = rows.withColumn("split", F.col("_sh_pieces").isNotNull())
     rows = numbered(rows, "shard", ["_sh_id", "text_crc32"], F.xxhash64("_sh_id"), "slot", math.ceil(n_rows / shards))
