@@ -33,6 +33,8 @@ CHUNKS = DISTANCE // 2 + 1
 #: Members of a key, and of a candidate component, that are compared in one block; larger ones are
 #: cut into blocks and each pair of blocks is compared.
 KEY_BLOCK, SET_BLOCK = 2048, 512
+#: Elements for which a member counts at least when blocks of sets are cut.
+SET_ELEMENTS = 2000
 #: Links need 100 * intersection >= PERCENT * union.
 PERCENT = 85
 
@@ -342,9 +344,10 @@ def near_dedup(docs: DataFrame, text: str = "text", ident: str = "doc_id") -> Da
     members = members.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
     candidates = components(members.mapInArrow(_candidates, "u long, v long"), "near-candidates")
 
-    sizes = candidates.groupBy("root").agg(F.count(F.lit(1)).alias("m"))
-    group = candidates.join(sizes, "root").select(F.col("node").alias("nid"), F.col("root").alias("c"), "m")
-    group = group.join(nodes.select("nid", "id", "digest"), "nid")
+    group = candidates.select(F.col("node").alias("nid"), F.col("root").alias("c")).join(nodes.select("nid", "id", "digest", "n"), "nid")
+    # Members, or thousands of elements: blocks of large sets have fewer members.
+    sizes = group.groupBy("c").agg(F.greatest(F.count(F.lit(1)), F.ceil(F.sum("n") / SET_ELEMENTS)).alias("m"))
+    group = group.join(sizes, "c").select("nid", "id", "digest", "c", "m")
     texts = group.join(given, "id").select("nid", "c", "m", "digest", "text")
     sets = texts.mapInArrow(_set_rows, "nid long, c long, m long, elements binary").dropDuplicates(["nid"])
     links = in_blocks(sets, "m", SET_BLOCK).groupBy("c", "i", "j").applyInPandas(_verify, "u long, v long")
