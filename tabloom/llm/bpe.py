@@ -361,6 +361,11 @@ class Codec:
             if len(known) > CACHE_PIECES * 2:
                 known.clear()
 
+    def sections(self, text: str) -> Iterator[list[Entry]]:
+        """The entries of a text of any length, a section at a time."""
+        for part in _sections(text, GROUP_CHARS):
+            yield from self.encoded([part])
+
     def decode(self, ids: list[int]) -> bytes:
         tokens = self.tokens
         return b"".join([tokens[i] for i in ids])
@@ -392,6 +397,18 @@ def _groups(column: pa.Array) -> Iterator[list[str]]:
         yield group
 
 
+def _sections(text: str, size: int) -> Iterator[str]:
+    """Parts of about `size` characters of a long text, cut only where no match of the pattern runs across."""
+    begin = 0
+    while len(text) - begin > size:
+        place = _CUT.search(text, begin + size)
+        if place is None:
+            break
+        yield text[begin : place.start()]
+        begin = place.start()
+    yield text[begin:]
+
+
 def bpe_roundtrip(docs: DataFrame, ranks: str, pattern: str, text: str = "text", ident: str = "doc_id", with_ids: bool = False) -> DataFrame:
     """One row for each input row: identifier, n_tokens, ids_sha256, decoded_sha256, and ids with with_ids.
 
@@ -412,13 +429,20 @@ def bpe_roundtrip(docs: DataFrame, ranks: str, pattern: str, text: str = "text",
             begin = 0
             for group in _groups(batch.column(1)):
                 counts, ids_sha, text_sha, ids = [], [], [], []
-                for done in tool.encoded(group):
-                    n, numbers, raw = tool.joined(done) if done else (0, "", b"")
+                for rows in [[r] for r in tool.encoded(group)] if len(group) > 1 or not tool.cut else [tool.sections(group[0])]:
+                    n, of_ids, of_text, own = 0, hashlib.sha256(), hashlib.sha256(), []
+                    for done in rows:
+                        more, numbers, raw = tool.joined(done) if done else (0, "", b"")
+                        of_ids.update((" " * bool(n and more) + numbers).encode())
+                        of_text.update(raw)
+                        n += more
+                        if with_ids:
+                            own.append(np.array(numbers.split(), np.int32))
                     counts.append(n)
-                    ids_sha.append(hashlib.sha256(numbers.encode()).hexdigest())
-                    text_sha.append(hashlib.sha256(raw).hexdigest())
+                    ids_sha.append(of_ids.hexdigest())
+                    text_sha.append(of_text.hexdigest())
                     if with_ids:
-                        ids.append(np.array(numbers.split(), np.int32))
+                        ids.append(np.concatenate(own))
                 out = [batch.column(0).slice(begin, len(group)), pa.array(counts, pa.int64()), pa.array(ids_sha, pa.string()), pa.array(text_sha, pa.string())]
                 names = ["id", "n_tokens", "ids_sha256", "decoded_sha256"]
                 if with_ids:

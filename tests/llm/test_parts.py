@@ -159,3 +159,12 @@ def test_classifier_learns_words_and_leaves_clean_texts():
 def test_row_slices_cover_all_rows():
     offsets = np.array([0, 5, 5, 4_000_000, 4_000_010])
     assert list(row_slices(offsets, 100)) == [(0, 2), (2, 3), (3, 4)]
+
+
+def test_long_texts_are_encoded_in_sections():
+    codec = bpe.codec(P.path("byte_bpe_50k.tiktoken"), P.PATTERN)
+    rng = random.Random(9)
+    for text in ("".join(rng.choice(["a", " ", " b", "\n", "  ", "\xa0", "word", "'s", "7", "é"]) for _ in range(3000)), "x" * 900, ""):
+        parts = list(bpe._sections(text, 50))
+        assert "".join(parts) == text
+        assert [i for p in parts for i in codec.encode(p)] == [i for t in codec.split(text) for i in bpe.merge(t.encode(), codec.ranks)]
