@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from .common import materialise, shuffle_partitions, word_count
 
 #: Rows in a block of a source's hash order, about.
-BLOCK_ROWS = 20_000
+BLOCK_ROWS = 2_000
 #: Weights of the sources, repeating, in order of name; the slopes of their schedules likewise.
 WEIGHTS, SLOPES = (5, 2, 1), (-0.5, 0.0, 0.5)
 
