@@ -2,9 +2,10 @@
 
 A document's signature has POSITIONS MinHash values of BITS bits. Signatures that differ in at
 most DISTANCE positions have, by pigeonhole, one of CHUNKS chunks with at most one difference; a
-key for each chunk and each position left out of it finds all those pairs. At the threshold a
-pair exceeds DISTANCE once in several thousand times, and is still found unless every chunk has
-two differences (about 3 in 10 million).
+key for each chunk and each position left out of it finds all those pairs. A pair with more
+differences is still found unless every chunk has two: at a similarity of 0.85 that leaves out
+about 3 pairs in 10 million, at 0.8 about 2 in 100,000. Pairs that meet are compared by signature
+up to the distance that a similarity at the threshold exceeds once in a million times.
 
 Groups are never expanded into pairs. Equal sets are collapsed first. A key's members are
 compared by signature in blocks, of which only a spanning forest leaves (candidates). Candidate
@@ -15,7 +16,9 @@ true links, and the components of these are the result.
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
+from functools import partial
 
 import numpy as np
 import pandas as pd
@@ -26,8 +29,10 @@ from pyspark.sql import functions as F
 from .common import bounded_batches, find_words, hash_words, materialise, mix64, row_slices, utf8_column
 
 #: Positions of a signature and bits of each; the signature distance (positions that differ) up to
-#: which every pair is found; words of a shingle.
-POSITIONS, BITS, DISTANCE, WORDS = 60, 16, 19, 3
+#: which every pair is found.
+POSITIONS, BITS, DISTANCE = 60, 16, 19
+#: Words of a shingle, and the similarity that links: 100 * intersection >= PERCENT * union.
+WORDS, PERCENT = 5, 80
 #: Pigeonhole: with one difference allowed in a chunk, CHUNKS * 2 > DISTANCE.
 CHUNKS = DISTANCE // 2 + 1
 #: Members of a key, and of a candidate component, that are compared in one block; larger ones are
@@ -35,16 +40,20 @@ CHUNKS = DISTANCE // 2 + 1
 KEY_BLOCK, SET_BLOCK = 2048, 512
 #: Elements for which a member counts at least when blocks of sets are cut.
 SET_ELEMENTS = 2000
-#: Links need 100 * intersection >= PERCENT * union.
-PERCENT = 85
 
 _rng = np.random.Generator(np.random.PCG64(99))
 _MUL = _rng.integers(1, 2**63, POSITIONS, dtype=np.uint64) | np.uint64(1)
 _ADD = _rng.integers(1, 2**63, POSITIONS, dtype=np.uint64)
-_ORDER = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9))
+_ORDER = _rng.integers(1, 2**63, 32, dtype=np.uint64) | np.uint64(1)  # for the places of words in a shingle
 
 
-def shingle_sets(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def far(percent: int) -> int:
+    """Differing positions that two documents of this similarity exceed about once in a million times."""
+    p = 1 - percent / 100
+    return min(POSITIONS, max(DISTANCE, math.ceil(POSITIONS * p + 5 * math.sqrt(POSITIONS * p * (1 - p)))))
+
+
+def shingle_sets(data: np.ndarray, offsets: np.ndarray, size: int = WORDS) -> tuple[np.ndarray, np.ndarray]:
     """(elements of the rows' sets end to end, sorted within each row; first element of each row and one more)."""
     starts, ends, rows = find_words(data, offsets)
     h = hash_words(data, starts, ends)
@@ -52,17 +61,17 @@ def shingle_sets(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.
     first = np.searchsorted(rows, np.arange(n_rows + 1))
     counts = np.diff(first)
     parts, owners = [], []
-    if len(h) >= WORDS:
-        s = np.zeros(len(h) - WORDS + 1, np.uint64)
-        for k in range(WORDS):
-            s = mix64(s ^ (h[k : len(h) - WORDS + 1 + k] * _ORDER[k]))
-        whole = rows[: len(s)] == rows[WORDS - 1 :]
+    if len(h) >= size:
+        s = np.zeros(len(h) - size + 1, np.uint64)
+        for k in range(size):
+            s = mix64(s ^ (h[k : len(h) - size + 1 + k] * _ORDER[k]))
+        whole = rows[: len(s)] == rows[size - 1 :]
         parts.append(s[whole])
         owners.append(rows[: len(s)][whole])
-    for i in np.flatnonzero((counts > 0) & (counts < WORDS)):
+    for i in np.flatnonzero((counts > 0) & (counts < size)):
         s = np.array([counts[i]], np.uint64)
         for k in range(first[i], first[i + 1]):
-            s = mix64(s ^ (h[k : k + 1] * _ORDER[2]))
+            s = mix64(s ^ (h[k : k + 1] * _ORDER[-1]))
         parts.append(s)
         owners.append(np.array([i]))
     if not parts:
@@ -108,13 +117,13 @@ def chunk_keys(sig: np.ndarray) -> np.ndarray:
     return out
 
 
-def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _sketch(size: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(id, text) to (id, n, digest of the set, signature)."""
     for batch in batches:
         data, offsets = utf8_column(batch.column(1))
         counts, digests, sigs = [], [], []
         for a, b in row_slices(offsets):
-            sets, first = shingle_sets(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])
+            sets, first = shingle_sets(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a], size)
             sig = signatures(sets, first)
             for k in range(b - a):
                 own = sets[first[k] : first[k + 1]]
@@ -173,24 +182,24 @@ def forest(close: np.ndarray, left: np.ndarray, right: np.ndarray | None = None)
     return out
 
 
-def _near(sig_a, n_a, sig_b, n_b) -> np.ndarray:
-    """Which signatures are within DISTANCE and whose set sizes allow a link. Low bytes are compared: never more differences."""
+def _near(sig_a, n_a, sig_b, n_b, percent: int) -> np.ndarray:
+    """Which signatures are no further than far() and whose set sizes allow a link. Low bytes are compared: never more differences."""
     differ = np.zeros((len(sig_a), len(sig_b)), np.uint8)
     for k in range(POSITIONS):
         differ += sig_a[:, k, None] != sig_b[None, :, k]
-    small = np.minimum(n_a[:, None], n_b[None, :]) * 100 >= PERCENT * np.maximum(n_a[:, None], n_b[None, :])
-    return small & (differ <= DISTANCE)
+    small = np.minimum(n_a[:, None], n_b[None, :]) * 100 >= percent * np.maximum(n_a[:, None], n_b[None, :])
+    return small & (differ <= far(percent))
 
 
-def _candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _candidates(percent: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows (key, i, j, side, nid, n, sig), sorted by the first three, to candidate edges (u, v)."""
 
     def one(rows):
         nid, n, sig, side = rows
         if side.all() or not side.any():
-            return forest(_near(sig, n, sig, n), nid)
+            return forest(_near(sig, n, sig, n, percent), nid)
         a, b = ~side, side
-        return forest(_near(sig[a], n[a], sig[b], n[b]), nid[a], nid[b])
+        return forest(_near(sig[a], n[a], sig[b], n[b], percent), nid[a], nid[b])
 
     held, last = [], None
     for batch in batches:
@@ -267,13 +276,13 @@ def components(edges: DataFrame, name: str) -> DataFrame:
     return materialise(out, f"{name}-roots")
 
 
-def _set_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _set_rows(size: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(nid, c, m, digest, text) to (nid, c, m, set) where the text's set has that digest."""
     for batch in batches:
         data, offsets = utf8_column(batch.column(4))
         want, keep, out = batch.column(3).to_pylist(), [], []
         for a, b in row_slices(offsets):
-            sets, first = shingle_sets(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])
+            sets, first = shingle_sets(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a], size)
             for k in range(b - a):
                 raw = sets[first[k] : first[k + 1]].tobytes()
                 if hashlib.blake2b(raw, digest_size=16).digest() == want[a + k]:
@@ -304,7 +313,7 @@ def intersections(sets: list[np.ndarray], rows: np.ndarray, columns: np.ndarray,
     return out
 
 
-def _verify(pdf: pd.DataFrame) -> pd.DataFrame:
+def _verify(percent: int, pdf: pd.DataFrame) -> pd.DataFrame:
     """Rows of one pair of blocks (nid, side, elements) to a spanning forest of their links (u, v)."""
     sets = [np.frombuffer(x, np.uint64) for x in pdf["elements"]]
     nid, side = pdf["nid"].to_numpy(), pdf["side"].to_numpy().astype(bool)
@@ -313,17 +322,17 @@ def _verify(pdf: pd.DataFrame) -> pd.DataFrame:
     rows = np.flatnonzero(~side) if across else np.arange(len(nid))
     columns = np.flatnonzero(side) if across else rows
     both = intersections(sets, rows, columns).astype(np.int64)
-    close = both * 100 >= PERCENT * (n[rows][:, None] + n[columns][None, :] - both)
+    close = both * 100 >= percent * (n[rows][:, None] + n[columns][None, :] - both)
     edges = forest(close, nid[rows], nid[columns] if across else None)
     return pd.DataFrame(edges, columns=["u", "v"], dtype="int64")
 
 
-def near_dedup(docs: DataFrame, text: str = "text", ident: str = "doc_id") -> DataFrame:
+def near_dedup(docs: DataFrame, text: str = "text", ident: str = "doc_id", words: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """One row for each input row: identifier, n_shingles, component_id, kept.
 
     Words are `[^\\x20\\x09-\\x0D]+` with A-Z lower-cased; a set holds the distinct shingles of
-    three words, or the whole sequence of a shorter text. Documents with 100 * intersection >= 85 *
-    union are linked; component_id is the smallest identifier that can be reached, and the row
+    `words` words, or the whole sequence of a shorter text. Documents with 100 * intersection >=
+    percent * union are linked; component_id is the smallest identifier that can be reached, and the row
     with it is kept. Null texts count as empty; an empty set is linked with nothing. Rows with a
     null identifier are linked with nothing and kept, with a null component_id. Rows that share an
     identifier share its component. An empty table gives an empty result.
@@ -331,7 +340,7 @@ def near_dedup(docs: DataFrame, text: str = "text", ident: str = "doc_id") -> Da
     bounded_batches(docs.sparkSession)
     kind = dict(docs.dtypes)[ident]
     given = docs.select(docs[ident].alias("id"), docs[text].alias("text"))
-    rows = materialise(given.mapInArrow(_sketch, f"id {kind}, n long, digest binary, sig binary"), "near-sketch")
+    rows = materialise(given.mapInArrow(partial(_sketch, words), f"id {kind}, n long, digest binary, sig binary"), "near-sketch")
     named = rows.where("id IS NOT NULL AND n > 0")
     # Rows of one identifier with different texts are one document: its sets are linked from the start.
     nodes = named.groupBy("digest").agg(F.min("id").alias("id"), F.first("n").alias("n"), F.first("sig").alias("sig"))
@@ -342,15 +351,19 @@ def near_dedup(docs: DataFrame, text: str = "text", ident: str = "doc_id") -> Da
     members = keys.join(shared, "key").join(nodes.select("nid", "n", "sig"), "nid")
     members = in_blocks(members, "m", KEY_BLOCK).select("key", "i", "j", "side", "nid", "n", "sig")
     members = members.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
-    candidates = components(members.mapInArrow(_candidates, "u long, v long"), "near-candidates")
+    candidates = components(members.mapInArrow(partial(_candidates, percent), "u long, v long"), "near-candidates")
 
     group = candidates.select(F.col("node").alias("nid"), F.col("root").alias("c")).join(nodes.select("nid", "id", "digest", "n"), "nid")
     # Members, or thousands of elements: blocks of large sets have fewer members.
     sizes = group.groupBy("c").agg(F.greatest(F.count(F.lit(1)), F.ceil(F.sum("n") / SET_ELEMENTS)).alias("m"))
     group = group.join(sizes, "c").select("nid", "id", "digest", "c", "m")
     texts = group.join(given, "id").select("nid", "c", "m", "digest", "text")
-    sets = texts.mapInArrow(_set_rows, "nid long, c long, m long, elements binary").dropDuplicates(["nid"])
-    links = in_blocks(sets, "m", SET_BLOCK).groupBy("c", "i", "j").applyInPandas(_verify, "u long, v long")
+    sets = texts.mapInArrow(partial(_set_rows, words), "nid long, c long, m long, elements binary").dropDuplicates(["nid"])
+
+    def verify(pdf: pd.DataFrame) -> pd.DataFrame:
+        return _verify(percent, pdf)
+
+    links = in_blocks(sets, "m", SET_BLOCK).groupBy("c", "i", "j").applyInPandas(verify, "u long, v long")
     same = named.join(nodes.select("digest", "nid"), "digest").groupBy("id").agg(F.min("nid").alias("u"), F.max("nid").alias("v")).where("u != v")
     many = named.join(same.select("id"), "id").join(nodes.select("digest", "nid"), "digest").select("id", "nid").join(same.select("id", "u"), "id")
     found = components(links.union(many.select("u", F.col("nid").alias("v")).where("u != v")), "near-links")

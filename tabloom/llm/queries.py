@@ -30,7 +30,7 @@ FROM d
 def op2_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .near_dedup import near_dedup
 
-    return near_dedup(_documents(spark, sf_dir))
+    return near_dedup(_documents(spark, sf_dir), words=3, percent=85)
 
 
 OP2_SQL = r"""

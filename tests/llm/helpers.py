@@ -45,13 +45,13 @@ def normal(t):
     return SPACE.sub(" ", t or "")
 
 
-def shingles(t):
+def shingles(t, n=3):
     low = (t or "").translate({k: k + 32 for k in range(65, 91)})
     w = WORD.findall(low)
-    return {tuple(w[k : k + 3]) for k in range(len(w) - 2)} if len(w) >= 3 else ({tuple(w)} if w else set())
+    return {tuple(w[k : k + n]) for k in range(len(w) - n + 1)} if len(w) >= n else ({tuple(w)} if w else set())
 
 
-def near_components(rows):
+def near_components(rows, n=5, percent=80):
     """component of each identifier, by all pairs."""
     ids = sorted({i for i, _ in rows if i is not None})
     parent = {i: i for i in ids}
@@ -61,10 +61,10 @@ def near_components(rows):
             x = parent[x]
         return x
 
-    sets = [(i, shingles(t)) for i, t in rows if i is not None]
+    sets = [(i, shingles(t, n)) for i, t in rows if i is not None]
     for a, (i, x) in enumerate(sets):
         for j, y in sets[:a]:
-            if x and y and 100 * len(x & y) >= 85 * len(x | y):
+            if x and y and 100 * len(x & y) >= percent * len(x | y):
                 u, v = sorted((find(i), find(j)))
                 parent[v] = u
     return {i: find(i) for i in ids}

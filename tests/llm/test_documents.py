@@ -60,11 +60,12 @@ def test_exact_dedup_splits_a_hot_text(spark):
     assert sum(r["kept"] for r in out) == 2 and {r["group_size"] for r in out} == {3000, 1} and {r["keep_id"] for r in out} == {0, 5000}
 
 
-def test_near_dedup(docs, rows):
-    want = near_components([(i, t) for i, t, _ in rows])
-    out = near_dedup(docs).collect()
+@pytest.mark.parametrize(("words", "percent"), [(5, 80), (3, 85), (1, 60)])
+def test_near_dedup(docs, rows, words, percent):
+    want = near_components([(i, t) for i, t, _ in rows], words, percent)
+    out = near_dedup(docs, words=words, percent=percent).collect()
     assert len(out) == len(rows)
-    sizes = Counter((i, len(shingles(t))) for i, t, _ in rows)
+    sizes = Counter((i, len(shingles(t, words))) for i, t, _ in rows)
     assert Counter((r["doc_id"], r["n_shingles"]) for r in out) == sizes
     for r in out:
         if r["doc_id"] is None:
@@ -82,8 +83,8 @@ def test_near_dedup_of_a_large_group(spark):
         for j in range(k % 6):
             own[(7 * k + 17 * j) % 120] = f"x{k}y{j}"
         rows.append((1000 - k, " ".join(own)))
-    out = near_dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect()
-    want = near_components(rows)
+    out = near_dedup(spark.createDataFrame(rows, "doc_id long, text string"), words=3, percent=85).collect()
+    want = near_components(rows, 3, 85)
     assert {r["doc_id"]: r["component_id"] for r in out} == want
 
 
