@@ -6,8 +6,13 @@ are sorted first, by the names of the stretches between them. From these, all L
 induced in one pass from the smallest first byte up, and all S suffixes from the largest down:
 each suffix that is taken puts its left neighbour into the queue of that neighbour's first byte.
 As a pass only ever takes from the lowest (highest) queue that is left, the queues together are a
-priority queue whose entries, suffix numbers in sorted order, are appended and read in blocks.
-A queue that outgrows its share of memory is moved to a temporary file.
+priority queue, appended and read in blocks. Its tuples hold a suffix and the length of the
+prefix that it shares with the tuple before it in its queue: one more than the least of these
+lengths among the suffixes taken in between, which a table of range minima gives for a block at
+once. A queue that outgrows its share of memory is moved to a temporary file.
+
+The order of the S* suffixes themselves comes from doubling ranks over their names rather than
+from a further level of queues, whose symbols would be as many as the names.
 """
 
 from __future__ import annotations
@@ -23,7 +28,7 @@ _PACK = 6
 
 
 class Queues:
-    """One first-in-first-out queue of int64 entries for each symbol; the largest goes to disk when memory is short."""
+    """One first-in-first-out queue of tuples (suffix << 16 | shared prefix) for each symbol; the largest goes to disk when memory is short."""
 
     def __init__(self, symbols: int, most: int = QUEUE_BYTES):
         self.held: list[list[np.ndarray]] = [[] for _ in range(symbols)]
@@ -57,15 +62,6 @@ class Queues:
             f.close()
         return np.concatenate(parts) if parts else np.zeros(0, np.int64)
 
-    def spread(self, symbols: np.ndarray, entries: np.ndarray) -> None:
-        """Appends each entry to the queue of its symbol, in order."""
-        order = np.argsort(symbols, kind="stable")
-        symbols, entries = symbols[order], entries[order]
-        cuts = np.flatnonzero(symbols[1:] != symbols[:-1]) + 1
-        for a, b in zip([0, *cuts.tolist()], [*cuts.tolist(), len(symbols)], strict=True):
-            if b > a:
-                self.put(int(symbols[a]), entries[a:b])
-
 
 def join(strings: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """(symbols: bytes plus one, with a 0 after each string; start of each string)."""
@@ -152,94 +148,182 @@ def _star_order(t: np.ndarray, s: np.ndarray, depth: int) -> np.ndarray:
     return star[order][t[star[order]] != 0]
 
 
-def suffix_array(t: np.ndarray, depth: int, queue_bytes: int = QUEUE_BYTES) -> np.ndarray:
-    """Suffixes of t (symbols 0 to 256, 0 ends a string, the last symbol is 0) that don't start at a 0.
+_MOST = np.int32(1 << 15)  # longer than any prefix that is told
+
+
+class RangeMin:
+    """Least of values[a..b], inclusive, for many ranges at once."""
+
+    def __init__(self, values: np.ndarray):
+        self.levels = [values]
+        width = 1
+        while width * 2 <= len(values):
+            last = self.levels[-1]
+            self.levels.append(np.minimum(last[:-width], last[width:]))
+            width *= 2
+
+    def of(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        level = np.frexp((b - a + 1).astype(np.float64))[1] - 1
+        out = np.empty(len(a), self.levels[0].dtype)
+        for k in np.unique(level).tolist():
+            at = np.flatnonzero(level == k)
+            table = self.levels[k]
+            out[at] = np.minimum(table[a[at]], table[b[at] - (1 << k) + 1])
+        return out
+
+
+class Pass:
+    """One pass of induction: queues, and for each the least prefix shared since something was put into it."""
+
+    def __init__(self, t: np.ndarray, s: np.ndarray, want_s: bool, depth: int, queue_bytes: int):
+        self.t, self.s, self.want, self.depth = t, s, want_s, depth
+        self.queues = Queues(257, queue_bytes)
+        self.since = np.zeros(257, np.int32)
+        self.begun = np.zeros(257, bool)
+
+    def enter(self) -> None:
+        """A new first symbol: what follows shares nothing with what came before."""
+        self.since[:] = 0
+
+    def take(self, symbol: int) -> tuple[np.ndarray, np.ndarray]:
+        both = self.queues.take(symbol)
+        return both >> 16, (both & 0xFFFF).astype(np.int32)
+
+    def scan(self, batch: np.ndarray, shared: np.ndarray, symbol: int) -> tuple[np.ndarray, np.ndarray]:
+        """Puts the left neighbours of a batch into their queues; those that start with symbol are returned instead."""
+        nothing = np.zeros(0, np.int64), np.zeros(0, np.int32)
+        if not len(batch):
+            return nothing
+        at = np.flatnonzero(batch > 0)
+        left = batch[at] - 1
+        keep = (self.s[left] == self.want) & (self.t[left] != 0)
+        at, left = at[keep], left[keep]
+        c = self.t[left]
+        order = np.argsort(c, kind="stable")
+        at, left, c = at[order], left[order], c[order]
+        least = np.minimum(self.since, shared.min())
+        out = nothing
+        if len(at):
+            new = np.concatenate([[True], c[1:] != c[:-1]])
+            ranges = RangeMin(shared)
+            value = ranges.of(np.where(new, 0, np.concatenate([[0], at[:-1] + 1])), at)
+            value[new] = np.minimum(value[new], self.since[c[new]])
+            value = np.minimum(value + 1, self.depth)
+            value[new & ~self.begun[c]] = 0
+            bounds = [*np.flatnonzero(new).tolist(), len(at)]
+            tuples = left << 16 | value
+            for a, b in zip(bounds[:-1], bounds[1:], strict=True):
+                d, last = int(c[a]), int(at[b - 1])
+                self.begun[d] = True
+                least[d] = shared[last + 1 :].min() if last + 1 < len(shared) else _MOST
+                if d == symbol:
+                    out = left[a:b], value[a:b].astype(np.int32)
+                else:
+                    self.queues.put(d, tuples[a:b])
+        self.since = least
+        return out
+
+
+def common_prefixes(raw: np.ndarray, room: np.ndarray, x: np.ndarray, y: np.ndarray, most: int) -> np.ndarray:
+    """Symbols that the suffixes x and y share, up to `most`; room is the distance to a string's end."""
+    padded = np.concatenate([raw, np.zeros(8, np.uint8)])
+    words = np.ascontiguousarray(np.lib.stride_tricks.sliding_window_view(padded, 8)).view("<u8").ravel()  # the first symbol in the lowest bits
+    out = np.minimum(np.minimum(room[x], room[y]), most).astype(np.int32)
+    left, a, b, at = np.arange(len(x)), x, y, 0
+    while len(left):
+        differ = words[a] ^ words[b]
+        some = differ != 0
+        hit, bits = left[some], differ[some]
+        bits &= ~bits + np.uint64(1)  # the lowest bit that is set
+        out[hit] = np.minimum(out[hit], at + (np.frexp(bits.astype(np.float64))[1] - 1) // 8)
+        at += 8
+        more = ~some & (out[left] > at)
+        left, a, b = left[more], a[more] + 8, b[more] + 8
+    return out
+
+
+def suffix_array(t: np.ndarray, depth: int, queue_bytes: int = QUEUE_BYTES) -> tuple[np.ndarray, np.ndarray]:
+    """(suffixes, symbols that each shares with the one before it, up to depth) of t, without suffixes that start at a 0.
 
-    They are in order of their first `depth` symbols; suffixes alike in these are neighbours.
+    t has symbols 0 to 256; 0 ends a string and is the last symbol. Suffixes are in order of their
+    first `depth` symbols; shared prefixes never reach past a string's end.
     """
     n = len(t)
     if n <= 1:
-        return np.zeros(0, np.int64)
+        return np.zeros(0, np.int64), np.zeros(0, np.int32)
     s = _types(t)
-    stars = _star_order(t, s, depth)
-    by_symbol = np.split(stars, np.searchsorted(t[stars], np.arange(1, 257)))
     ends = np.flatnonzero(t == 0)
+    place = np.arange(n)
+    room = ends[np.searchsorted(ends, place)] - place
+    change = np.concatenate([np.flatnonzero(t[1:] != t[:-1]), [n - 1]])
+    alike = change[np.searchsorted(change, place)] - place + 1  # how long the first symbol goes on
 
-    # L suffixes, ascending. The sentinels come first.
-    queues, large = Queues(257, queue_bytes), [np.zeros(0, np.int64)] * 257
-
-    def left_of(batch: np.ndarray, want_s: bool) -> tuple[np.ndarray, np.ndarray]:
-        j = batch[batch > 0] - 1
-        j = j[(s[j] == want_s) & (t[j] != 0)]
-        return j, t[j]
-
-    j, c = left_of(ends, False)
-    queues.spread(c, j)
-    for symbol in range(1, 257):
-        own = []
-        batch = queues.take(symbol)
+    stars = _star_order(t, s, depth)
+    shared = np.zeros(len(stars), np.int32)
+    shared[1:] = common_prefixes((t - 1).astype(np.uint8), room, stars[:-1], stars[1:], depth)
+    cuts = np.searchsorted(t[stars], np.arange(258))
+
+    def meet(a: np.ndarray, b: np.ndarray) -> int:
+        """What the last of a shares with the first of b, one of type L and the other of type S."""
+        return int(min(alike[a[-1]], alike[b[0]], depth)) if len(a) and len(b) else 0
+
+    # L suffixes, ascending. The ends come first.
+    up, large = Pass(t, s, False, depth, queue_bytes), []
+    up.scan(ends, np.zeros(len(ends), np.int32), 0)
+    for symbol in range(257):
+        own, lengths = [np.zeros(0, np.int64)], [np.zeros(0, np.int32)]
+        up.enter()
+        batch, with_last = up.take(symbol)
+        with_last[:1] = 0
         while len(batch):
             own.append(batch)
-            j, c = left_of(batch, False)
-            again = c == symbol
-            queues.spread(c[~again], j[~again])
-            batch = j[again]
-        large[symbol] = np.concatenate(own) if own else np.zeros(0, np.int64)
-        if len(by_symbol[symbol]):
-            j, c = left_of(by_symbol[symbol], False)
-            queues.spread(c, j)
+            lengths.append(with_last)
+            batch, with_last = up.scan(batch, with_last, symbol)
+        large.append((np.concatenate(own), np.concatenate(lengths)))
+        a, b = cuts[symbol], cuts[symbol + 1]
+        if b > a:
+            first = np.array([meet(large[symbol][0], stars[a:b])], np.int32)
+            up.scan(stars[a:b], np.concatenate([first, shared[a + 1 : b]]), symbol)
 
     # S suffixes, descending; within a symbol they come after the L suffixes.
-    queues, out = Queues(257, queue_bytes), []
+    down, out, common = Pass(t, s, True, depth, queue_bytes), [], []
     for symbol in range(256, 0, -1):
-        own = []
-        batch = queues.take(symbol)
+        own, lengths = [np.zeros(0, np.int64)], [np.zeros(0, np.int32)]
+        down.enter()
+        batch, with_last = down.take(symbol)
+        with_last[:1] = 0
         while len(batch):
             own.append(batch)
-            j, c = left_of(batch, True)
-            again = c == symbol
-            queues.spread(c[~again], j[~again])
-            batch = j[again]
-        j, c = left_of(large[symbol][::-1], True)
-        queues.spread(c, j)
-        if own:
-            out.append(np.concatenate(own)[::-1])
-        out.append(large[symbol])
-    return np.concatenate(out[::-1])
+            lengths.append(with_last)
+            batch, with_last = down.scan(batch, with_last, symbol)
+        small, with_larger = np.concatenate(own)[::-1], np.concatenate(lengths)[::-1]
+        big, with_smaller = large[symbol]
+        between = meet(big, small)
+        if len(big):
+            down.scan(big[::-1], np.concatenate([np.array([between], np.int32), with_smaller[:0:-1]]), symbol)
+            out.append(np.concatenate([big, small]))
+            common.append(np.concatenate([with_smaller, np.array([between] * bool(len(small)), np.int32), with_larger[:-1]]))
+        elif len(small):
+            out.append(small)
+            common.append(np.concatenate([np.zeros(1, np.int32), with_larger[:-1]]))
+    if not out:
+        return np.zeros(0, np.int64), np.zeros(0, np.int32)
+    return np.concatenate(out[::-1]), np.concatenate(common[::-1])
 
 
 def repeated_starts(strings: list[bytes], depth: int, starts: list[int], often: np.ndarray, queue_bytes: int = QUEUE_BYTES) -> list[np.ndarray]:
     """For each string, which of its first starts[k] places begin a stretch of `depth` bytes that begins elsewhere too.
 
     Places from starts[k] on are left out altogether. often[k]: the string stands for several
-    equal ones, so each of its places begins a repeated stretch. Neighbours in the suffix array
-    are compared byte by byte.
+    equal ones, so each of its places begins a repeated stretch.
     """
     t, begin = join(strings)
-    order = suffix_array(t, depth, queue_bytes)
+    order, shared = suffix_array(t, depth, queue_bytes)
     owner = np.searchsorted(begin, order, "right") - 1
-    place = order - begin[owner]
-    counts = np.array(starts)
-    keep = place < counts[owner]
-    order, owner = order[keep], owner[keep]
+    counts = np.array(starts, np.int64)
+    alike = np.cumsum(shared < depth)  # suffixes with a number share their first `depth` symbols
+    keep = order - begin[owner] < counts[owner]
+    order, alike = order[keep], alike[keep]
     hit = np.zeros(len(t), bool)
-    if len(order) > 1:
-        same = np.zeros(len(order) - 1, bool)
-        for a in range(0, len(same), 1 << 16):
-            x, y = order[a : a + (1 << 16)], order[a + 1 : a + 1 + (1 << 16)]
-            x = x[: len(y)]
-            left = np.arange(len(y))
-            step, at = 1, 0
-            while at < depth and len(left):  # most differ early
-                step = min(step * 4, depth - at, 64)
-                cols = np.arange(at, at + step)
-                left = left[(t[x[left][:, None] + cols] == t[y[left][:, None] + cols]).all(1)]
-                at += step
-            same[a + left] = True
-        twice = np.concatenate([[False], same]) | np.concatenate([same, [False]])
-        hit[order[twice]] = True
-    out = []
-    for k, b in enumerate(begin):
-        own = hit[b : b + counts[k]]
-        out.append(np.ones(counts[k], bool) if often[k] else own)
-    return out
+    hit[order[np.bincount(alike)[alike] > 1]] = True
+    return [np.ones(counts[k], bool) if often[k] else hit[b : b + counts[k]] for k, b in enumerate(begin)]

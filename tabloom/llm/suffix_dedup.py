@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialise, mix64, utf8_column
+from .common import bounded_batches, materialise, mix64, utf8_column
 from .induced_sort import repeated_starts
 
 LENGTH = 400
@@ -31,7 +31,7 @@ LENGTH = 400
 GRAM = 32
 SHARD_BYTES, SEGMENT_BLOCK = 6 << 20, 4096
 #: Bytes of a text that are hashed at once; a longer text is taken in overlapping parts.
-PART = 4 << 20
+PART = 1 << 20
 _CODES = mix64(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 
 
@@ -157,7 +157,8 @@ def suffix_dedup(docs: DataFrame, text: str = "text", ident: str = "doc_id", wit
     other, so from 400 bytes on nothing of them stays. Identifiers may be null. An empty table
     gives an empty result.
     """
-    spark, kind = docs.sparkSession, dict(docs.dtypes)[ident]
+    bounded_batches(docs.sparkSession)
+    kind = dict(docs.dtypes)[ident]
     given = docs.select(docs[ident].alias("id"), F.coalesce(docs[text], F.lit("")).alias("text"))
     given = given.withColumn("rid", F.unhex(F.md5(F.concat_ws(":", F.coalesce(F.col("id").cast("string"), F.lit("")), F.col("text")).cast("binary"))))
     segments = given.where(F.octet_length("text") >= LENGTH).select("rid", "text").mapInArrow(_segments, "rid binary, h long, g long, a long, b long")
@@ -180,7 +181,8 @@ def suffix_dedup(docs: DataFrame, text: str = "text", ident: str = "doc_id", wit
     blocks = F.ceil(F.col("n") / SEGMENT_BLOCK).cast("int")
     rows = pieces.withColumn("own", F.pmod(F.xxhash64("g"), blocks).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
     rows = rows.withColumn("shard", F.pmod(F.xxhash64("h", F.least("own", "other"), F.greatest("own", "other")), F.lit(shards)))
-    some = rows.select("shard", "rid", "h", "g", "many", "a", "w", "piece").groupBy("shard").applyInPandas(_shard, "rid binary, x long, y long")
+    rows = rows.select("shard", "rid", "h", "g", "many", "a", "w", "piece").repartitionByRange(shards, "shard")  # one shard a task, which hashing wouldn't give
+    some = rows.groupBy("shard").applyInPandas(_shard, "rid binary, x long, y long")
     starts = whole.union(some).groupBy("rid").agg(F.collect_set(F.struct("x", "y")).alias("starts"))  # no more than a text has windows
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
