@@ -111,14 +111,14 @@ def _star_order(t: np.ndarray, s: np.ndarray, depth: int) -> np.ndarray:
         return star
     ends = np.concatenate([star[1:], [len(t) - 1]])  # the stretch reaches to the next S*, inclusive
     length = ends - star + 1
-    symbol = (t.astype(np.int64) << 1 | s) + 1
+    symbol = (t << 1 | s) + 1  # a string's symbols and types, at most 514
 
     def key(of: np.ndarray, at: int) -> np.ndarray:
         out = np.zeros(len(of), np.int64)
         for k in range(_PACK):
             inside = at + k < length[of]
             place = np.minimum(star[of] + at + k, len(t) - 1)
-            out = out << 10 | np.where(inside, symbol[place], 0)
+            out = out << 10 | np.where(inside, symbol[place], 0).astype(np.int64)
         return out
 
     keys = key(np.arange(len(star)), 0)
@@ -253,10 +253,9 @@ def suffix_array(t: np.ndarray, depth: int, queue_bytes: int = QUEUE_BYTES) -> t
         return np.zeros(0, np.int64), np.zeros(0, np.int32)
     s = _types(t)
     ends = np.flatnonzero(t == 0)
-    place = np.arange(n)
-    room = ends[np.searchsorted(ends, place)] - place
-    change = np.concatenate([np.flatnonzero(t[1:] != t[:-1]), [n - 1]])
-    alike = change[np.searchsorted(change, place)] - place + 1  # how long the first symbol goes on
+    until = lambda marks: (np.repeat(marks, np.diff(marks, prepend=-1)) - np.arange(n)).astype(np.int32)  # noqa: E731  distance to the next mark
+    room = until(ends)
+    alike = until(np.concatenate([np.flatnonzero(t[1:] != t[:-1]), [n - 1]])) + 1  # how long the first symbol goes on
 
     stars = _star_order(t, s, depth)
     shared = np.zeros(len(stars), np.int32)

@@ -29,7 +29,7 @@ from .induced_sort import repeated_starts
 LENGTH = 400
 #: Bytes of a k-gram: a power of two, and more than the lines that many texts share.
 GRAM = 128
-SHARD_BYTES, SEGMENT_BLOCK = 6 << 20, 4096
+SHARD_BYTES, SEGMENT_BLOCK = 3 << 20, 4096
 #: Bytes of a text that are hashed at once; a longer text is taken in overlapping parts.
 PART = 1 << 20
 _CODES = mix64(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
