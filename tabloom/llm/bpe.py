@@ -24,9 +24,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .common import bounded_batches
+from .common import bounded_batches, release
 
-#: Pieces whose ids a worker remembers from batch to batch (about), and the longest such piece in characters.
+#: Pieces whose ids a task remembers from batch to batch (about), and the longest such piece in characters.
 CACHE_PIECES, CACHE_CHARS = 100_000, 8
 #: Characters of text whose pieces are held at once, and fewest pre-tokens that share a queue.
 GROUP_CHARS, FEW = 4 << 20, 256
@@ -449,6 +449,8 @@ def bpe_roundtrip(docs: DataFrame, ranks: str, pattern: str, text: str = "text",
                     out, names = [*out, pa.array(ids, pa.list_(pa.int32()))], [*names, "ids"]
                 begin += len(group)
                 yield pa.RecordBatch.from_arrays(out, names=names)
+        tool.pieces.clear()
+        release()
 
     shape = f"id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * with_ids
     return docs.select(docs[ident].alias("id"), docs[text].alias("text")).mapInArrow(run, shape).withColumnRenamed("id", ident)

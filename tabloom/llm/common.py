@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import tempfile
 import uuid
 
@@ -48,6 +50,16 @@ def bounded_batches(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def release() -> None:
+    """Gives memory that is free again back to the system, as Python workers live on between tasks."""
+    gc.enable()
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:  # only where the C library has it
+        trim(0)
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
 

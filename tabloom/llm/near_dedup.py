@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded_batches, find_words, hash_words, materialise, mix64, row_slices, utf8_column
+from .common import bounded_batches, find_words, hash_words, materialise, mix64, release, row_slices, utf8_column
 
 #: Positions of a signature and bits of each; the signature distance (positions that differ) up to
 #: which every pair is found.
@@ -131,6 +131,7 @@ def _sketch(size: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordB
                 digests.append(hashlib.blake2b(own.tobytes(), digest_size=16).digest() if len(own) else None)
                 sigs.append(sig[k].tobytes())
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(counts, pa.int64()), pa.array(digests, pa.binary()), pa.array(sigs, pa.binary())], names=["id", "n", "digest", "sig"])
+    release()
 
 
 def _sig_array(column: pa.Array, kind=np.uint16) -> np.ndarray:
@@ -228,6 +229,7 @@ def _candidates(percent: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.
         if edges:
             e = np.array(edges, np.int64)
             yield pa.RecordBatch.from_arrays([pa.array(e[:, 0]), pa.array(e[:, 1])], names=["u", "v"])
+    release()
 
 
 def in_blocks(rows: DataFrame, size: str, block: int) -> DataFrame:
@@ -290,6 +292,7 @@ def _set_rows(size: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Recor
                     out.append(raw)
         at = pa.array(keep, pa.int64())
         yield pa.RecordBatch.from_arrays([*[batch.column(k).take(at) for k in range(3)], pa.array(out, pa.binary())], names=["nid", "c", "m", "elements"])
+    release()
 
 
 def intersections(sets: list[np.ndarray], rows: np.ndarray, columns: np.ndarray, width: int = 4096) -> np.ndarray:
