@@ -103,8 +103,8 @@ def scan(text: str, reach: int = REACH) -> tuple[list[tuple[int, int, int]], lis
     low = raw.lower()
     base = base_spans(text, raw, low)
     weak = weak_parts(text, low)
-    if weak:
-        # A bare secret must have a partner, so it is only looked for where there is one.
+    if weak or any(k == 1 for _, k, _ in base):
+        # A bare secret must have a partner (a base access span is one too), so it is only looked for where there is one.
         weak += [(m.start(), 4, m.end()) for m in BARE_SECRET.finditer(text) if _mixed(m.group())]
     taken = sorted((a, b) for a, _, b in base)
     begins = [a for a, _ in taken]
