@@ -9,8 +9,7 @@ from __future__ import annotations
 
 import hashlib
 import re
-from bisect import bisect_left
-from collections import Counter
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -32,7 +31,8 @@ IDENT = re.compile(
     re.ASCII | re.IGNORECASE,
 )
 _IDENT_HINTS = (b"access", b"client", b"account", b"user", b"login", b"akia", b"asia", b"agia", b"akca", b"asca", b"agca")
-BARE_SECRET = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_-]{20,128}={0,2}(?![A-Za-z0-9+/_=-])")
+#: A whole run of its alphabet, of any length; it may follow the = of an assignment.
+BARE_SECRET = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{20,}={0,2}(?![A-Za-z0-9+/_=-])")
 ENDPOINT = re.compile(
     r"""\b(?:https?|wss?|s3a?|gs|jdbc:[a-z]+|postgres(?:ql)?|mysql|mongodb(?:\+srv)?|redis|amqps?)://[^\s"'<>]{3,512}"""
     r"""|\b(?:host(?:name)?|endpoint|server)["']?\x20*[:=]\x20*["']?[A-Za-z0-9.-]+\.[a-z]{2,24}(?::\d{1,5})?""",
@@ -56,8 +56,8 @@ def base_spans(text: str, raw: bytes, low: bytes) -> list[tuple[int, int, int]]:
 
 
 def _mixed(word: str) -> bool:
-    """Looks random: small and capital letters and digits, and few repeats."""
-    return any(c.islower() for c in word) and any(c.isupper() for c in word) and any(c.isdigit() for c in word) and len(Counter(word)) * 5 >= len(word) * 2
+    """Looks random: small and capital letters and digits, and at least 8 different characters, however long."""
+    return any(c.islower() for c in word) and any(c.isupper() for c in word) and any(c.isdigit() for c in word) and len(set(word)) >= 8
 
 
 def weak_parts(text: str, low: bytes) -> list[tuple[int, int, int]]:
@@ -72,28 +72,39 @@ def weak_parts(text: str, low: bytes) -> list[tuple[int, int, int]]:
     return out
 
 
+#: Kinds that complete each kind. Identifiers and bare secrets are compared apart, as one value can look like both.
+_PARTNERS = ((1, 3, 5), (0, 2, 4), (1, 3, 5), (0, 2), (1, 5), (0, 2, 4))
+
+
 def link(parts: list[tuple[int, int, int]], text: str, reach: int = REACH) -> set[tuple[int, int, int]]:
     """Parts that have a complement within reach in their scope: an interval join by one sweep.
 
-    Parts are sorted by start and each scope is swept with the furthest end of secrets and of
-    other parts so far, forwards for partners to the left and backwards for those to the right.
+    Parts are sorted by start and each scope is swept with the furthest end of each kind so far,
+    forwards for partners to the left and backwards for those to the right. An identifier and a
+    bare secret that overlap are one value, and complete each other only if another one is near.
     """
     cuts = [m.start() for m in _SCOPE.finditer(text)]
     ends, starts, kept = {}, {}, set()
     parts = sorted(set(parts))
     scope = [bisect_left(cuts, p[0] + 1) for p in parts]
-    secret = {0, 2, 4}
+    weak: dict[tuple[int, int], tuple[list[int], list[int]]] = {}  # starts and ends; within a kind none overlap
     for p, s in zip(parts, scope, strict=True):
-        other = (s, p[1] not in secret)
-        if other in ends and ends[other] + reach >= p[0]:
+        if any(ends.get((s, k), -reach - 1) + reach >= p[0] for k in _PARTNERS[p[1]]):
             kept.add(p)
-        key = (s, p[1] in secret)
-        ends[key] = max(ends.get(key, 0), p[2])
+        ends[s, p[1]] = max(ends.get((s, p[1]), 0), p[2])
+        if p[1] in (3, 4):
+            own = weak.setdefault((s, p[1]), ([], []))
+            own[0].append(p[0])
+            own[1].append(p[2])
     for p, s in reversed(list(zip(parts, scope, strict=True))):
-        other = (s, p[1] not in secret)
-        if other in starts and starts[other] <= p[2] + reach:
+        if any(starts.get((s, k), len(text) + reach + 1) <= p[2] + reach for k in _PARTNERS[p[1]]):
             kept.add(p)
-        starts[(s, p[1] in secret)] = p[0]
+        starts[s, p[1]] = p[0]
+        if p[1] in (3, 4) and (s, 7 - p[1]) in weak:
+            first, last = weak[s, 7 - p[1]]
+            left, right = bisect_right(last, p[0]), bisect_left(first, p[2])
+            if (left and last[left - 1] + reach >= p[0]) or (right < len(first) and first[right] <= p[2] + reach):
+                kept.add(p)
     return kept
 
 

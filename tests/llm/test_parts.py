@@ -133,6 +133,22 @@ def test_an_access_key_alone_is_a_partner():
     assert secrets.scan(f"id {key}\n\nkey {secret}")[1] == [] and secrets.scan(f"id {key}")[1] == []
 
 
+def test_bare_secrets_of_any_length_and_after_an_equals_sign():
+    rng = random.Random(9)
+    for n in (20, 40, 128, 129, 200, 5000):
+        secret = "aB3" + "".join(rng.choice("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/") for _ in range(n - 3))
+        for before in ("value ", "AWS_SECRET_ACCESS_KEY=", "x = "):
+            text = f"client_id: abcd1234\n{before}{secret}\n"
+            at = text.index(secret)
+            assert (at, 4, at + n) in secrets.scan(text)[1], (n, before)
+    # A value that looks like an identifier and a secret doesn't complete itself, but another one does.
+    value, other = "aB3dE5gH7jK9mN1pQ3sT5vX7", "zY3dE5gH7jK9mN1pQ3sT5vX7+"
+    for sign in ("=", ": ", '="'):
+        assert secrets.scan(f"client_id{sign}{value}")[1] == []
+        assert [k for _, k, _ in secrets.scan(f"client_id{sign}{value} {other}")[1]] == [3, 4]
+        assert [k for _, k, _ in secrets.scan(f"https://db.example.com client_id{sign}{value}")[1]] == [5, 4]
+
+
 def test_base_spans_by_plain_matching():
     import re
 
