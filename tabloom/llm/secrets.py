@@ -25,17 +25,18 @@ KINDS = ("assign", "access", "hex", "ident", "secret", "endpoint")
 #: Cheap tests: a text without any of these has no match of ASSIGN, or no weak part.
 _ASSIGN_HINTS = (b"password", b"passwd", b"secret", b"token", b"apikey", b"api_key")
 
+#: Names may have a prefix (AWS_, DB_), but a secret access key is no identifier. What ACCESS takes is left out in scan().
 IDENT = re.compile(
-    r"""\b(?:access[_-]?key(?:[_-]?id)?|client[_-]?id|account[_-]?id|user(?:name)?|login)["']?\x20*[:=]\x20*["']?([A-Za-z0-9_.@-]{4,128})"""
-    r"""|\b(A[KSG][IC]A[A-Z0-9]{8,15})(?![A-Z0-9])""",
+    r"""(?<![A-Za-z0-9])(?:(?<!secret[_-])access[_-]?key(?:[_-]?id)?|client[_-]?id|account[_-]?id|user(?:name)?|login)["']?\x20*[:=]\x20*["']?([A-Za-z0-9_.@-]{4,128})"""
+    r"""|(?<![A-Za-z0-9])(A[KSG][IC]A[A-Z0-9]{8,})""",
     re.ASCII | re.IGNORECASE,
 )
 _IDENT_HINTS = (b"access", b"client", b"account", b"user", b"login", b"akia", b"asia", b"agia", b"akca", b"asca", b"agca")
 #: A whole run of its alphabet, of any length; it may follow the = of an assignment.
 BARE_SECRET = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{20,}={0,2}(?![A-Za-z0-9+/_=-])")
 ENDPOINT = re.compile(
-    r"""\b(?:https?|wss?|s3a?|gs|jdbc:[a-z]+|postgres(?:ql)?|mysql|mongodb(?:\+srv)?|redis|amqps?)://[^\s"'<>]{3,512}"""
-    r"""|\b(?:host(?:name)?|endpoint|server)["']?\x20*[:=]\x20*["']?[A-Za-z0-9.-]+\.[a-z]{2,24}(?::\d{1,5})?""",
+    r"""(?<![A-Za-z0-9])(?:https?|wss?|s3a?|gs|jdbc:[a-z]+|postgres(?:ql)?|mysql|mongodb(?:\+srv)?|redis|amqps?)://[^\s"'<>]{3,512}"""
+    r"""|(?<![A-Za-z0-9])(?:host(?:name)?|endpoint|server)["']?\x20*[:=]\x20*["']?[A-Za-z0-9.-]+\.[a-z]{2,24}(?::\d{1,5})?""",
     re.ASCII | re.IGNORECASE,
 )
 _ENDPOINT_HINTS = (b"://", b"host", b"endpoint", b"server")
