@@ -5,6 +5,10 @@ for each group (all shards empty but one) and repeatedly combines the two partia
 with the largest spread, the larger parts of one with the smaller parts of the other, until one
 is left. The cells' partitions, of which only the part sums matter, are combined in the same
 way, many at a time, level by level. Merges are kept as a tree of permutations, and walking it down gives each group its shard.
+
+Cells that are even by themselves could not make up for a large group. So at each level the
+first cells are not combined: their parts go to one last differencing by themselves, with the
+groups of the first cell and all large groups. Its items get finer from level to level.
 """
 
 from __future__ import annotations
@@ -87,9 +91,9 @@ def shard_by_bytes(docs: DataFrame, shards: int = 16, text: str = "text", ident:
     """One row for each input row: identifier, size, text_crc32, shard, slot, group_bytes, split.
 
     size: UTF-8 bytes of the text plus 1; a null text counts as an empty one. Equal texts are a
-    group and share a shard, unless the group alone is larger than a quarter of a shard's even
-    share: then near-equal sizes need it split, by a hash of the identifier, into pieces of about
-    an eighth of such a share, and split is true. slot: 0, 1, 2 ... within a shard, in an order that the
+    group and share a shard, unless the group alone is larger than a shard's even share: then
+    near-equal sizes need it split, by a hash of the identifier, into pieces of about an eighth
+    of such a share, and split is true. slot: 0, 1, 2 ... within a shard, in an order that the
     identifiers decide (rows equal in identifier and text are interchangeable). An empty table
     gives an empty result.
     """
@@ -102,14 +106,16 @@ def shard_by_bytes(docs: DataFrame, shards: int = 16, text: str = "text", ident:
     groups = materialise(groups, "shard-groups")
     total, n_rows, n_groups = groups.agg(F.coalesce(F.sum("group_bytes"), F.lit(0)), F.coalesce(F.sum("_sh_n"), F.lit(0)), F.count(F.lit(1))).first()
     even = total / shards
-    # At most 4 * shards groups are above a quarter of the even share.
-    large = groups.where((F.col("group_bytes") > even / 4) & (F.col("_sh_n") > 1))
+    # Fewer groups than shards are above the even share.
+    large = groups.where((F.col("group_bytes") > even) & (F.col("_sh_n") > 1))
     large = large.select("_sh_key", F.least("_sh_n", F.ceil(F.col("group_bytes") * 8 / F.lit(max(1.0, even)))).alias("_sh_pieces"))
     rows = rows.join(F.broadcast(large), "_sh_key", "left")
     rows = rows.withColumn("_sh_piece", F.when(F.col("_sh_pieces").isNotNull(), F.pmod(F.xxhash64("_sh_id"), F.col("_sh_pieces"))).otherwise(0).cast("long"))
     units = rows.groupBy("_sh_key", "_sh_piece").agg(F.sum("size").alias("_sh_bytes"))
     cells = max(1, math.ceil(n_groups / CELL_GROUPS))
-    units = units.withColumn("_sh_cell", F.pmod(F.xxhash64("_sh_key"), F.lit(cells)).cast("int"))
+    # At most shards * FAN units are large; these and the units of cell 0 are placed by themselves.
+    large_unit = F.col("_sh_bytes") > even / min(cells, FAN)
+    units = units.withColumn("_sh_cell", F.when(large_unit, 0).otherwise(F.pmod(F.xxhash64("_sh_key"), F.lit(cells))).cast("int"))
 
     def combine(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(["_sh_key", "_sh_piece"])
@@ -127,20 +133,41 @@ def shard_by_bytes(docs: DataFrame, shards: int = 16, text: str = "text", ident:
         pdf["_sh_up_part"] = [placed[c][p] for c, p in zip(pdf["_sh_cell"].tolist(), pdf["_sh_part"].tolist(), strict=True)]
         return pdf[["_sh_cell", "_sh_part", "_sh_up", "_sh_up_part", "_sh_bytes"]]
 
-    kinds = "_sh_key string, _sh_piece long, _sh_bytes long, _sh_cell int, _sh_part int"
-    units = materialise(units.groupBy("_sh_cell").applyInPandas(combine, kinds), "shard-units")
-    # Cells are combined in groups of FAN, those again, until one is left; only their sums matter.
-    maps, level = [], units.groupBy("_sh_cell", "_sh_part").agg(F.sum("_sh_bytes").alias("_sh_bytes"))
-    while cells > 1 or not maps:
+    def place(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values(["_sh_level", "_sh_cell", "_sh_part", "_sh_key", "_sh_piece"])
+        pdf["shard"] = [own[-1] for own in difference([[0] * (shards - 1) + [s] for s in pdf["_sh_bytes"].tolist()])]
+        return pdf[["_sh_level", "_sh_cell", "_sh_part", "_sh_key", "_sh_piece", "shard"]]
+
+    units = materialise(units, "shard-units")
+    single = units.where("_sh_cell = 0")
+    items = single.select(F.lit(-1).alias("_sh_level"), "_sh_cell", F.lit(0).alias("_sh_part"), "_sh_key", "_sh_piece", "_sh_bytes")
+    maps = []
+    if cells > 1:
+        kinds = "_sh_key string, _sh_piece long, _sh_bytes long, _sh_cell int, _sh_part int"
+        units = materialise(units.where("_sh_cell > 0").groupBy("_sh_cell").applyInPandas(combine, kinds), "shard-cells")
+        level = units.groupBy("_sh_cell", "_sh_part").agg(F.sum("_sh_bytes").alias("_sh_bytes"))
+    # The parts of the first FAN cells are items; the others are combined in groups of FAN, and so on until none are left.
+    while cells > 1:
+        first = level.where(F.col("_sh_cell") < FAN)
+        items = items.union(first.select(F.lit(len(maps)).alias("_sh_level"), "_sh_cell", "_sh_part", F.lit("").alias("_sh_key"), F.lit(0).cast("long").alias("_sh_piece"), "_sh_bytes"))
         cells = math.ceil(cells / FAN)
-        level = level.withColumn("_sh_up", F.floor(F.col("_sh_cell") / FAN).cast("int"))
-        level = materialise(level.groupBy("_sh_up").applyInPandas(join_cells, "_sh_cell int, _sh_part int, _sh_up int, _sh_up_part int, _sh_bytes long"), "shard-cells")
-        maps.append(level.drop("_sh_bytes"))
-        level = level.groupBy(F.col("_sh_up").alias("_sh_cell"), F.col("_sh_up_part").alias("_sh_part")).agg(F.sum("_sh_bytes").alias("_sh_bytes"))
-    units = units.select("_sh_key", "_sh_piece", "_sh_cell", "_sh_part")
-    for up in maps:
-        units = units.join(up, ["_sh_cell", "_sh_part"]).select("_sh_key", "_sh_piece", F.col("_sh_up").alias("_sh_cell"), F.col("_sh_up_part").alias("_sh_part"))
-    units = units.select("_sh_key", "_sh_piece", F.col("_sh_part").alias("shard"))
+        up = None
+        if cells > 1:
+            level = level.where(F.col("_sh_cell") >= FAN).withColumn("_sh_up", F.floor(F.col("_sh_cell") / FAN).cast("int"))
+            level = materialise(level.groupBy("_sh_up").applyInPandas(join_cells, "_sh_cell int, _sh_part int, _sh_up int, _sh_up_part int, _sh_bytes long"), "shard-cells")
+            up = level.drop("_sh_bytes")
+            level = level.groupBy(F.col("_sh_up").alias("_sh_cell"), F.col("_sh_up_part").alias("_sh_part")).agg(F.sum("_sh_bytes").alias("_sh_bytes"))
+        maps.append(up)
+    # About CELL_GROUPS units and, for each level, FAN * shards parts at most.
+    placed = items.withColumn("_sh_up", F.lit(0)).groupBy("_sh_up").applyInPandas(place, "_sh_level int, _sh_cell int, _sh_part int, _sh_key string, _sh_piece long, shard int")
+    placed = materialise(placed, "shard-items")
+    found = placed.where("_sh_level = -1").select("_sh_key", "_sh_piece", "shard")
+    for k, up in enumerate(maps):
+        parts = placed.where(F.col("_sh_level") == k).select("_sh_cell", "_sh_part", "shard")
+        found = found.union(units.join(parts, ["_sh_cell", "_sh_part"]).select("_sh_key", "_sh_piece", "shard"))
+        if up is not None:
+            units = units.join(up, ["_sh_cell", "_sh_part"]).select("_sh_key", "_sh_piece", F.col("_sh_up").alias("_sh_cell"), F.col("_sh_up_part").alias("_sh_part"))
+    units = found
     rows = rows.join(units, ["_sh_key", "_sh_piece"]).join(groups.select("_sh_key", "group_bytes"), "_sh_key")
     rows = rows.withColumn("split", F.col("_sh_pieces").isNotNull())
     rows = numbered(rows, "shard", ["_sh_id", "text_crc32"], F.xxhash64("_sh_id"), "slot", math.ceil(n_rows / shards))

@@ -10,6 +10,7 @@ import tiktoken
 from tokenizers import Tokenizer
 
 from tabloom.llm import queries as Q
+from tabloom.llm import sharding
 from tabloom.llm.bpe import bpe_roundtrip
 from tabloom.llm.exact_dedup import exact_dedup
 from tabloom.llm.mixing import mix, mixed_documents
@@ -167,6 +168,27 @@ def test_shards(docs, rows):
     assert shard_by_bytes(docs).count() == len(rows)
 
 
+@pytest.mark.parametrize(("cell", "fan"), [(20_000, 256), (60, 256), (30, 4)])
+def test_shards_keep_groups_up_to_a_share_whole(spark, monkeypatch, cell, fan):
+    """Groups of 0.7 and 0.4 of a share stay whole, one of 1.5 is split, and shards stay near-equal with many cells."""
+    monkeypatch.setattr(sharding, "CELL_GROUPS", cell)
+    monkeypatch.setattr(sharding, "FAN", fan)
+    small = [(k, f"{k:04d} " + "x" * (k * 37 % 90)) for k in range(1500)]
+    even = sum(len(t) + 1 for _, t in small) / (4 - 2.6)
+    hot = [(2000 + 1000 * g, "abc"[g] * 49, int(share * even / 50)) for g, share in enumerate((0.7, 0.4, 1.5))]
+    rows = small + [(first + k, t) for first, t, n in hot for k in range(n)]
+    out = shard_by_bytes(spark.createDataFrame(rows, "doc_id long, text string"), 4).collect()
+    assert Counter(r["doc_id"] for r in out) == Counter(i for i, _ in rows)
+    sums, where = Counter(), defaultdict(set)
+    for r in out:
+        sums[r["shard"]] += r["size"]
+        where[r["text_crc32"]].add(r["shard"])
+        assert r["split"] == (r["doc_id"] >= 4000)
+    crc = {t: zlib.crc32(t.encode()) for _, t, _ in hot}
+    assert [len(where[crc[t]]) > 1 for _, t, _ in hot] == [False, False, True]
+    assert len(sums) == 4 and max(sums.values()) - min(sums.values()) <= 100
+
+
 def test_suffix_dedup(docs, rows):
     want = Counter((i, *w) for (i, _, _), w in zip(rows, repeated([t for _, t, _ in rows]), strict=True))
     out = suffix_dedup(docs).collect()
