@@ -205,6 +205,18 @@ def test_toxicity(spark, docs, rows):
     assert kept.columns == docs.columns and kept.count() == sum(r["predicted"] == 0 for r in out)
 
 
+def test_toxicity_passes_over_a_text_that_does_not_fit(spark):
+    """A very long labelled text, first in hash order, doesn't keep the others out of the training sample."""
+    ids = [r[0] for r in spark.sql("SELECT id FROM range(400) ORDER BY xxhash64(string(id))").collect() if zlib.crc32(str(r[0]).encode()) % 5]
+    rows = [(i, "word " * 3000 if i == ids[0] else f"some plain {'vile ' if i % 4 == 0 else ''}text of number {i}") for i in ids]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i % 4 == 0)) for i in ids], "doc_id long, toxic int")
+    for most in (20_000, 25_000):  # below and above the long text's bytes
+        scores = {r["doc_id"]: r["score"] for r in score_documents(docs, fit(docs, labels, most_bytes=most)).collect()}
+        toxic, clean = ([s for i, s in scores.items() if i != ids[0] and (i % 4 == 0) == t] for t in (True, False))
+        assert min(toxic) > max(clean)
+
+
 EMPTY = {
     "exact": lambda d: exact_dedup(d), "near": lambda d: near_dedup(d), "tokens": lambda d: token_counts(d, JSON), "secrets": lambda d: secret_spans(d),
     "mix": lambda d: mix(d), "mixed": lambda d: mixed_documents(d), "mpeg": lambda d: mpeg_column(d), "shards": lambda d: shard_by_bytes(d),
