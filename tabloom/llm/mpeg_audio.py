@@ -1,9 +1,11 @@
-"""MPEG audio columns: a lossless store of bytes in MPEG frames, and a reader of any MPEG audio stream.
+"""MPEG audio columns: a lossless store of bytes in MPEG frames, and a reader of MPEG audio streams.
 
 The reader resynchronises on frame headers (a header counts when the next one, at the distance
 its own length says, is compatible, or the stream ends there), parses ID3 and APE tags and the
-Xing/Info and VBRI tables, verifies the frames' checksums, and gives the exact duration (samples
-over sample rate) and the byte offset of every frame.
+Xing/Info and VBRI tables, verifies the checksums of Layer III frames, and gives the exact
+duration (samples over sample rate) and the byte offset of every frame. Checksums of Layers I and
+II are not verified, free-format streams are not read, and frames whose version, layer or rate
+differ from the first one's are skipped.
 
 The writer puts a payload into MPEG-1 Layer III frames (32 kHz, mono, with checksum) whose side
 information says that they hold no audio, so that the whole body of each frame is ancillary
