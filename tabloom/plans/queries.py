@@ -1,6 +1,7 @@
 """Queries over the driver's tables, one or more for each operator, and the SQL that says the same.
 
-Grids are built from the tables by casting to text. Nothing is filtered away to make a query cheap.
+Grids are built from the tables by casting to text. Nothing is filtered away to make a query cheap,
+except in the grid of events, which keeps one event a cell.
 """
 
 from __future__ import annotations
@@ -272,7 +273,10 @@ def row_density_trim(spark, d):
 
 
 def event_cells(spark, d) -> DataFrame:
-    """A sheet for each type of event: a row for each hour of the week, a column for each of 48 classes of users."""
+    """A sheet for each type of event: a row for each hour of the week, a column for each of 48 classes of users.
+
+    A cell keeps its smallest event_id, so a sheet has at most 168 x 48 cells however many events there are.
+    """
     e = table(spark, d, "events")
     row = (F.hour("ts") + 24 * F.dayofweek("ts") - 24).cast("int")
     at = e.groupBy(F.col("event_type").alias("sheet"), row.alias("row_idx"), (F.col("user_id") % 48).cast("int").alias("col_idx")).agg(F.min("event_id").alias("id"))
