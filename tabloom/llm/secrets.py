@@ -11,6 +11,7 @@ import hashlib
 import re
 from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -27,7 +28,7 @@ _ASSIGN_HINTS = (b"password", b"passwd", b"secret", b"token", b"apikey", b"api_k
 
 #: Names may have a prefix (AWS_, DB_), but a secret access key is no identifier. What ACCESS takes is left out in scan().
 IDENT = re.compile(
-    r"""(?<![A-Za-z0-9])(?:(?<!secret[_-])access[_-]?key(?:[_-]?id)?|client[_-]?id|account[_-]?id|user(?:name)?|login)["']?\x20*[:=]\x20*["']?([A-Za-z0-9_.@-]{4,128})"""
+    r"""(?<![A-Za-z0-9])(?:(?<!secret[_-])access[_-]?key(?:[_-]?id)?|client[_-]?id|account[_-]?id|user(?:name)?|login)["']?\x20*[:=]\x20*["']?([A-Za-z0-9_.@-]{4,})"""
     r"""|(?<![A-Za-z0-9])(A[KSG][IC]A[A-Z0-9]{8,})""",
     re.ASCII | re.IGNORECASE,
 )
@@ -35,8 +36,8 @@ _IDENT_HINTS = (b"access", b"client", b"account", b"user", b"login", b"akia", b"
 #: A whole run of its alphabet, of any length; it may follow the = of an assignment.
 BARE_SECRET = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{20,}={0,2}(?![A-Za-z0-9+/_=-])")
 ENDPOINT = re.compile(
-    r"""(?<![A-Za-z0-9])(?:https?|wss?|s3a?|gs|jdbc:[a-z]+|postgres(?:ql)?|mysql|mongodb(?:\+srv)?|redis|amqps?)://[^\s"'<>]{3,512}"""
-    r"""|(?<![A-Za-z0-9])(?:host(?:name)?|endpoint|server)["']?\x20*[:=]\x20*["']?[A-Za-z0-9.-]+\.[a-z]{2,24}(?::\d{1,5})?""",
+    r"""(?<![A-Za-z0-9])(?:https?|wss?|s3a?|gs|jdbc:[a-z]+|postgres(?:ql)?|mysql|mongodb(?:\+srv)?|redis|amqps?)://[^\s"'<>]{3,}"""
+    r"""|(?<![A-Za-z0-9])(?:host(?:name)?|endpoint|server)["']?\x20*[:=]\x20*["']?[A-Za-z0-9.-]+\.[a-z]{2,}(?::\d+)?""",
     re.ASCII | re.IGNORECASE,
 )
 _ENDPOINT_HINTS = (b"://", b"host", b"endpoint", b"server")
@@ -119,11 +120,11 @@ def scan(text: str, reach: int = REACH) -> tuple[list[tuple[int, int, int]], lis
         # A bare secret must have a partner (a base access span is one too), so it is only looked for where there is one.
         weak += [(m.start(), 4, m.end()) for m in BARE_SECRET.finditer(text) if _mixed(m.group())]
     taken = sorted((a, b) for a, _, b in base)
-    begins = [a for a, _ in taken]
+    begins, reached = [a for a, _ in taken], [0, *accumulate((b for _, b in taken), max)]
 
     def free(p):
-        k = bisect_left(begins, p[2])
-        return not any(b > p[0] for _, b in taken[max(0, k - 3) : k])
+        """No base span overlaps p: of those that begin before its end, none reaches past its start."""
+        return reached[bisect_left(begins, p[2])] <= p[0]
 
     weak = [p for p in weak if free(p)]
     found = link([*weak, *base], text, reach) if weak else set()

@@ -1,6 +1,7 @@
 """Parts of the operators that need no Spark."""
 
 import random
+import re
 import zlib
 
 import numpy as np
@@ -166,9 +167,60 @@ def test_prefixed_names_and_temporary_keys():
         assert secrets.scan(f"AWS_SECRET_ACCESS_KEY={value} AWS_SECRET_ACCESS_KEY={value[::-1]}") == ([], [])
 
 
-def test_base_spans_by_plain_matching():
-    import re
+def test_no_part_has_a_greatest_length():
+    rng = random.Random(4)
+    word = lambda n: "aB3" + "".join(rng.choice("ABCDEFGHabcdefgh0123456789") for _ in range(n - 3))
+    for n in (129, 600, 5000):
+        ident, secret, path = word(n), word(n), "p" * n
+        text = f"user: {ident}\nkey {secret}\n\nsee https://db.example.com/{path} {secret}\n\nhost=h{'.h' * n}.example.org {secret}"
+        at = [m.start() for m in re.finditer(secret, text)]
+        url, host = text.index("https://"), text.index("host=")
+        assert secrets.scan(text)[1] == [
+            (6, 3, 6 + n), (at[0], 4, at[0] + n), (url, 5, url + 23 + n), (at[1], 4, at[1] + n), (host, 5, at[2] - 1), (at[2], 4, at[2] + n),
+        ]
+
+
+def test_parts_within_a_base_span_are_left_out():
+    """Also where many shorter base spans lie between its start and the part."""
+    runs = ".".join("0123456789abcdef0123456789" for _ in range(6))
+    text = f"client_id: abcd1234 token={runs}.aB3dE5gH7jK9mN1pQ3sT5vX7zA9c"
+    base, more = secrets.scan(text)
+    assert [k for _, k, _ in base] == [0] + [2] * 6 and base[0][2] == len(text) and more == [(11, 3, 19)]
+
+
+def _brute_links(parts, text, reach):
+    """Each pair of parts, compared directly. Identifier and bare secret that overlap don't complete each other."""
+    scopes = [m.start() for m in re.finditer(r"\n[ \t\r]*\n", text)]
+    scope = lambda p: sum(c <= p[0] for c in scopes)
+    left, right = {1, 3, 5}, {0, 2, 4}
+    kept = set()
+    for p in parts:
+        for q in parts:
+            pair = {p[1], q[1]}
+            near = max(p[0], q[0]) - min(p[2], q[2]) <= reach
+            apart = p[2] <= q[0] or q[2] <= p[0]
+            if pair & left and pair & right and scope(p) == scope(q) and near and (pair != {3, 4} or apart):
+                kept.add(p)
+    return kept
+
+
+def test_links_by_all_pairs():
+    rng = random.Random(12)
+    for _ in range(1500):
+        text = "".join(rng.choice("xxxxxxx\n") for _ in range(rng.randint(30, 120)))
+        parts = set()
+        for kind in range(6):
+            at = 0
+            while (at := at + rng.randint(1, 60)) < len(text) - 8:
+                end = at + rng.randint(1, 8)
+                if "\n" not in text[at:end]:
+                    parts.add((at, kind, end))
+                at = end
+        parts = [p for p in parts if p[1] in (3, 4) or rng.random() < 0.5]
+        assert secrets.link(parts, text, 7) == _brute_links(parts, text, 7)
+
 
+def test_base_spans_by_plain_matching():
     rng = random.Random(8)
     parts = ["password", "Token", "api_key", "APIKEY", '"', "'", " ", ":", "=", "abc123", "AKIA", "ABCDEFGHIJKLMNOPQ", "deadbeef", "0123456789abcdef", "\n", "ſecret", "x"]
     for _ in range(500):
