@@ -24,6 +24,8 @@ from .common import materialise
 
 #: Groups in a cell, about; cells combined at once; and rows in a block of row numbers, about.
 CELL_GROUPS, FAN, BLOCK_ROWS = 20_000, 256, 20_000
+#: A group with more than this part of all rows is placed by a broadcast.
+HOT_PARTS = 2_000
 
 
 def difference(vectors: list[list[int]]) -> list[list[int]]:
@@ -88,68 +90,66 @@ def numbered(df: DataFrame, group: str, order: list, salt, out: str, rows: int)
 
 
 def shard_by_bytes(docs: DataFrame, shards: int = 16, text: str = "text", ident: str = "doc_id") -> DataFrame:
-    """One row for each input row: identifier, size, text_crc32, shard, slot, group_bytes, split.
+    """One row for each input row: identifier, size, text_crc32, shard, slot, group_bytes.
 
     size: UTF-8 bytes of the text plus 1; a null text counts as an empty one. Equal texts are a
-    group and share a shard, unless the group alone is larger than a shard's even share: then
-    near-equal sizes need it split, by a hash of the identifier, into pieces of about an eighth
-    of such a share, and split is true. slot: 0, 1, 2 ... within a shard, in an order that the
-    identifiers decide (rows equal in identifier and text are interchangeable). An empty table
-    gives an empty result.
+    group and share a shard, however large the group is; where one group is larger than a
+    shard's even share, the others are spread evenly over what is left. slot: 0, 1, 2 ... within
+    a shard, in an order that the identifiers and the input's partitions decide (rows equal in
+    identifier and text are interchangeable). An empty table gives an empty result.
     """
     body = F.coalesce(docs[text], F.lit("")).cast("binary")
     rows = docs.select(
-        docs[ident].alias("_sh_id"), (F.octet_length(body) + 1).cast("long").alias("size"), F.crc32(body).alias("text_crc32"), F.sha2(body, 256).alias("_sh_key")
-    )
+        docs[ident].alias("_sh_id"), (F.octet_length(body) + 1).cast("long").alias("size"), F.crc32(body).alias("text_crc32"), F.sha2(body, 256).alias("_sh_key"),
+        F.spark_partition_id().alias("_sh_from"),
+    )
     rows = materialise(rows, "shard-rows")
-    groups = rows.groupBy("_sh_key").agg(F.sum("size").alias("group_bytes"), F.count(F.lit(1)).alias("_sh_n"))
-    groups = materialise(groups, "shard-groups")
-    total, n_rows, n_groups = groups.agg(F.coalesce(F.sum("group_bytes"), F.lit(0)), F.coalesce(F.sum("_sh_n"), F.lit(0)), F.count(F.lit(1))).first()
-    even = total / shards
-    # Fewer groups than shards are above the even share.
-    large = groups.where((F.col("group_bytes") > even) & (F.col("_sh_n") > 1))
-    large = large.select("_sh_key", F.least("_sh_n", F.ceil(F.col("group_bytes") * 8 / F.lit(max(1.0, even)))).alias("_sh_pieces"))
-    rows = rows.join(F.broadcast(large), "_sh_key", "left")
-    rows = rows.withColumn("_sh_piece", F.when(F.col("_sh_pieces").isNotNull(), F.pmod(F.xxhash64("_sh_id"), F.col("_sh_pieces"))).otherwise(0).cast("long"))
-    units = rows.groupBy("_sh_key", "_sh_piece").agg(F.sum("size").alias("_sh_bytes"))
+    groups = materialise(rows.groupBy("_sh_key").agg(F.sum("size").alias("_sh_bytes"), F.count(F.lit(1)).alias("_sh_n")), "shard-groups")
+    total, n_rows, n_groups = groups.agg(F.coalesce(F.sum("_sh_bytes"), F.lit(0)), F.coalesce(F.sum("_sh_n"), F.lit(0)), F.count(F.lit(1))).first()
+    # A group of at least an even share of what is left takes a shard for itself.
+    alone, left, parts = [], total, shards
+    for r in groups.orderBy(F.desc("_sh_bytes"), "_sh_key").limit(shards).collect():
+        if parts == 1 or r["_sh_bytes"] * parts < left:
+            break
+        parts -= 1
+        alone.append((r["_sh_key"], parts))
+        left -= r["_sh_bytes"]
+    own = docs.sparkSession.createDataFrame(alone, "_sh_key string, shard int")
     cells = max(1, math.ceil(n_groups / CELL_GROUPS))
-    # At most shards * FAN units are large; these and the units of cell 0 are placed by themselves.
-    large_unit = F.col("_sh_bytes") > even / min(cells, FAN)
-    units = units.withColumn("_sh_cell", F.when(large_unit, 0).otherwise(F.pmod(F.xxhash64("_sh_key"), F.lit(cells))).cast("int"))
+    # At most parts * FAN groups are large; these and the groups of cell 0 are placed by themselves.
+    large = F.col("_sh_bytes") > left / parts / min(cells, FAN)
+    units = groups.join(F.broadcast(own), "_sh_key", "left_anti").drop("_sh_n").withColumn("_sh_cell", F.when(large, 0).otherwise(F.pmod(F.xxhash64("_sh_key"), F.lit(cells))).cast("int"))
 
     def combine(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["_sh_key", "_sh_piece"])
-        sizes = pdf["_sh_bytes"].tolist()
-        first = difference([[0] * (shards - 1) + [s] for s in sizes])
-        pdf["_sh_part"] = [own[-1] for own in first]
-        return pdf[["_sh_key", "_sh_piece", "_sh_bytes", "_sh_cell", "_sh_part"]]
+        pdf = pdf.sort_values("_sh_key")
+        pdf["_sh_part"] = [own[-1] for own in difference([[0] * (parts - 1) + [s] for s in pdf["_sh_bytes"].tolist()])]
+        return pdf[["_sh_key", "_sh_bytes", "_sh_cell", "_sh_part"]]
 
     def join_cells(pdf: pd.DataFrame) -> pd.DataFrame:
         sums: dict[int, list[int]] = {}
         for cell, part, size in zip(pdf["_sh_cell"].tolist(), pdf["_sh_part"].tolist(), pdf["_sh_bytes"].tolist(), strict=True):
-            sums.setdefault(cell, [0] * shards)[part] = size
+            sums.setdefault(cell, [0] * parts)[part] = size
         names = sorted(sums)
         placed = dict(zip(names, difference([sums[c] for c in names]), strict=True))
         pdf["_sh_up_part"] = [placed[c][p] for c, p in zip(pdf["_sh_cell"].tolist(), pdf["_sh_part"].tolist(), strict=True)]
         return pdf[["_sh_cell", "_sh_part", "_sh_up", "_sh_up_part", "_sh_bytes"]]
 
     def place(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["_sh_level", "_sh_cell", "_sh_part", "_sh_key", "_sh_piece"])
-        pdf["shard"] = [own[-1] for own in difference([[0] * (shards - 1) + [s] for s in pdf["_sh_bytes"].tolist()])]
-        return pdf[["_sh_level", "_sh_cell", "_sh_part", "_sh_key", "_sh_piece", "shard"]]
+        pdf = pdf.sort_values(["_sh_level", "_sh_cell", "_sh_part", "_sh_key"])
+        pdf["shard"] = [own[-1] for own in difference([[0] * (parts - 1) + [s] for s in pdf["_sh_bytes"].tolist()])]
+        return pdf[["_sh_level", "_sh_cell", "_sh_part", "_sh_key", "shard"]]
 
-    units = materialise(units, "shard-units")
     single = units.where("_sh_cell = 0")
-    items = single.select(F.lit(-1).alias("_sh_level"), "_sh_cell", F.lit(0).alias("_sh_part"), "_sh_key", "_sh_piece", "_sh_bytes")
+    items = single.select(F.lit(-1).alias("_sh_level"), "_sh_cell", F.lit(0).alias("_sh_part"), "_sh_key", "_sh_bytes")
     maps = []
     if cells > 1:
-        kinds = "_sh_key string, _sh_piece long, _sh_bytes long, _sh_cell int, _sh_part int"
-        units = materialise(units.where("_sh_cell > 0").groupBy("_sh_cell").applyInPandas(combine, kinds), "shard-cells")
+        units = units.where("_sh_cell > 0").groupBy("_sh_cell").applyInPandas(combine, "_sh_key string, _sh_bytes long, _sh_cell int, _sh_part int")
+        units = materialise(units, "shard-cells")
         level = units.groupBy("_sh_cell", "_sh_part").agg(F.sum("_sh_bytes").alias("_sh_bytes"))
     # The parts of the first FAN cells are items; the others are combined in groups of FAN, and so on until none are left.
     while cells > 1:
         first = level.where(F.col("_sh_cell") < FAN)
-        items = items.union(first.select(F.lit(len(maps)).alias("_sh_level"), "_sh_cell", "_sh_part", F.lit("").alias("_sh_key"), F.lit(0).cast("long").alias("_sh_piece"), "_sh_bytes"))
+        items = items.union(first.select(F.lit(len(maps)).alias("_sh_level"), "_sh_cell", "_sh_part", F.lit("").alias("_sh_key"), "_sh_bytes"))
         cells = math.ceil(cells / FAN)
         up = None
         if cells > 1:
@@ -158,17 +158,21 @@ def shard_by_bytes(docs: DataFrame, shards: int = 16, text: str = "text", ident:
             up = level.drop("_sh_bytes")
             level = level.groupBy(F.col("_sh_up").alias("_sh_cell"), F.col("_sh_up_part").alias("_sh_part")).agg(F.sum("_sh_bytes").alias("_sh_bytes"))
         maps.append(up)
-    # About CELL_GROUPS units and, for each level, FAN * shards parts at most.
-    placed = items.withColumn("_sh_up", F.lit(0)).groupBy("_sh_up").applyInPandas(place, "_sh_level int, _sh_cell int, _sh_part int, _sh_key string, _sh_piece long, shard int")
+    # About CELL_GROUPS groups and, for each level, FAN * parts parts at most.
+    placed = items.withColumn("_sh_up", F.lit(0)).groupBy("_sh_up").applyInPandas(place, "_sh_level int, _sh_cell int, _sh_part int, _sh_key string, shard int")
     placed = materialise(placed, "shard-items")
-    found = placed.where("_sh_level = -1").select("_sh_key", "_sh_piece", "shard")
+    found = placed.where("_sh_level = -1").select("_sh_key", "shard").union(own)
     for k, up in enumerate(maps):
-        parts = placed.where(F.col("_sh_level") == k).select("_sh_cell", "_sh_part", "shard")
-        found = found.union(units.join(parts, ["_sh_cell", "_sh_part"]).select("_sh_key", "_sh_piece", "shard"))
+        here = placed.where(F.col("_sh_level") == k).select("_sh_cell", "_sh_part", "shard")
+        found = found.union(units.join(here, ["_sh_cell", "_sh_part"]).select("_sh_key", "shard"))
         if up is not None:
-            units = units.join(up, ["_sh_cell", "_sh_part"]).select("_sh_key", "_sh_piece", F.col("_sh_up").alias("_sh_cell"), F.col("_sh_up_part").alias("_sh_part"))
-    units = found
-    rows = rows.join(units, ["_sh_key", "_sh_piece"]).join(groups.select("_sh_key", "group_bytes"), "_sh_key")
-    rows = rows.withColumn("split", F.col("_sh_pieces").isNotNull())
-    rows = numbered(rows, "shard", ["_sh_id", "text_crc32"], F.xxhash64("_sh_id"), "slot", math.ceil(n_rows / shards))
-    return rows.select(F.col("_sh_id").alias(ident), "size", "text_crc32", "shard", "slot", "group_bytes", "split")
+            units = units.join(up, ["_sh_cell", "_sh_part"]).select("_sh_key", F.col("_sh_up").alias("_sh_cell"), F.col("_sh_up_part").alias("_sh_part"))
+    found = groups.join(found, "_sh_key").select("_sh_key", F.col("_sh_bytes").alias("group_bytes"), "_sh_n", "shard")
+    found = materialise(found, "shard-places")
+    # Groups of many rows are few (fewer than HOT_PARTS) and go to every task, so that no task gathers one.
+    hot = found.where(F.col("_sh_n") > n_rows / HOT_PARTS).drop("_sh_n")
+    marked = rows.join(F.broadcast(hot), "_sh_key", "left")
+    rest = marked.where("shard IS NULL").drop("group_bytes", "shard").join(found.where(F.col("_sh_n") <= n_rows / HOT_PARTS).drop("_sh_n"), "_sh_key")
+    rows = marked.where("shard IS NOT NULL").unionByName(rest)
+    rows = numbered(rows, "shard", ["_sh_id", "text_crc32"], F.xxhash64("_sh_id", "_sh_from"), "slot", math.ceil(n_rows / shards))
+    return rows.select(F.col("_sh_id").alias(ident), "size", "text_crc32", "shard", "slot", "group_bytes")

@@ -160,33 +160,34 @@ def test_shards(docs, rows):
     for r in out:
         sums[r["shard"]] += r["size"]
     assert max(sums.values()) - min(sums.values()) <= 100
-    by_text = defaultdict(set)
-    for r in out:
-        if not r["split"]:
+    for out in (out, shard_by_bytes(docs).collect()):
+        by_text = defaultdict(set)
+        for r in out:
             by_text[r["text_crc32"], r["size"]].add(r["shard"])
-    assert all(len(s) == 1 for s in by_text.values())
-    assert shard_by_bytes(docs).count() == len(rows)
+        assert all(len(s) == 1 for s in by_text.values())
+    assert len(out) == len(rows)
 
 
 @pytest.mark.parametrize(("cell", "fan"), [(20_000, 256), (60, 256), (30, 4)])
-def test_shards_keep_groups_up_to_a_share_whole(spark, monkeypatch, cell, fan):
-    """Groups of 0.7 and 0.4 of a share stay whole, one of 1.5 is split, and shards stay near-equal with many cells."""
+def test_shards_keep_groups_whole(spark, monkeypatch, cell, fan):
+    """Groups of 0.6, 0.4 and 2 shares (half of all bytes) stay whole; the other shards share the rest near-equally, with many cells too."""
     monkeypatch.setattr(sharding, "CELL_GROUPS", cell)
     monkeypatch.setattr(sharding, "FAN", fan)
     small = [(k, f"{k:04d} " + "x" * (k * 37 % 90)) for k in range(1500)]
-    even = sum(len(t) + 1 for _, t in small) / (4 - 2.6)
-    hot = [(2000 + 1000 * g, "abc"[g] * 49, int(share * even / 50)) for g, share in enumerate((0.7, 0.4, 1.5))]
+    even = sum(len(t) + 1 for _, t in small) / (4 - 3.0)
+    hot = [(2000 + 3000 * g, "abc"[g] * 49, int(share * even / 50)) for g, share in enumerate((0.6, 0.4, 2))]
     rows = small + [(first + k, t) for first, t, n in hot for k in range(n)]
     out = shard_by_bytes(spark.createDataFrame(rows, "doc_id long, text string"), 4).collect()
     assert Counter(r["doc_id"] for r in out) == Counter(i for i, _ in rows)
-    sums, where = Counter(), defaultdict(set)
+    sums, where, slots = Counter(), defaultdict(set), defaultdict(list)
     for r in out:
         sums[r["shard"]] += r["size"]
         where[r["text_crc32"]].add(r["shard"])
-        assert r["split"] == (r["doc_id"] >= 4000)
-    crc = {t: zlib.crc32(t.encode()) for _, t, _ in hot}
-    assert [len(where[crc[t]]) > 1 for _, t, _ in hot] == [False, False, True]
-    assert len(sums) == 4 and max(sums.values()) - min(sums.values()) <= 100
+        slots[r["shard"]].append(r["slot"])
+    assert all(len(s) == 1 for s in where.values()) and all(sorted(v) == list(range(len(v))) for v in slots.values())
+    largest = where[zlib.crc32(hot[2][1].encode())].pop()
+    assert sums.pop(largest) == hot[2][2] * 50
+    assert len(sums) == 3 and max(sums.values()) - min(sums.values()) <= 100
 
 
 def test_suffix_dedup(docs, rows):
