@@ -266,8 +266,8 @@ _CUT = re.compile(r"(?<=[^\s\x00-\x20\x7f-\xa0]) (?=[^\s\x00-\x20\x7f-\xa0])")
 #: Characters next to which a space may be no such place, but for the line feed.
 _ODD = re.compile("[\x00-\x09\x0b-\x1f\x7f-\xa0\u1680\u2000-\u200f\u2028\u2029\u202f\u205f\u3000]")
 
-#: Number of ids, the ids joined by spaces, the bytes they decode to.
-Entry = tuple[int, str, bytes]
+#: Number of ids, and the ids joined by spaces.
+Entry = tuple[int, str]
 
 
 class Codec:
@@ -280,13 +280,14 @@ class Codec:
             self.ranks = {base64.b64decode(a): int(b) for a, b in (line.split() for line in f if line.strip())}
         self.tokens = {v: k for k, v in self.ranks.items()}
         self.names = {v: str(v) for v in self.tokens}
+        self.named = {str(v): k for k, v in self.ranks.items()}
         self.split = regex.compile(pattern).findall
         self.cut = pattern == _default_pattern()
         self.pairs = PairTable(self.ranks)
         self.pieces: dict[str, Entry] = {}  # each stands for itself with a space before it
 
     def encode(self, text: str) -> list[int]:
-        return [int(x) for row in self.encoded([text]) for _, ids, _ in row for x in ids.split()]
+        return [int(x) for row in self.encoded([text]) for _, ids in row for x in ids.split()]
 
     def parts(self, text: str) -> list[str]:
         """Pieces of text that are split on their own; all but the first lack the space they begin with."""
@@ -298,7 +299,7 @@ class Codec:
 
     def entry(self, ids: list[int]) -> Entry:
         names = self.names
-        return len(ids), " ".join([names[i] for i in ids]), self.decode(ids)
+        return len(ids), " ".join([names[i] for i in ids])
 
     def entries(self, tokens: set[str]) -> dict[str, Entry]:
         """Entries of pre-tokens."""
@@ -308,7 +309,7 @@ class Codec:
             raw = token.encode()
             rank = ranks.get(raw)
             if rank is not None:
-                out[token] = (1, names[rank], raw)
+                out[token] = (1, names[rank])
             elif len(raw) > 256:
                 out[token] = self.entry(merge(raw, ranks))
             else:
@@ -334,7 +335,7 @@ class Codec:
     def joined(row: list[Entry]) -> Entry:
         if len(row) == 1:
             return row[0]
-        return sum([x[0] for x in row]), " ".join([x[1] for x in row]), b"".join([x[2] for x in row])
+        return sum([x[0] for x in row]), " ".join([x[1] for x in row])
 
     def encoded(self, texts: list[str]) -> Iterator[list[Entry]]:
         """The entries of each text's pieces, in order."""
@@ -370,6 +371,10 @@ class Codec:
         tokens = self.tokens
         return b"".join([tokens[i] for i in ids])
 
+    def decode_names(self, ids: list[str]) -> bytes:
+        """The bytes of ids that are given in decimal."""
+        return b"".join(map(self.named.__getitem__, ids))
+
 
 @lru_cache(maxsize=1)
 def _default_pattern() -> str:
@@ -432,12 +437,13 @@ def bpe_roundtrip(docs: DataFrame, ranks: str, pattern: str, text: str = "text",
                 for rows in [[r] for r in tool.encoded(group)] if len(group) > 1 or not tool.cut else [tool.sections(group[0])]:
                     n, of_ids, of_text, own = 0, hashlib.sha256(), hashlib.sha256(), []
                     for done in rows:
-                        more, numbers, raw = tool.joined(done) if done else (0, "", b"")
+                        more, numbers = tool.joined(done) if done else (0, "")
                         of_ids.update((" " * bool(n and more) + numbers).encode())
-                        of_text.update(raw)
+                        emitted = numbers.split()
+                        of_text.update(tool.decode_names(emitted))
                         n += more
                         if with_ids:
-                            own.append(np.array(numbers.split(), np.int32))
+                            own.append(np.array(emitted, np.int32))
                     counts.append(n)
                     ids_sha.append(of_ids.hexdigest())
                     text_sha.append(of_text.hexdigest())
