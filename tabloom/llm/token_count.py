@@ -10,6 +10,7 @@ start a token; where the overlap has none, it is doubled.
 
 from __future__ import annotations
 
+import json
 import re
 from collections.abc import Callable, Iterator
 from functools import lru_cache
@@ -80,11 +81,22 @@ def spliced_count(text: str, starts_of: Callable[[str], list[int]], chunk: int =
     return total
 
 
+def splits_at_spaces(path: str) -> bool:
+    """Whether _STABLE is proven for a .json file: byte-level splitting as is, nothing rewritten before, no special token with white space."""
+    with open(path, encoding="utf-8") as f:
+        spec = json.load(f)
+    split = spec.get("pre_tokenizer") or {}
+    plain = split.get("type") == "ByteLevel" and split.get("use_regex", True) and not split.get("add_prefix_space")
+    return plain and not spec.get("normalizer") and not any(t["lstrip"] or t["rstrip"] or re.search(r"\s", t["content"]) for t in spec.get("added_tokens", ()))
+
+
 def _count(path: str, chunk: int) -> Callable[[list[str]], list[int]]:
     tool = load(path)
     if path.endswith(".model"):
         # Pieces there may cross any place, so no boundary is provably stable: whole texts.
         return lambda texts: [len(x) for x in tool.encode(texts, num_threads=1)]
+    if not splits_at_spaces(path):
+        return lambda texts: [len(tool.encode(t, add_special_tokens=False)) for t in texts]
 
     def count(texts: list[str]) -> list[int]:
         out = [0] * len(texts)
@@ -109,7 +121,8 @@ def _count(path: str, chunk: int) -> Callable[[list[str]], list[int]]:
 def token_counts(docs: DataFrame, vocabulary: str, text: str = "text", ident: str = "doc_id", limit: int = 512, chunk: int = CHUNK) -> DataFrame:
     """One row for each input row: the identifier, n_bytes, n_tokens, over_limit (n_tokens > limit).
 
-    vocabulary: path of a .json or .model file, present on every executor. Counts are those of
+    vocabulary: path of a .json or .model file, present on every executor. Texts longer than a
+    chunk are spliced where splits_at_spaces() holds, and encoded whole otherwise. Counts are those of
     the library over the whole text without added special tokens; special strings inside a text
     are handled as the library does by default. Null texts count as empty: 0 bytes, 0 tokens.
     Rows are independent, so repeated rows and null identifiers pass through. Other columns are

@@ -6,6 +6,7 @@ from collections import Counter, defaultdict
 
 import public_tokenizers as P
 import pytest
+import sentencepiece
 import tiktoken
 from tokenizers import Tokenizer
 
@@ -97,6 +98,16 @@ def test_token_counts(docs, rows):
     assert all(r["over_limit"] == (r["n_tokens"] > 512) for r in out)
 
 
+@pytest.mark.parametrize("name", ["word_bpe_49k.json", "piece_bpe_32k.model"])
+def test_token_counts_where_no_place_is_stable(docs, rows, name):
+    """Lower-casing and pieces that may cross spaces: whole texts, long ones too."""
+    path = P.path(name)
+    tool = sentencepiece.SentencePieceProcessor(model_file=path) if name.endswith(".model") else Tokenizer.from_file(path)
+    count = (lambda t: len(tool.encode(t))) if name.endswith(".model") else (lambda t: len(tool.encode(t, add_special_tokens=False).ids))
+    out = token_counts(docs, path, chunk=1 << 10).collect()
+    assert Counter((r["doc_id"], r["n_tokens"]) for r in out) == Counter((i, count(t or "")) for i, t, _ in rows)
+
+
 def test_bpe(docs, rows):
     ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, open(RANKS, "rb"))}
     tool = tiktoken.Encoding("own", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
