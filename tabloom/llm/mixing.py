@@ -8,21 +8,18 @@ repeated as often as needed. A source's weight changes over training time t from
 target * (t + slope * (t^2 - t)). Solving that for t gives the training position at which each
 document of the stream is due, and documents are range-sorted by position.
 
-Prefix sums over a source run over blocks of the hash order: sums of the blocks, then rows
-within a block. The number of blocks follows the number of rows, so no task holds a whole source.
+Prefix sums over a source run in two levels: the rows are range-partitioned by source, hash and a
+number of the row, sums of the partitions are added up, then rows within a partition. A range can
+end anywhere, also among rows that share an identifier, so no task holds a source or such rows.
 """
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import materialise, shuffle_partitions, word_count
 
-#: Rows in a block of a source's hash order, about.
-BLOCK_ROWS = 2_000
 #: Weights of the sources, repeating, in order of name; the slopes of their schedules likewise.
 WEIGHTS, SLOPES = (5, 2, 1), (-0.5, 0.0, 0.5)
 
@@ -65,35 +62,26 @@ def source_targets(sizes: DataFrame, weights=WEIGHTS, budget: float = 1.5, most:
     return src.withColumn("target", F.least(goal, limit.cast("double")))
 
 
-def mix(docs: DataFrame, text: str = "text", ident: str = "doc_id", source: str = "source", weights=WEIGHTS, slopes=SLOPES, budget: float = 1.5, most: int = 2) -> DataFrame:
-    """One row for each input row: identifier, size, source_size, target, taken, passes, position, positions.
-
-    size: words of the text (null: 0). taken: words the mix takes of the document, repeats
-    counted, at most `most` times its size; a source's taken words add up to its target, rounded.
-    passes: how often the document is begun. position: training time in 0..1 of its first word
-    (null when none is taken), positions that of each pass. The order within a source is that of md5(identifier), then the
-    identifier, then the size; rows equal in all three are interchangeable. Null is a source of
-    its own, and comes last. An empty table gives an empty result. The rows come range-sorted by position.
-    """
-    rows = docs.select(docs[ident].alias("_mx_ident"), docs[source].alias("_mx_source"), word_count(docs[text]).alias("size"))
+def _planned(rows: DataFrame, weights, slopes, budget: float, most: int) -> DataFrame:
+    """Rows (_mx_ident, _mx_source, size, ...) with source_size, target, taken, passes, position, positions."""
     rows = rows.withColumn("_mx_hash", F.md5(F.coalesce(F.col("_mx_ident").cast("string"), F.lit("")).cast("binary")))
-    rows = materialise(rows, "mix-sizes")
-    sizes = rows.groupBy("_mx_source").agg(F.sum("size").alias("_mx_total"), F.count(F.lit(1)).alias("_mx_rows"))
+    rows = materialise(rows.withColumn("_mx_row", F.monotonically_increasing_id()), "mix-sizes")
+    sizes = rows.groupBy("_mx_source").agg(F.sum("size").alias("_mx_total"))
     src = materialise(source_targets(sizes, weights, budget, most), "mix-targets")
-    largest = src.agg(F.max("_mx_rows")).first()[0] or 0
-    digits = min(8, max(0, math.ceil(math.log(max(1, largest / BLOCK_ROWS), 16))))
-    rows = rows.withColumn("_mx_block", F.left("_mx_hash", F.lit(digits)))
+    order = ["_mx_hash", "_mx_ident", "size", "_mx_row"]
+    rows = rows.repartitionByRange(shuffle_partitions(rows.sparkSession), "_mx_source", *order)
+    rows = materialise(rows.withColumn("_mx_part", F.spark_partition_id()), "mix-ordered")
 
     same = lambda a, b, *names: [a[n].eqNullSafe(b[n]) for n in names]
-    blocks = rows.groupBy("_mx_source", "_mx_block").agg(F.sum("size").alias("_mx_sum"))
-    in_order = Window.partitionBy("_mx_source").orderBy("_mx_block").rowsBetween(Window.unboundedPreceding, -1)
-    blocks = blocks.withColumn("_mx_begin", F.coalesce(F.sum("_mx_sum").over(in_order), F.lit(0)))
-    plan = blocks.join(src, same(blocks, src, "_mx_source")).select(
-        blocks["_mx_source"].alias("_mx_s"), blocks["_mx_block"].alias("_mx_b"), "_mx_begin", F.col("_mx_total").alias("source_size"), "target", "_mx_rank"
+    parts = rows.groupBy("_mx_source", "_mx_part").agg(F.sum("size").alias("_mx_sum"))
+    in_order = Window.partitionBy("_mx_source").orderBy("_mx_part").rowsBetween(Window.unboundedPreceding, -1)  # no more than there are partitions
+    parts = parts.withColumn("_mx_begin", F.coalesce(F.sum("_mx_sum").over(in_order), F.lit(0)))
+    plan = parts.join(src, same(parts, src, "_mx_source")).select(
+        parts["_mx_source"].alias("_mx_s"), parts["_mx_part"].alias("_mx_p"), "_mx_begin", F.col("_mx_total").alias("source_size"), "target", "_mx_rank"
     )
-    in_block = Window.partitionBy("_mx_source", "_mx_block").orderBy("_mx_hash", "_mx_ident", "size").rowsBetween(Window.unboundedPreceding, -1)
-    rows = rows.withColumn("_mx_before", F.coalesce(F.sum("size").over(in_block), F.lit(0)))
-    rows = rows.join(plan, rows["_mx_source"].eqNullSafe(plan["_mx_s"]) & (rows["_mx_block"] == plan["_mx_b"]))
+    in_part = Window.partitionBy("_mx_source", "_mx_part").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    rows = rows.withColumn("_mx_before", F.coalesce(F.sum("size").over(in_part), F.lit(0)))
+    rows = rows.join(plan, rows["_mx_source"].eqNullSafe(plan["_mx_s"]) & (rows["_mx_part"] == plan["_mx_p"]))
     rows = rows.withColumn("_mx_at", F.col("_mx_begin") + F.col("_mx_before")).withColumn("_mx_goal", F.floor(F.col("target") + 0.5))
 
     def taken(k: int):
@@ -112,20 +100,37 @@ def mix(docs: DataFrame, text: str = "text", ident: str = "doc_id", source: str
         "passes": sum(((taken(k) > 0).cast("int") for k in range(1, most)), (taken(0) > 0).cast("int")),
     })
     rows = rows.withColumn("position", F.when(taken(0) > 0, due(0)))
-    rows = rows.withColumn("positions", F.array_compact(F.array(*[F.when(taken(k) > 0, due(k)) for k in range(most)])))
+    return rows.withColumn("positions", F.array_compact(F.array(*[F.when(taken(k) > 0, due(k)) for k in range(most)])))
+
+
+def mix(docs: DataFrame, text: str = "text", ident: str = "doc_id", source: str = "source", weights=WEIGHTS, slopes=SLOPES, budget: float = 1.5, most: int = 2) -> DataFrame:
+    """One row for each input row: identifier, size, source_size, target, taken, passes, position, positions.
+
+    size: words of the text (null: 0). taken: words the mix takes of the document, repeats
+    counted, at most `most` times its size; a source's taken words add up to its target, rounded.
+    passes: how often the document is begun. position: training time in 0..1 of its first word
+    (null when none is taken), positions that of each pass. The order within a source is that of md5(identifier), then the
+    identifier, then the size; rows equal in all three are interchangeable. Null is a source of
+    its own, and comes last. An empty table gives an empty result. The rows come range-sorted by position.
+    """
+    rows = docs.select(docs[ident].alias("_mx_ident"), docs[source].alias("_mx_source"), word_count(docs[text]).alias("size"))
+    rows = _planned(rows, weights, slopes, budget, most)
     rows = rows.repartitionByRange(shuffle_partitions(docs.sparkSession), F.col("position").asc_nulls_last(), "_mx_ident")
     rows = rows.sortWithinPartitions(F.col("position").asc_nulls_last(), "_mx_ident")
     return rows.select(F.col("_mx_ident").alias(ident), F.col("size").cast("long"), F.col("source_size").cast("long"), "target", "taken", "passes", "position", "positions")
 
 
-def mixed_documents(docs: DataFrame, text: str = "text", ident: str = "doc_id", source: str = "source", **options) -> DataFrame:
+def mixed_documents(docs: DataFrame, text: str = "text", ident: str = "doc_id", source: str = "source", weights=WEIGHTS, slopes=SLOPES, budget: float = 1.5, most: int = 2) -> DataFrame:
     """The mix itself: the input's columns, a row for each pass of a document, range-sorted by training position.
 
     Documents the mix takes no word of go. Texts stay whole, the last one of a source too. Rows
-    that share an identifier get the passes of the one taken most; a null identifier is one like any other.
+    that share an identifier, null included, are planned each by itself; rows equal in all columns
+    are interchangeable, so one of them is put out as often as all of them are passed.
     """
-    plan = mix(docs, text, ident, source, **options).where("passes > 0")
-    plan = plan.groupBy(F.col(ident).alias("_mx_id")).agg(F.max(F.struct("passes", "positions"))["positions"].alias("_mx_positions"))
-    rows = docs.join(plan, docs[ident].eqNullSafe(plan["_mx_id"])).withColumn("_mx_position", F.explode("_mx_positions"))
-    rows = rows.repartitionByRange(shuffle_partitions(docs.sparkSession), "_mx_position", "_mx_id").sortWithinPartitions("_mx_position", "_mx_id")
+    rest = F.to_json(F.struct(*[docs[c] for c in docs.columns if c != text], docs[text].isNull().alias("_mx_none")))
+    copy = F.md5(F.concat(F.md5(F.coalesce(docs[text], F.lit("")).cast("binary")), rest).cast("binary")).alias("_mx_copy")
+    rows = docs.select(docs[ident].alias("_mx_ident"), docs[source].alias("_mx_source"), word_count(docs[text]).alias("size"), copy)
+    plan = _planned(rows, weights, slopes, budget, most).where("passes > 0").select("_mx_copy", F.explode("positions").alias("_mx_position"))
+    rows = docs.select("*", copy).dropDuplicates(["_mx_copy"]).join(plan, "_mx_copy")
+    rows = rows.repartitionByRange(shuffle_partitions(docs.sparkSession), "_mx_position", "_mx_copy").sortWithinPartitions("_mx_position", "_mx_copy")
     return rows.select(*docs.columns)

@@ -152,13 +152,30 @@ def test_mix(docs, rows):
 
 
 def test_mixed_documents(docs):
-    passes = Counter()
+    """Passes add up row by row, also where rows share an identifier."""
+    size = lambda t: len(WORD.findall(t or ""))
+    want = Counter()
     for r in mix(docs).collect():
-        passes[r["doc_id"]] = max(passes[r["doc_id"]], r["passes"])
-    rows = Counter(r["doc_id"] for r in docs.collect())
+        want[r["doc_id"], r["size"]] += r["passes"]
     out = mixed_documents(docs)
     assert out.columns == docs.columns
-    assert Counter(r["doc_id"] for r in out.collect()) == Counter({i: n * passes[i] for i, n in rows.items() if passes[i]})
+    assert Counter((r["doc_id"], size(r["text"])) for r in out.collect()) == +want
+
+
+def test_mix_of_rows_with_one_identifier(spark):
+    """Thousands of rows share an identifier or have none: targets are met, in words put out too."""
+    rows = [(7 if k % 2 else None, f"w{k % 5} x y z" if k % 3 else "same text", "a" if k % 4 else "b") for k in range(6000)]
+    rows += [(k, "some more words here", "c") for k in range(10, 500)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(3).persist()
+    out = mix(docs).collect()
+    total = sum(r["size"] for r in out)
+    goals = {(r["source_size"], r["target"]) for r in out}
+    assert len(out) == len(rows) and abs(sum(t for _, t in goals) - 1.5 * total) < 1e-6 * total
+    assert abs(sum(r["taken"] for r in out) - 1.5 * total) <= 3 and all(r["taken"] <= 2 * r["size"] for r in out)
+    given = Counter(r["source"] for r in docs.collect() for _ in r["text"].split())
+    put = Counter(r["source"] for r in mixed_documents(docs).collect() for _ in r["text"].split())
+    by_size = dict(goals)
+    assert all(abs(put[s] - by_size[n]) <= 4 for s, n in given.items())
 
 
 def test_shards(docs, rows):
