@@ -1,21 +1,27 @@
 """Exact dedup by a distributed content sort, in DataFrame functions only.
 
-Sampled splitters cut the order (leading characters, digest, row tie-break) of the normalised
-texts into ranges. Each range is sorted externally, which puts equal texts next to each other,
-and every row is compared in full with its neighbour. A group so large that a splitter falls
-inside it spans several ranges; there is at most one such group a splitter, so the partial
-results of those groups (a minimum and a count for each range) are merged and broadcast.
+Sampled splitters cut the order of the normalised bytes into ranges, one a partition. A splitter
+holds leading bytes; where several splitters share theirs, a second sample finds splitters with
+far longer leading bytes inside that prefix. Texts that agree in these too are told apart by
+digest, and equal texts by identifier and input partition, so that a range can end anywhere, also
+within a group of copies. Each range is sorted externally by the whole normalised bytes, which
+puts equal texts next to each other, and every row is compared in full with its neighbour. A
+group within which a range ends continues in the next one; there is at most one such group a
+splitter, and their partial results (a minimum and a count for each range) are merged by the
+whole text.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import SPACE_CLASS, materialise, shuffle_partitions
 
-#: Ranges for each shuffle partition, and the most ranges; a splitter takes about 120 bytes.
-RANGES_PER_PARTITION, MOST_RANGES, SAMPLES_PER_RANGE = 4, 16384, 8
+#: Sampled rows for each range; leading characters of a splitter, and of those within a prefix that has several.
+SAMPLES_PER_RANGE, LEADING, LEADING_LONG = 16, 32, 512
 
 
 def normalise(text: Column) -> Column:
@@ -23,21 +29,45 @@ def normalise(text: Column) -> Column:
     return F.regexp_replace(F.coalesce(text, F.lit("")), SPACE_CLASS, " ")
 
 
+def _begin(characters: int) -> Column:
+    """Leading characters and digest; no normalised text holds the tab that ends them, so equal texts alone share this."""
+    return F.concat(F.left("_xd_norm", F.lit(characters)), F.lit("\t"), "_xd_sha", F.lit("\t"))
+
+
 def _with_key(df: DataFrame, text: str, ident: str) -> DataFrame:
-    """_xd_sha: digest of the normalised text. _xd_key: its leading characters and the digest."""
+    """_xd_norm and _xd_sha: normalised text and its digest. _xd_tie: tells rows of equal texts apart, and even equal rows of several partitions."""
     df = df.withColumn("_xd_norm", normalise(F.col(text)))
     df = df.withColumn("_xd_sha", F.sha2(F.col("_xd_norm").cast("binary"), 256))
-    df = df.withColumn("_xd_key", F.concat(F.hex(F.left("_xd_norm", F.lit(16))), F.lit("."), "_xd_sha", F.lit(".")))
-    return df.withColumn("_xd_place", F.concat("_xd_key", F.lpad(F.hex(F.xxhash64(F.col(ident))), 16, "0"))).drop("_xd_norm")
+    return df.withColumn("_xd_tie", F.lpad(F.hex(F.xxhash64(F.col(ident), F.spark_partition_id())), 16, "0"))
+
+
+def _every(places: DataFrame, group: list[str], step: int) -> DataFrame:
+    """The step-th, 2 * step-th ... of the sampled places (column _xd_place) of each group, in order. A sample is of bounded size."""
+    row = F.row_number().over(Window.partitionBy(*(group or [F.lit(0)])).orderBy("_xd_place"))
+    return places.withColumn("_xd_row", row).where(F.col("_xd_row") % step == 0).drop("_xd_row")
 
 
-def splitters(docs: DataFrame, text: str, ident: str) -> list[str]:
-    """Range boundaries from a sample; at most MOST_RANGES strings of bounded length."""
-    ranges = min(MOST_RANGES, RANGES_PER_PARTITION * shuffle_partitions(docs.sparkSession))
+def splitters(docs: DataFrame, text: str, ident: str, ranges: int) -> tuple[list[str], list[str]]:
+    """(about `ranges` boundaries in order, the prefixes with boundaries of LEADING_LONG characters).
+
+    The driver gets a string a range: at most some hundred bytes, or LEADING_LONG characters.
+    """
     share = min(1.0, SAMPLES_PER_RANGE * ranges / max(1, docs.count()))
     sample = docs.select(ident, text).sample(share, seed=11) if share < 1 else docs.select(ident, text)
-    places = sorted(r[0] for r in _with_key(sample, text, ident).select("_xd_place").collect())
-    return sorted({places[len(places) * k // ranges] for k in range(1, ranges)}) if places else []
+    sample = _with_key(sample, text, ident).withColumn("_xd_lead", F.left("_xd_norm", F.lit(LEADING)))
+    short = materialise(sample.select("_xd_lead", F.concat(_begin(LEADING), "_xd_tie").alias("_xd_place")), "exact-sample")
+    step = max(1, math.ceil(short.count() / ranges))
+    found = [tuple(r) for r in _every(short, [], step).collect()]
+    counts: dict[str, int] = {}
+    for lead, _ in found:
+        counts[lead] = counts.get(lead, 0) + 1
+    long = sorted(lead for lead, n in counts.items() if n > 1)
+    bounds = {place for lead, place in found if counts[lead] == 1}
+    if long:
+        few = docs.sparkSession.createDataFrame([(x,) for x in long], "_xd_lead string")
+        places = sample.join(F.broadcast(few), "_xd_lead").select("_xd_lead", F.concat(_begin(LEADING_LONG), "_xd_tie").alias("_xd_place"))
+        bounds.update(r["_xd_place"] for r in _every(places, ["_xd_lead"], step).collect())
+    return sorted(bounds, key=lambda s: s.encode()), long
 
 
 def exact_dedup(docs: DataFrame, text: str = "text", ident: str = "doc_id", carry: list[str] | None = None) -> DataFrame:
@@ -49,10 +79,16 @@ def exact_dedup(docs: DataFrame, text: str = "text", ident: str = "doc_id", carr
     identifier exactly one is kept. carry: columns to pass on (default: the identifier); those
     named like a result column are replaced. An empty table gives an empty result.
     """
-    carry = [ident] if carry is None else carry
-    bounds = splitters(docs, text, ident)
-    rows = docs.select(*{c: None for c in [ident, text, *carry]})
-    rows = _with_key(rows.drop("_xd_sha", "_xd_key", "_xd_place"), text, ident)
+    spark, carry = docs.sparkSession, [ident] if carry is None else carry
+    bounds, long = splitters(docs, text, ident, shuffle_partitions(spark))
+    given = docs.select(*{c: None for c in [ident, text, *carry]})
+    rows = _with_key(given.drop("_xd_norm", "_xd_sha", "_xd_tie"), text, ident)
+    begin = _begin(LEADING)
+    if long:  # fewer than there are ranges
+        few = spark.createDataFrame([(x, True) for x in long], "_xd_lead string, _xd_long boolean")
+        rows = rows.withColumn("_xd_lead", F.left("_xd_norm", F.lit(LEADING))).join(F.broadcast(few), "_xd_lead", "left").drop("_xd_lead")
+        begin = F.when(F.col("_xd_long"), _begin(LEADING_LONG)).otherwise(begin)
+    rows = rows.withColumn("_xd_key", begin).withColumn("_xd_place", F.concat("_xd_key", "_xd_tie"))
     table = F.split(F.lit("\n".join(bounds)), "\n")
     steps = [1 << k for k in reversed(range(max(1, len(bounds).bit_length())))]
     found = F.aggregate(
@@ -61,31 +97,30 @@ def exact_dedup(docs: DataFrame, text: str = "text", ident: str = "doc_id", carr
     )
     rows = rows.withColumn("_xd_range", found if bounds else F.lit(0))
     on_edge = [F.coalesce(F.get(table, F.col("_xd_range") + k).startswith(F.col("_xd_key")), F.lit(False)) for k in (-1, 0)]
-    rows = rows.withColumn("_xd_edge", on_edge[0] | on_edge[1]).drop("_xd_place")
-
-    sort = Window.partitionBy("_xd_range").orderBy("_xd_key", F.col(ident).asc_nulls_last())
-    rows = rows.withColumns({"_xd_before": F.lag(text).over(sort), "_xd_key_before": F.lag("_xd_key").over(sort)})
-    rows = rows.withColumn(
-        "_xd_new",
-        F.when(F.col("_xd_key_before").isNull() | (F.col("_xd_key_before") != F.col("_xd_key")), True)
-        .otherwise(normalise(F.col("_xd_before")) != normalise(F.col(text))),
-    )
-    rows = rows.drop("_xd_before", "_xd_key_before", *([] if text in carry else [text]))
+    rows = rows.withColumn("_xd_edge", on_edge[0] | on_edge[1])
+    rows = rows.drop("_xd_place", "_xd_key", "_xd_tie", "_xd_long", *(["_xd_norm"] if text in carry else [text]))
+    rows = rows.repartitionById(len(bounds) + 1, "_xd_range")  # a range a task
+
+    whole = normalise(F.col(text)) if text in carry else F.col("_xd_norm")
+    sort = Window.partitionBy("_xd_range").orderBy(whole, F.col(ident).asc_nulls_last())
+    before = F.lag(text if text in carry else "_xd_norm").over(sort)
+    same = F.lag(F.lit(True), 1, False).over(sort) & (normalise(before) == whole if text in carry else before == whole)
+    rows = rows.withColumn("_xd_new", ~same)
+    rows = rows.withColumn("_xd_whole", F.when(F.col("_xd_edge") & F.col("_xd_new"), whole))
     so_far = sort.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     rows = rows.withColumns({
         "_xd_run": F.sum(F.col("_xd_new").cast("long")).over(so_far),
         "_xd_keep": F.last(F.when(F.col("_xd_new"), F.struct(F.col(ident).alias("id"))), ignorenulls=True).over(so_far),
     })
     rows = rows.withColumn("_xd_size", F.count(F.lit(1)).over(Window.partitionBy("_xd_range", "_xd_run")))
-    rows = materialise(rows.drop("_xd_run"), "exact-dedup")
+    rows = materialise(rows.drop("_xd_norm"), "exact-dedup")
 
     # Smallest first: a row with an identifier before one without, then the lower range.
     first = F.struct(F.col("_xd_keep.id").isNull().alias("none"), F.col("_xd_keep.id").alias("id"), F.col("_xd_range").alias("range"))
-    edges = (
-        rows.where("_xd_edge AND _xd_new").groupBy("_xd_key")
-        .agg(F.min(first).alias("_xd_first"), F.sum("_xd_size").alias("_xd_total"))
-    )
-    rows = rows.join(F.broadcast(edges), "_xd_key", "left")  # at most one row a splitter
+    edges = rows.where("_xd_whole IS NOT NULL").groupBy("_xd_whole")
+    edges = edges.agg(F.min(first).alias("_xd_first"), F.sum("_xd_size").alias("_xd_total"), F.collect_list(F.struct("_xd_range", "_xd_run")).alias("_xd_in"))
+    edges = edges.select("_xd_first", "_xd_total", F.inline("_xd_in"))
+    rows = rows.join(F.broadcast(edges), ["_xd_range", "_xd_run"], "left")  # at most two small rows a range
     here = F.col("_xd_first").isNull() | (first.eqNullSafe(F.col("_xd_first")))
     return rows.select(
         *[F.col(c) for c in carry if c not in ("keep_id", "group_size", "kept", "text_sha256")],

@@ -14,6 +14,7 @@ from tabloom.llm import queries as Q
 from tabloom.llm import sharding
 from tabloom.llm.bpe import bpe_roundtrip
 from tabloom.llm.exact_dedup import exact_dedup
+from tabloom.llm.exact_dedup import splitters as exact_dedup_splitters
 from tabloom.llm.mixing import mix, mixed_documents
 from tabloom.llm.mpeg_audio import mpeg_column
 from tabloom.llm.near_dedup import near_dedup
@@ -62,6 +63,28 @@ def test_exact_dedup_splits_a_hot_text(spark):
     assert sum(r["kept"] for r in out) == 2 and {r["group_size"] for r in out} == {3000, 1} and {r["keep_id"] for r in out} == {0, 5000}
 
 
+def test_exact_dedup_inside_long_prefixes_and_of_equal_rows(spark):
+    """Texts that share 40 and 600 characters, equal rows, and copies across ranges: several splitters fall into each."""
+    rows = [(k, "a" * 40 + f"{k % 700:03d}") for k in range(2000)] + [(3000 + k, "b" * 600 + f"{k % 300}  x") for k in range(900)]
+    rows += [(9, "equal")] * 800 + [(None, "\x01 no id")] * 700 + [(5000, "b" * 600 + "7 x")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(6).persist()
+    assert len(exact_dedup_splitters(docs, "text", "doc_id", 16)[1]) >= 2
+    groups = defaultdict(list)
+    for i, t in rows:
+        groups[normal(t)].append(i)
+    out = exact_dedup(docs, carry=["doc_id", "text"]).collect()
+    assert Counter((r["doc_id"], r["text"]) for r in out) == Counter(rows)
+    kept = Counter(normal(r["text"]) for r in out if r["kept"])
+    assert set(kept) == set(groups) and set(kept.values()) == {1}
+    for r in out:
+        ids = groups[normal(r["text"])]
+        assert r["group_size"] == len(ids) and r["keep_id"] == min((i for i in ids if i is not None), default=None)
+        assert not r["kept"] or r["doc_id"] == r["keep_id"]
+    bare = exact_dedup(docs).collect()
+    cells = lambda rows: Counter((r["doc_id"], r["keep_id"], r["group_size"], r["kept"], r["text_sha256"]) for r in rows)
+    assert cells(bare) == cells(out)
+
+
 @pytest.mark.parametrize(("words", "percent"), [(5, 80), (3, 85), (1, 60)])
 def test_near_dedup(docs, rows, words, percent):
     want = near_components([(i, t) for i, t, _ in rows], words, percent)
