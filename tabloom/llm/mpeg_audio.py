@@ -2,10 +2,10 @@
 
 The reader resynchronises on frame headers (a header counts when the next one, at the distance
 its own length says, is compatible, or the stream ends there), parses ID3 and APE tags and the
-Xing/Info and VBRI tables, verifies the checksums of Layer III frames, and gives the exact
-duration (samples over sample rate) and the byte offset of every frame. Checksums of Layers I and
-II are not verified, free-format streams are not read, and frames whose version, layer or rate
-differ from the first one's are skipped.
+Xing/Info and VBRI tables, verifies the frames' checksums (all layers), and gives the exact
+duration (samples over sample rate) and the byte offset of every frame. In a free-format stream
+the first two frames' distance gives the frame length. Frames whose version, layer or rate differ
+from the first one's are skipped.
 
 The writer puts a payload into MPEG-1 Layer III frames (32 kHz, mono, with checksum) whose side
 information says that they hold no audio, so that the whole body of each frame is ancillary
@@ -19,7 +19,7 @@ import hashlib
 import struct
 import zlib
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from fractions import Fraction
 
 import pyarrow as pa
@@ -37,6 +37,10 @@ BITRATES = {
 }
 RATES = {3: (44100, 48000, 32000), 2: (22050, 24000, 16000), 0: (11025, 12000, 8000)}  # by version bits
 VERSIONS = {3: "1", 2: "2", 0: "2.5"}
+#: Layer II: bits of the allocation of each subband, by table, as (subbands, bits) runs.
+ALLOCATION = {"wide": ((11, 4), (12, 3), (4, 2)), "wider": ((11, 4), (12, 3), (7, 2)), "low": ((2, 4), (6, 3)), "low32": ((2, 4), (10, 3)), "half": ((4, 4), (7, 3), (19, 2))}
+#: Bytes up to which the next frame of a free-format stream is looked for: 640 kbit/s at 8 kHz, of 1152 samples.
+FREE_FRAME = 640_000 * 144 // 8000
 #: Frames that have to follow each other before a stream counts as found.
 SYNC_FRAMES = 2
 
@@ -54,10 +58,13 @@ def _crc_table() -> list[int]:
 _CRC = _crc_table()
 
 
-def crc16(data: bytes, value: int = 0xFFFF) -> int:
-    """The checksum of MPEG audio: polynomial 8005, high bit first, from FFFF."""
-    for b in data:
+def crc16(data: bytes, value: int = 0xFFFF, bits: int = 0) -> int:
+    """The checksum of MPEG audio: polynomial 8005, high bit first, from FFFF. bits: that many upper bits of the last byte count (0: all)."""
+    for b in data[:-1] if bits else data:
         value = ((value << 8) & 0xFFFF) ^ _CRC[(value >> 8) ^ b]
+    for k in range(bits):
+        high = (value >> 15) ^ (data[-1] >> (7 - k) & 1)
+        value = (value << 1) & 0xFFFF ^ 0x8005 * high
     return value
 
 
@@ -71,6 +78,18 @@ class Header:
     size: int
     samples: int
     mono: bool
+    bound: int = 32  # subband from which two channels share an allocation (Layers I and II)
+    pad: int = 0
+
+    @property
+    def allocation(self) -> tuple:
+        """Layer II: the runs of the table that rate and bit rate choose."""
+        if self.version != 3:
+            return ALLOCATION["half"]
+        each = self.kbps if self.mono else self.kbps // 2
+        if each and each < 56:
+            return ALLOCATION["low32" if self.rate == 32000 else "low"]
+        return ALLOCATION["wider" if (each >= 96 or not each) and self.rate != 48000 else "wide"]
 
     @property
     def side(self) -> int:
@@ -85,19 +104,20 @@ class Header:
 
 
 def read_header(word: bytes, known: dict[bytes, Header | None]) -> Header | None:
-    """The header in four bytes, or None if they are none (free-format streams aren't read)."""
+    """The header in four bytes, or None if they are none. A free-format header has bit rate and size 0."""
     if word in known:
         return known[word]
     out = None
     if len(word) == 4 and word[0] == 0xFF and word[1] & 0xE0 == 0xE0:
         version, layer = (word[1] >> 3) & 3, 4 - ((word[1] >> 1) & 3)
         index, rate = word[2] >> 4, (word[2] >> 2) & 3
-        if version != 1 and layer != 4 and 0 < index < 15 and rate < 3 and word[3] & 3 != 2:
+        if version != 1 and layer != 4 and index < 15 and rate < 3 and word[3] & 3 != 2:
             kbps = BITRATES[(1, layer) if version == 3 else (2, min(layer, 2))][index]
             hz, pad = RATES[version][rate], (word[2] >> 1) & 1
             samples = 384 if layer == 1 else 1152 if layer == 2 or version == 3 else 576
             size = (12 * kbps * 1000 // hz + pad) * 4 if layer == 1 else samples // 8 * kbps * 1000 // hz + pad
-            out = Header(version, layer, not word[1] & 1, kbps, hz, size, samples, word[3] >> 6 == 3)
+            joint = word[3] >> 6 == 1
+            out = Header(version, layer, not word[1] & 1, kbps, hz, size if kbps else 0, samples, word[3] >> 6 == 3, 4 * (word[3] >> 4 & 3) + 4 if joint else 32, pad * (4 if layer == 1 else 1))
     if len(known) < 4096:
         known[word] = out
     return out
@@ -166,18 +186,66 @@ def _table(data: bytes, at: int, head: Header) -> dict:
     return {}
 
 
+def protected_bits(data: bytes, at: int, head: Header) -> int:
+    """Bits after the checksum of the frame at `at` that the checksum covers: side information, or allocation and, in Layer II, scale factor selection."""
+    if head.layer == 3:
+        return 8 * head.side
+    channels = 1 if head.mono else 2
+    if head.layer == 1:
+        return 4 * (32 if head.mono else 32 + min(head.bound, 32))
+    p, used, chosen = (at + 6) * 8, 0, 0
+    widths = [w for n, w in head.allocation for _ in range(n)]
+    for band, w in enumerate(widths):
+        shared = channels == 2 and band >= head.bound
+        for _ in range(1 if shared or channels == 1 else 2):
+            a = p + used
+            word = int.from_bytes(data[a >> 3 : (a >> 3) + 2].ljust(2, b"\0"), "big")
+            if word >> (16 - (a & 7) - w) & ((1 << w) - 1):
+                chosen += channels if shared else 1
+            used += w
+    return used + 2 * chosen
+
+
+def checksum_holds(data: bytes, at: int, head: Header, known: dict[bytes, int]) -> bool:
+    """Whether the checksum of a protected frame is that of its header's last bytes and its protected bits."""
+    bits = protected_bits(data, at, head)
+    part = data[at + 2 : at + 4] + data[at + 6 : at + 6 + (bits + 7) // 8]
+    if part not in known:
+        if len(known) >= 4096:
+            known.clear()
+        known[part] = crc16(part, bits=bits & 7)
+    return known[part] == int.from_bytes(data[at + 4 : at + 6], "big")
+
+
+def _free_size(data: bytes, at: int, head: Header, known: dict) -> int:
+    """Length without padding of the free-format frames from `at` on, or 0: the next two like headers must lie that far apart."""
+    p = at + 4
+    while (p := data.find(data[at : at + 2], p + 1, at + FREE_FRAME)) >= 0:
+        near = read_header(data[p : p + 4], known)
+        if near is not None and not near.size and near.kind == head.kind:
+            size = p - at - head.pad
+            q = p + size + near.pad
+            after = read_header(data[q : q + 4], known)
+            if q == len(data) or data[q : q + 3] in (b"TAG", b"APE") or after is not None and not after.size and after.kind == head.kind:
+                return size
+    return 0
+
+
 def read_stream(data: bytes) -> Stream:
     """Parses bytes that may hold tags, junk, cut-off frames and an MPEG audio stream."""
-    out, known, sums, at, n, in_step = Stream(), {}, {}, 0, len(data), False
+    out, known, sums, at, n, in_step, free = Stream(), {}, {}, 0, len(data), False, 0
     while at < n:
         head = read_header(data[at : at + 4], known)
-        if head is not None and not in_step:
+        if head is not None and not head.size:
+            free = free or (_free_size(data, at, head, known) if out.kind is None else 0)
+            head = replace(head, size=free + head.pad) if free else None
+        elif head is not None and not in_step:
             p, near = at + head.size, head
             for _ in range(SYNC_FRAMES - 1):
                 if p >= n or data[p : p + 3] in (b"TAG", b"APE"):
                     break
                 near = read_header(data[p : p + 4], known)
-                if near is None or near.kind != head.kind:
+                if near is None or not near.size or near.kind != head.kind:
                     head = None
                     break
                 p += near.size
@@ -194,12 +262,9 @@ def read_stream(data: bytes) -> Stream:
             out.kbps.add(head.kbps)
             out.samples += head.samples
             start = at + 4 + 2 * head.checked + head.side
-            if head.checked and head.layer == 3:
-                part = data[at + 2 : at + 4] + data[at + 6 : start]
-                if part not in sums and len(sums) < 4096:
-                    sums[part] = crc16(part)
+            if head.checked:
                 out.checked += 1
-                out.wrong += (sums.get(part) or crc16(part)) != int.from_bytes(data[at + 4 : at + 6], "big")
+                out.wrong += not checksum_holds(data, at, head, sums)
             out.body.append((start, at + head.size))
             at += head.size
             continue
@@ -278,8 +343,8 @@ def mpeg_column(docs: DataFrame, text: str = "text", ident: str = "doc_id", with
 
     Columns: identifier, n_bytes (UTF-8, unpadded), payload_bytes (padded with zeros to a
     positive multiple of 64), payload_sha256 and tail_crc32 (last 64 bytes) of what was read
-    back, media_bytes, media_sha256, feature, seconds (exact), and with with_media also media
-    and seek_offsets. Null counts as empty: 64 zero bytes. Rows are independent; equal texts
+    back, media_bytes, media_sha256, feature, seconds (exact), seek_offsets (the byte at which
+    each frame starts), and with with_media also media. Null counts as empty: 64 zero bytes. Rows are independent; equal texts
     give equal values.
     """
     bounded_batches(docs.sparkSession)
@@ -293,15 +358,15 @@ def mpeg_column(docs: DataFrame, text: str = "text", ident: str = "doc_id", with
                 payload = raw + bytes(-len(raw) % 64 or (64 if not raw else 0))
                 stored = write_stream(payload)
                 back, s = read_payload(stored)
-                row = (len(raw), len(back), hashlib.sha256(back).hexdigest(), zlib.crc32(back[-64:]), len(stored), hashlib.sha256(stored).hexdigest(), feature(s), f"{s.duration}")
-                out.append((*row, stored, s.offsets) if with_media else row)
-            kinds = [pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.binary(), pa.list_(pa.int64())]
-            columns = [pa.array(list(x), k) for x, k in zip(zip(*out, strict=True) if out else [()] * (10 if with_media else 8), kinds, strict=False)]
+                row = (len(raw), len(back), hashlib.sha256(back).hexdigest(), zlib.crc32(back[-64:]), len(stored), hashlib.sha256(stored).hexdigest(), feature(s), f"{s.duration}", s.offsets)
+                out.append((*row, stored) if with_media else row)
+            kinds = [pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.list_(pa.int64()), pa.binary()]
+            columns = [pa.array(list(x), k) for x, k in zip(zip(*out, strict=True) if out else [()] * (10 if with_media else 9), kinds, strict=False)]
             yield pa.RecordBatch.from_arrays([batch.column(0), *columns], names=["id", *_COLUMNS[: len(columns)]])
 
-    shape = f"id {kind}, " + ", ".join(f"{c} {k}" for c, k in list(zip(_COLUMNS, _KINDS, strict=True))[: 10 if with_media else 8])
+    shape = f"id {kind}, " + ", ".join(f"{c} {k}" for c, k in list(zip(_COLUMNS, _KINDS, strict=True))[: 10 if with_media else 9])
     return docs.select(docs[ident].alias("id"), docs[text].alias("text")).mapInArrow(run, shape).withColumnRenamed("id", ident)
 
 
-_COLUMNS = ["n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature", "seconds", "media", "seek_offsets"]
-_KINDS = ["long", "long", "string", "long", "long", "string", "string", "string", "binary", "array<long>"]
+_COLUMNS = ["n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature", "seconds", "seek_offsets", "media"]
+_KINDS = ["long", "long", "string", "long", "long", "string", "string", "string", "array<long>", "binary"]

@@ -2,7 +2,9 @@
 
 import random
 import re
+import struct
 import zlib
+from fractions import Fraction
 
 import numpy as np
 import public_tokenizers as P
@@ -115,6 +117,89 @@ def test_mpeg_reader_survives_junk_and_damage():
     assert mpeg_audio.read_stream(b"").offsets == [] and zlib.crc32(b"") == 0
 
 
+def _frame(version, layer, index, rate, mode, body, bits, checked=True, pad=0):
+    """A frame whose checksum covers the first `bits` bits of body, summed bit by bit."""
+    head = bytes([0xFF, 0xE0 | version << 3 | (4 - layer) << 1 | (not checked), index << 4 | rate << 2 | pad << 1, mode])
+    value = 0xFFFF
+    for k in range(16 + bits):
+        bit = (head[2:] + body)[k >> 3] >> (7 - k % 8) & 1
+        value = value << 1 & 0xFFFF ^ (0x8005 if value >> 15 ^ bit else 0)
+    return head + value.to_bytes(2, "big") * checked + body
+
+
+def test_checksums_of_all_layers():
+    rng = random.Random(7)
+    noise = lambda n: bytes(rng.randrange(256) for _ in range(n))
+    wide = [4] * 11 + [3] * 12 + [2] * 4
+    cases = []
+    # Layer I, 128 kbit/s, 44.1 kHz: stereo, joint stereo from subband 8, mono.
+    for mode, bits in ((0x00, 256), (0x50, 4 * 40), (0xC0, 128)):
+        cases.append((3, 1, 4, 0, mode, 136, lambda body, bits=bits: bits))
+
+    def chosen(widths, bound, channels):
+        def bits(body):
+            word, at, n = int.from_bytes(body, "big"), 0, 0
+            for band, w in enumerate(widths):
+                for _ in range(1 if channels == 1 or band >= bound else 2):
+                    n += (2 if channels == 2 and band >= bound else 1) * bool(word >> (8 * len(body) - at - w) & ((1 << w) - 1))
+                    at += w
+            return at + 2 * n
+
+        return bits
+
+    # Layer II: 192 kbit/s stereo at 44.1 kHz, 64 mono at 48, 64 stereo at 32, joint from subband 4, MPEG-2 64 at 22.05, MPEG-2.5 at 8.
+    cases += [(3, 2, 10, 0, 0x00, 1152 // 8 * 192000 // 44100, chosen(wide + [2] * 3, 32, 2)), (3, 2, 4, 1, 0xC0, 1152 // 8 * 64000 // 48000, chosen(wide, 32, 1))]
+    cases += [(3, 2, 4, 2, 0x00, 1152 // 8 * 64000 // 32000, chosen([4] * 2 + [3] * 10, 32, 2)), (3, 2, 8, 1, 0x40, 1152 // 8 * 128000 // 48000, chosen(wide, 4, 2))]
+    half = [4] * 4 + [3] * 7 + [2] * 19
+    cases += [(2, 2, 8, 0, 0x00, 1152 // 8 * 64000 // 22050, chosen(half, 32, 2)), (0, 2, 8, 2, 0xC0, 1152 // 8 * 64000 // 8000, chosen(half, 32, 1))]
+    # Layer III: MPEG-2 stereo and MPEG-2.5 mono.
+    cases += [(2, 3, 8, 0, 0x00, 576 // 8 * 64000 // 22050, lambda body: 136), (0, 3, 8, 2, 0xC0, 576 // 8 * 64000 // 8000, lambda body: 72)]
+    for version, layer, index, rate, mode, size, bits in cases:
+        size = 4 * (12 * 128000 // 44100) if layer == 1 else size
+        bodies = [noise(size - 6) if k else bytes(size - 6) for k in range(5)]
+        frames = [_frame(version, layer, index, rate, mode, b, bits(b)) for b in bodies]
+        s = mpeg_audio.read_stream(b"".join(frames))
+        assert (len(s.offsets), s.checked, s.wrong, s.skipped) == (5, 5, 0, 0), (version, layer, mode)
+        assert s.duration == Fraction(5 * {1: 384, 2: 1152, 3: 576}[layer], mpeg_audio.RATES[version][rate])
+        bad = bytearray(b"".join(frames))
+        bad[2 * size + 6] ^= 0x40
+        bad[3 * size + size - 1] ^= 1  # not protected
+        assert mpeg_audio.read_stream(bytes(bad)).wrong == 1, (version, layer, mode)
+
+
+def test_free_format():
+    rng = random.Random(8)
+    frames = []
+    for k in range(9):
+        pad = k % 3 == 1
+        body = bytes(rng.randrange(255) for _ in range(700 - 4 + pad))
+        frames.append(_frame(3, 3, 0, 0, 0x00, body, 0, checked=False, pad=pad))
+    s = mpeg_audio.read_stream(b"junk" + b"".join(frames) + b"TAG" + bytes(125))
+    assert s.offsets == [4 + sum(map(len, frames[:k])) for k in range(9)] and s.samples == 9 * 1152 and s.skipped == 4
+
+
+def test_tags_and_tables():
+    def text_frame(name, value, length):
+        return name + length(len(value) + 1) + (b"" if len(name) == 3 else b"\0\0") + b"\0" + value
+
+    plain = lambda n: n.to_bytes(4, "big")
+    frames = mpeg_audio.write_stream(bytes(8000))
+    audio = frames[mpeg_audio.read_stream(frames).offsets[0] :]
+    for major, body in ((2, text_frame(b"TT2", b"old", lambda n: n.to_bytes(3, "big"))), (3, text_frame(b"TIT2", b"x" * 200, plain)), (4, text_frame(b"TIT2", b"y" * 200, lambda n: bytes([0, 0, n >> 7, n & 127])))):
+        head = b"ID3" + bytes([major, 0, 0, 0, 0, len(body) >> 7, len(body) & 127])
+        s = mpeg_audio.read_stream(head + body + audio)
+        assert list(s.tags.values()) == [{2: "old", 3: "x" * 200, 4: "y" * 200}[major]] and s.offsets[0] == len(head + body) and s.skipped == 0
+    ape = b"APETAGEX" + (2000).to_bytes(4, "little") + (32).to_bytes(4, "little") + bytes(4) + (0xA0000000).to_bytes(4, "little") + bytes(8)
+    s = mpeg_audio.read_stream(ape + bytes(32) + audio)
+    assert s.offsets[0] == 32 + 32 and s.skipped == 0
+    # A VBRI table stands 32 bytes after the header: version, delay, quality, bytes, frames, entries, scale, width, frames an entry.
+    table = struct.pack(">4sHHHIIHHHH", b"VBRI", 1, 0, 75, 9000, 6, 3, 2, 2, 2) + struct.pack(">3H", 10, 20, 30)
+    head = bytes([0xFF, 0xFB, 9 << 4 | 2 << 2, 0xC4])
+    first = (head + bytes(32) + table).ljust(144 * 128000 // 32000, b"\0")
+    s = mpeg_audio.read_stream(first + audio)
+    assert s.table == {"table": "VBRI", "bytes": 9000, "frames": 6, "toc": [20, 40, 60], "frames_per_entry": 2} and s.offsets[0] == len(first)
+
+
 def test_weak_parts_count_only_together():
     secret = "aB3dE5gH7jK9mN1pQ3sT5vX7zA9c"
     for text, linked in (
