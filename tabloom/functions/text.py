@@ -13,8 +13,10 @@ NAME_LENGTH, TABLE_NAME_LENGTH = 300, 1024
 
 
 def strip(c: Column) -> Column:
-    """Without white space (any in Unicode) at both ends."""
-    return F.regexp_replace(c, f"^{SPACE}+|{SPACE}+$", "")
+    """Without white space (any in Unicode) at both ends. Most values have none, which two characters show."""
+    c = c.cast("string")
+    edge = F.left(c, F.lit(1)).rlike(SPACE) | F.right(c, F.lit(1)).rlike(SPACE)
+    return F.when(edge, F.regexp_replace(c, f"^{SPACE}+|{SPACE}+$", "")).otherwise(c)
 
 
 def is_blank(c: Column) -> Column:
@@ -38,7 +40,8 @@ def all_digits(c: Column) -> Column:
 
 def sanitize_name(c: Column) -> Column:
     """A valid column or table name; null counts as the word None."""
-    s = F.regexp_replace(strip(F.coalesce(c.cast("string"), F.lit("None"))), NOT_WORD, "_")
+    s = F.left(strip(F.coalesce(c.cast("string"), F.lit("None"))), F.lit(NAME_LENGTH))  # characters are replaced one by one, so only these count
+    s = F.regexp_replace(s, NOT_WORD, "_")
     s = F.when(s == "", "_unnamed").when(s.rlike("^[A-Za-z_]"), s).otherwise(F.concat(F.lit("_"), s))
     return F.left(s, F.lit(NAME_LENGTH))
 

@@ -9,18 +9,26 @@ from .text import strip
 from .tokens import FALSE_WORDS, INFINITE, NUMBER, TRUE_WORDS
 
 
+def stripped_is_number(s: Column) -> Column:
+    return s.rlike(NUMBER) | s.rlike(INFINITE)
+
+
 def is_number(c: Column) -> Column:
-    return strip(c).rlike(NUMBER) | strip(c).rlike(INFINITE)
+    return stripped_is_number(strip(c))
 
 
 def to_double(c: Column) -> Column:
     return F.when(is_number(c), strip(c).try_cast("double"))
 
 
+def whole(d: Column) -> Column:
+    """A double without a fraction that a long can hold."""
+    return F.coalesce((F.abs(d) < 9.2e18) & (d == F.floor(d).cast("double")), F.lit(False))
+
+
 def is_integral(c: Column) -> Column:
     """A number without a fraction that a long can hold, such as 7, 7.0 or 7e2."""
-    d = to_double(c)
-    return F.coalesce((F.abs(d) < 9.2e18) & (d == F.floor(d).cast("double")), F.lit(False))
+    return whole(to_double(c))
 
 
 def to_long(c: Column) -> Column:
@@ -65,8 +73,15 @@ DATE_FORMS: tuple[tuple[str, str, str | None], ...] = (
 
 def parse_date_form(c: Column, form: str) -> Column:
     """A timestamp where the value has the named form and is a valid date; a column has one form."""
+    return stripped_date_form(strip(c), form)
+
+
+#: What all date forms begin with.
+DATE_START = r"^([0-9]{1,4}[-/]|[A-Za-z]{3} )"
+
+
+def stripped_date_form(s: Column, form: str) -> Column:
     _, regex, pattern = next(f for f in DATE_FORMS if f[0] == form)
-    s = strip(c)
     parsed = s.try_cast("timestamp") if pattern is None else F.try_to_timestamp(s, F.lit(pattern))
     return F.when(s.rlike(regex), parsed)
 

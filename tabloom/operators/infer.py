@@ -10,9 +10,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.text import all_digits
+from ..functions.text import all_digits, strip
 from ..functions.tokens import LOGICAL_TYPES
-from ..functions.values import DATE_FORMS, is_integral, is_number, is_truth_word, parse_date_form
+from ..functions.values import DATE_FORMS, DATE_START, is_truth_word, stripped_date_form, stripped_is_number, whole
 
 Schema = list[dict[str, str]]
 
@@ -30,17 +30,24 @@ def logical_type(kind: T.DataType) -> str:
 
 
 def column_statistics(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
-    """One row a text column: how many values are there, and how many fit each type. A single aggregation over df."""
+    """One row a text column: how many values are there, and how many fit each type. A single aggregation over df.
+
+    Cells become rows first, so that the code for one cell is small and compiled once, whatever
+    the number of columns. Each cell is stripped once, and only what can be a number or a date is
+    tried as one.
+    """
     columns = df.columns if columns is None else columns
-    aggs = []
-    for k, name in enumerate(columns):
-        c = F.col(f"`{name}`")
-        counts = [F.count(c).alias("n")]
-        counts += [F.count_if(x).alias(n) for n, x in (("n_number", is_number(c)), ("n_integral", is_integral(c)), ("n_digits", all_digits(c)), ("n_truth", is_truth_word(c)))]
-        counts += [F.count(parse_date_form(c, form)).alias(f"n_{form}") for form, _, _ in DATE_FORMS]
-        aggs.append(F.struct(F.lit(k).alias("position"), F.lit(name).alias("name"), *counts).alias(f"_{k}"))
-    one = df.agg(*aggs)
-    return one.select(F.explode(F.array(*[F.col(f"_{k}") for k in range(len(columns))])).alias("s")).select("s.*")
+    cells = df.select(F.posexplode(F.array(*[F.col(f"`{c}`") for c in columns])).alias("position", "v")).withColumn("s", strip(F.col("v")))
+    value, s = F.col("v"), F.col("s")
+    cells = cells.withColumns({"d": F.when(stripped_is_number(s), s.try_cast("double")), "dated": F.coalesce(s.rlike(DATE_START), F.lit(False))})
+    counts = [F.count("v").alias("n"), F.count("d").alias("n_number")]
+    counts += [F.count_if(x).alias(n) for n, x in (("n_integral", whole(F.col("d"))), ("n_digits", all_digits(value)), ("n_truth", is_truth_word(value)))]
+    counts += [F.count(F.when(F.col("dated"), stripped_date_form(s, form))).alias(f"n_{form}") for form, _, _ in DATE_FORMS]
+    found = cells.groupBy("position").agg(*counts)
+    # Every column has a row, also where df has none.
+    names = df.sparkSession.createDataFrame(list(enumerate(columns)), "position int, name string")
+    found = names.join(F.broadcast(found), "position", "left")  # a row a column
+    return found.select("position", "name", *[F.coalesce(c, F.lit(0)).alias(c) for c in found.columns[2:]])
 
 
 def sniffed(statistics: DataFrame) -> DataFrame:
