@@ -13,8 +13,6 @@ whole text.
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -22,6 +20,8 @@ from .common import SPACE_CLASS, materialise, shuffle_partitions
 
 #: Sampled rows for each range; leading characters of a splitter, and of those within a prefix that has several.
 SAMPLES_PER_RANGE, LEADING, LEADING_LONG = 16, 32, 512
+#: What a row counts besides its text, when ranges are made equal.
+ROW_BYTES = 128
 
 
 def normalise(text: Column) -> Column:
@@ -41,10 +41,11 @@ def _with_key(df: DataFrame, text: str, ident: str) -> DataFrame:
     return df.withColumn("_xd_tie", F.lpad(F.hex(F.xxhash64(F.col(ident), F.spark_partition_id())), 16, "0"))
 
 
-def _every(places: DataFrame, group: list[str], step: int) -> DataFrame:
-    """The step-th, 2 * step-th ... of the sampled places (column _xd_place) of each group, in order. A sample is of bounded size."""
-    row = F.row_number().over(Window.partitionBy(*(group or [F.lit(0)])).orderBy("_xd_place"))
-    return places.withColumn("_xd_row", row).where(F.col("_xd_row") % step == 0).drop("_xd_row")
+def _every(places: DataFrame, step: float) -> DataFrame:
+    """Of the sampled places (_xd_place with _xd_weight), in order, those at which the sum of weights passes a multiple of step. A sample is of bounded size."""
+    so_far = Window.partitionBy(F.lit(0)).orderBy("_xd_place").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    places = places.withColumn("_xd_sum", F.sum("_xd_weight").over(so_far))
+    return places.where(F.floor(F.col("_xd_sum") / step) > F.floor((F.col("_xd_sum") - F.col("_xd_weight")) / step))
 
 
 def splitters(docs: DataFrame, text: str, ident: str, ranges: int) -> tuple[list[str], list[str]]:
@@ -54,10 +55,10 @@ def splitters(docs: DataFrame, text: str, ident: str, ranges: int) -> tuple[list
     """
     share = min(1.0, SAMPLES_PER_RANGE * ranges / max(1, docs.count()))
     sample = docs.select(ident, text).sample(share, seed=11) if share < 1 else docs.select(ident, text)
-    sample = _with_key(sample, text, ident).withColumn("_xd_lead", F.left("_xd_norm", F.lit(LEADING)))
-    short = materialise(sample.select("_xd_lead", F.concat(_begin(LEADING), "_xd_tie").alias("_xd_place")), "exact-sample")
-    step = max(1, math.ceil(short.count() / ranges))
-    found = [tuple(r) for r in _every(short, [], step).collect()]
+    sample = _with_key(sample, text, ident).withColumns({"_xd_lead": F.left("_xd_norm", F.lit(LEADING)), "_xd_weight": F.octet_length("_xd_norm") + ROW_BYTES})
+    short = materialise(sample.select("_xd_lead", "_xd_weight", F.concat(_begin(LEADING), "_xd_tie").alias("_xd_place")), "exact-sample")
+    step = max(1, (short.agg(F.sum("_xd_weight")).first()[0] or 0) / ranges)
+    found = [tuple(r) for r in _every(short, step).select("_xd_lead", "_xd_place").collect()]
     counts: dict[str, int] = {}
     for lead, _ in found:
         counts[lead] = counts.get(lead, 0) + 1
@@ -65,8 +66,8 @@ def splitters(docs: DataFrame, text: str, ident: str, ranges: int) -> tuple[list
     bounds = {place for lead, place in found if counts[lead] == 1}
     if long:
         few = docs.sparkSession.createDataFrame([(x,) for x in long], "_xd_lead string")
-        places = sample.join(F.broadcast(few), "_xd_lead").select("_xd_lead", F.concat(_begin(LEADING_LONG), "_xd_tie").alias("_xd_place"))
-        bounds.update(r["_xd_place"] for r in _every(places, ["_xd_lead"], step).collect())
+        places = sample.join(F.broadcast(few), "_xd_lead").select("_xd_weight", F.concat(_begin(LEADING_LONG), "_xd_tie").alias("_xd_place"))
+        bounds.update(r["_xd_place"] for r in _every(places, step).collect())
     return sorted(bounds, key=lambda s: s.encode()), long
 
 
