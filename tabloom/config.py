@@ -13,6 +13,7 @@ class EngineConfig:
 
     schema_strategy: `existing`, `suggest` and `sniff` joined by `_or_`, tried in that order.
     write_disposition: WRITE_APPEND, WRITE_TRUNCATE or WRITE_EMPTY.
+    large_csv_mb: larger CSV files are split over tasks.
     detect: `grouped` (a sheet a task), `distributed` (sheets of any size) or `whole_sheet`.
     """
 
@@ -31,6 +32,7 @@ class EngineConfig:
     trim_rows: bool = False
     detect: str = "grouped"
     parquet_as_grid: bool = False
+    large_csv_mb: int = 64
     strict_integers: bool = False
     skip_repeated_messages: bool = True
     log_level: str = "INFO"

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import NAME_LENGTH, null_tokens, strip
 from .header import header_names, promotes
+from .infer import ROW_ORDER
 
 
 def numbered_repeats(df: DataFrame, name: str, order: str, out: str, partition: list[str] | None = None) -> DataFrame:
@@ -40,10 +41,10 @@ def table_frame(rows: DataFrame, width: int) -> DataFrame:
     return rows.select("row_idx", *[F.get("cells", F.lit(k)).alias(f"_c{k}") for k in range(width)])
 
 
-def clean_table(rows: DataFrame, width: int) -> DataFrame:
+def clean_table(rows: DataFrame, width: int, keep_order: bool = False) -> DataFrame:
     """A detected table (rows numbered from 0, cells of one width) to a frame of named text columns.
 
-    row_idx is dropped at the end; physical names stay _c0, _c1 ... until then, as names may
+    row_idx is dropped at the end, or with keep_order named ROW_ORDER; physical names stay _c0, _c1 ... until then, as names may
     differ in case only. One row is moved to the driver.
     """
     first = rows.where("row_idx = 0").select("cells").first()
@@ -54,4 +55,5 @@ def clean_table(rows: DataFrame, width: int) -> DataFrame:
     frame = drop_empty(frame, [f"_c{k}" for k in range(width)])
     left = [c for c in frame.columns if c != "row_idx"]
     frame = clean_values(frame, left)
-    return frame.select(*[F.col(c).alias(names[int(c[2:])]) for c in left])
+    order = [F.col("row_idx").alias(ROW_ORDER)] if keep_order else []
+    return frame.select(*[F.col(c).alias(names[int(c[2:])]) for c in left], *order)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 import re
+import threading
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame
@@ -15,6 +16,8 @@ from ..functions.tokens import LOGICAL_TYPES
 from ..functions.values import DATE_FORMS, DATE_START, is_truth_word, stripped_date_form, stripped_is_number, whole
 
 Schema = list[dict[str, str]]
+#: A column that numbers the rows of a frame and is no data. No cleaned name holds a space.
+ROW_ORDER = "row idx"
 
 
 def logical_type(kind: T.DataType) -> str:
@@ -63,14 +66,16 @@ def sniffed(statistics: DataFrame) -> DataFrame:
 
 def sniff_schema(df: DataFrame) -> Schema:
     """Of every column: text columns by their values, others by their type."""
+    df = df.drop(ROW_ORDER)
     text = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
     found = {r["name"]: r["type"] for r in sniffed(column_statistics(df, text)).collect()} if text else {}
     return [{"name": f.name, "type": found.get(f.name) or logical_type(f.dataType), "mode": "NULLABLE"} for f in df.schema.fields]
 
 
-def sample_rows(df: DataFrame, order: str | list[str], rows: int = 5) -> DataFrame:
-    """The first rows in a stated order, as text, null as the word null."""
-    return df.orderBy(order).limit(rows).select(*[F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("null")).alias(c) for c in df.columns])
+def sample_rows(df: DataFrame, order: str | list[str] | None, rows: int = 5) -> DataFrame:
+    """The first rows in a stated order (without one, as they are read), as text, null as the word null."""
+    first = (df.orderBy(order) if order else df).limit(rows)
+    return first.select(*[F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("null")).alias(c) for c in df.columns if c != ROW_ORDER])
 
 
 def sample_text(df: DataFrame) -> str | None:
@@ -109,14 +114,37 @@ def check_suggestion(suggestion: object, columns: list[str]) -> Schema | None:
     return out or None
 
 
-def suggest_schema(df: DataFrame, suggester: Callable[[str, list[str]], str] | None, order: str | list[str], rows: int = 5) -> Schema | None:
-    """A schema from an injected function of (sample as JSON, column names) to JSON text; None without one or where it fails."""
+def within(call: Callable[[], str], timeout_s: float | None) -> str:
+    """The result of a call; a TimeoutError where it takes longer. It goes on in the background then."""
+    if not timeout_s:
+        return call()
+    got: list = []
+
+    def run() -> None:
+        try:
+            got.append((call(), None))
+        except Exception as e:  # noqa: BLE001  raised below
+            got.append((None, e))
+
+    thread = threading.Thread(target=run, daemon=True)
+    thread.start()
+    thread.join(timeout_s)
+    if not got:
+        raise TimeoutError(f"no answer within {timeout_s} s")
+    if got[0][1] is not None:
+        raise got[0][1]
+    return got[0][0]
+
+
+def suggest_schema(df: DataFrame, suggester: Callable[[str, list[str]], str] | None, order: str | list[str] | None, rows: int = 5, timeout_s: float | None = None) -> Schema | None:
+    """A schema from an injected function of (sample as JSON, column names) to JSON text; None without one, or where it fails or takes too long."""
     if suggester is None:
         return None
+    columns = [c for c in df.columns if c != ROW_ORDER]
     sample = sample_text(sample_rows(df, order, rows))
     if sample is None:
         return None
     try:
-        return check_suggestion(parse_suggestion(suggester(sample, df.columns)), df.columns)
+        return check_suggestion(parse_suggestion(within(lambda: suggester(sample, columns), timeout_s)), columns)
     except Exception:  # noqa: BLE001  an outside service may fail in any way; another strategy then follows
         return None

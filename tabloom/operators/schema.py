@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .infer import Schema, logical_type, sniff_schema, suggest_schema
+from .infer import ROW_ORDER, Schema, logical_type, sniff_schema, suggest_schema
 
 STEPS = ("existing", "suggest", "sniff")
 
@@ -41,9 +41,14 @@ def reconciled(pairs: DataFrame) -> DataFrame:
 
 
 def determine_schema(
-    df: DataFrame, table: str, strategy: str = "existing_or_sniff", suggester: Callable[[str, list[str]], str] | None = None, order: str | list[str] | None = None, rows: int = 5
+    df: DataFrame, table: str, strategy: str = "existing_or_sniff", suggester: Callable[[str, list[str]], str] | None = None, order: str | list[str] | None = None, rows: int = 5, timeout_s: float | None = None
 ) -> Schema | None:
-    """The first schema that the strategy's steps give, with modes filled in; None where none does."""
+    """The first schema that the strategy's steps give, with modes filled in; None where none does.
+
+    A suggester sees the first rows by `order`, by ROW_ORDER where df has that, or else as they are
+    read, and has timeout_s to answer.
+    """
+    order = order or (ROW_ORDER if ROW_ORDER in df.columns else None)
     steps = strategy.split("_or_")
     if unknown := [s for s in steps if s not in STEPS]:
         raise ValueError(f"unknown step in schema strategy {strategy!r}: {unknown[0]!r}")
@@ -52,12 +57,12 @@ def determine_schema(
         if step == "existing":
             schema = existing_schema(df.sparkSession, table)
         elif step == "suggest":
-            schema = suggest_schema(df, suggester, order or df.columns, rows)
+            schema = suggest_schema(df, suggester, order, rows, timeout_s)
         else:
             schema = sniff_schema(df)
         if schema:
             break
     if not schema:
         return None
-    reconcile([f["name"] for f in schema], df.columns)
+    reconcile([f["name"] for f in schema], [c for c in df.columns if c != ROW_ORDER])
     return [{"mode": "NULLABLE"} | f for f in schema]

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import threading
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -49,14 +50,17 @@ def load(df: DataFrame, table: str, schema: Schema, disposition: str = "WRITE_AP
             raise ValueError(f"required columns with nulls: {', '.join(bad)}")
     if disposition == "WRITE_EMPTY" and spark.catalog.tableExists(table) and not spark.table(table).isEmpty():
         raise ValueError(f"{table} isn't empty")
-    group, timer = f"load {table}", None
+    group, timer, sc = f"load {table} {uuid.uuid4().hex}", None, spark.sparkContext
+    before = {k: sc.getLocalProperty(k) for k in ("spark.jobGroup.id", "spark.job.description", "spark.job.interruptOnCancel")}
     if timeout_s:
-        spark.sparkContext.setJobGroup(group, group, interruptOnCancel=True)
-        timer = threading.Timer(timeout_s, spark.sparkContext.cancelJobGroup, [group])
+        sc.setJobGroup(group, f"load {table}", interruptOnCancel=True)
+        timer = threading.Timer(timeout_s, sc.cancelJobGroup, [group])
         timer.start()
     try:
         df.write.mode(DISPOSITIONS[disposition]).saveAsTable(table)
     finally:
         if timer:
             timer.cancel()
+            for k, v in before.items():
+                sc.setLocalProperty(k, v)
     return spark.table(table).count() if count else None

@@ -2,7 +2,8 @@
 
 A message is acknowledged when its batch is checkpointed. One that failed goes to the dead-letter
 table with its reason instead of being delivered for ever; `retry` gives those that may be tried
-again. A ledger of settled objects makes a redelivered message load nothing twice.
+again. The table of outcomes makes a message that comes again load nothing twice, and a ledger of
+single loads does so where a batch broke off and is run again.
 """
 
 from __future__ import annotations
@@ -16,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..config import EngineConfig
+from ..plans.ledger import Ledger
 from ..plans.pipeline import STATUS_SCHEMA, UnsupportedFormat, decision, process_object
 from ..sources.messages import message_stream, route
 
@@ -27,7 +29,7 @@ class Listener:
     def __init__(self, spark: SparkSession, config: EngineConfig, database: str = "tabloom_log", suggester: Callable | None = None):
         self.spark, self.config, self.suggester = spark, config, suggester
         spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`")
-        self.outcomes, self.tables, self.dead = (f"`{database}`.{t}" for t in ("outcomes", "tables", "dead_letters"))
+        self.outcomes, self.tables, self.dead, self.loads = (f"`{database}`.{t}" for t in ("outcomes", "tables", "dead_letters", "loads"))
 
     def _version(self, path: str) -> str:
         """Length and time of the object, so that a changed one counts as new."""
@@ -48,7 +50,8 @@ class Listener:
             version = self._version(path)
             if self._settled(name, dataset, version):
                 return name, dataset, version, "repeated", "ack", None, batch
-            statuses = process_object(self.spark, path, dataset, self.config, self.suggester)
+            ledger = Ledger(self.spark, self.loads, name, dataset, version) if self.config.skip_repeated_messages else None
+            statuses = process_object(self.spark, path, dataset, self.config, self.suggester, ledger)
             status, verdict = decision(statuses)
             reason = "; ".join(s.error for s in statuses if s.error) or None
         except UnsupportedFormat as e:

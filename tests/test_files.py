@@ -1,9 +1,12 @@
+import json
 import struct
+import time
 
 import pytest
 
 from tabloom.config import EngineConfig
 from tabloom.operators import cells as C
+from tabloom.plans.ledger import Ledger
 from tabloom.plans.pipeline import decision, process_object
 from tabloom.plans.queries import csv_text, xlsx_bytes
 from tabloom.sources.grid import GridDataSource, read_grid, read_large_csv, read_object
@@ -138,6 +141,25 @@ def test_large_csv_is_numbered_over_splits(spark, tmp_path):
     assert len(got) == 5000 and all(r["cells"] == [str(r["row_idx"]), f"v{r['row_idx']}"] for r in got)
 
 
+@pytest.mark.parametrize(
+    "text",
+    [
+        "a;b;c\n1;n/a;x\n;;\n\n   \n2;null;\"q;\"\"r\"\"\"\n", "\ufeffid,name\n1,ann\n2\n", "k|v\n1|2\n", "x,y\n\"one\ntwo\",3\n4,\"5,6\"\n", "a b,c\n1,2\n3 4 5,6\n", "one\ntwo\n", "\n\n", "",
+    ],
+)
+def test_large_csv_is_read_like_a_small_one(spark, tmp_path, text):
+    (tmp_path / "t.csv").write_text(text)
+    path = f"file://{tmp_path}/t.csv"
+    rows = lambda df: sorted((r["sheet"], r["row_idx"], r["cells"]) for r in df.collect())
+    assert rows(read_object(spark, path, large_csv=-1)) == rows(read_object(spark, path))
+
+
+def test_large_csv_with_a_row_that_is_too_wide(spark, tmp_path):
+    (tmp_path / "t.csv").write_text("a,b\n1,2,3\n")
+    with pytest.raises(Exception, match="more fields"):
+        read_object(spark, f"file://{tmp_path}/t.csv", large_csv=-1).collect()
+
+
 def run(spark, folder, name, dataset, **options):
     return process_object(spark, f"file://{folder}/{name}", dataset, EngineConfig(source_dir=str(folder), **options))
 
@@ -158,6 +180,69 @@ def test_objects(spark, folder):
         run(spark, folder, "one.csv", "my-ds")
 
 
+def test_a_dataset_may_begin_with_a_digit(spark, folder):
+    got = run(spark, folder, "one.csv", "123abc")
+    assert [(s.outcome, s.n_rows, s.table_rows, s.warning) for s in got] == [("loaded", 3, 3, None)]
+    assert run(spark, folder, "one.csv", "123abc")[0].table_rows == 6
+    with pytest.raises(ValueError, match="dataset"):
+        run(spark, folder, "one.csv", "abc\n")
+
+
+def test_losses_are_reported(spark, folder):
+    spark.sql("CREATE DATABASE IF NOT EXISTS t_loss")
+    spark.sql("CREATE TABLE IF NOT EXISTS t_loss.mixed (k BIGINT, v BIGINT) USING parquet")
+    (folder / "mixed.csv").write_text("k,v\n" + "".join(f"{k},{'word' if k < 7 else k}\n" for k in range(30)))
+    got = run(spark, folder, "mixed.csv", "t_loss")
+    assert [(s.outcome, s.n_rows, s.warning) for s in got] == [("loaded", 30, "v: 7 of 30 values lost")]
+
+
+def test_the_first_rows_are_suggested_from(spark, folder):
+    (folder / "order.csv").write_text("id,name\n" + "".join(f"{k},n{k}\n" for k in (9, 3, 7, 1, 8, 2, 5)))
+    seen = []
+
+    def suggester(sample, columns):
+        seen.append((sample, columns))
+        return '[{"name": "id", "type": "STRING"}, {"name": "name", "type": "STRING"}]'
+
+    config = EngineConfig(source_dir=str(folder), schema_strategy="suggest")
+    assert process_object(spark, f"file://{folder}/order.csv", "t_order", config, suggester)[0].n_rows == 7
+    assert [r["id"] for r in json.loads(seen[0][0])] == ["9", "3", "7", "1", "8"] and seen[0][1] == ["id", "name"]
+    assert spark.table("t_order.order").columns == ["id", "name"]
+
+
+def test_a_slow_suggester_is_given_up(spark, folder):
+    config = EngineConfig(source_dir=str(folder), schema_strategy="suggest_or_sniff", suggest_timeout_s=1)
+    begin = time.monotonic()
+    got = process_object(spark, f"file://{folder}/one.csv", "t_slow", config, lambda sample, columns: time.sleep(120))
+    assert got[0].outcome == "loaded" and time.monotonic() - begin < 60
+
+
+def test_a_batch_that_is_run_again_loads_nothing_twice(spark, folder, monkeypatch):
+    """The stream breaks off between two tables, and between a load and its row in the ledger; the batch is run again."""
+    messages = spark.createDataFrame([("two.csv", "t_again", None)], "object_name string, target_dataset_id string, _corrupt_record string")
+    log = Listener(spark, EngineConfig(source_dir=f"file://{folder}"), "t_again_log")
+
+    class Crash(BaseException):
+        pass
+
+    def crash(*a, **b):
+        raise Crash
+
+    finish = Ledger.finish
+    calls = []
+    monkeypatch.setattr(Ledger, "finish", lambda self, *a: calls.append(a) or (crash() if len(calls) == 2 else finish(self, *a)))
+    with pytest.raises(Crash):
+        log.batch(messages, 0)
+    log.batch(messages, 0)
+    counts = [spark.table(f"t_again.two__default__table_{k}").count() for k in (1, 2)]
+    assert counts == [3, 2] and [r["status"] for r in spark.table(log.outcomes).collect()] == ["ok"]
+
+
+def test_a_load_leaves_no_job_group(spark, folder):
+    run(spark, folder, "one.csv", "t_group")
+    assert spark.sparkContext.getLocalProperty("spark.jobGroup.id") is None
+
+
 def test_one_table_fails(spark, folder):
     spark.sql("CREATE DATABASE IF NOT EXISTS t_partial")
     spark.sql("CREATE TABLE IF NOT EXISTS t_partial.two__default__table_2 (z array<int>) USING parquet")
