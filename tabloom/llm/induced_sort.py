@@ -310,19 +310,32 @@ def suffix_array(t: np.ndarray, depth: int, queue_bytes: int = QUEUE_BYTES) -> t
     return np.concatenate(out[::-1]), np.concatenate(common[::-1])
 
 
-def repeated_starts(strings: list[bytes], depth: int, starts: list[int], often: np.ndarray, queue_bytes: int = QUEUE_BYTES) -> list[np.ndarray]:
+def repeated_starts(
+    strings: list[bytes], depth: int, starts: list[int], often: np.ndarray, queue_bytes: int = QUEUE_BYTES, short: int | None = None, owners: np.ndarray | None = None, spread: np.ndarray | None = None
+) -> list[np.ndarray]:
     """For each string, which of its first starts[k] places begin a stretch of `depth` bytes that begins elsewhere too.
 
     Places from starts[k] on are left out altogether. often[k]: the string stands for several
-    equal ones, so each of its places begins a repeated stretch.
+    equal ones, so each of its places with room for a stretch begins a repeated one. With short,
+    the results are 1 for that, plus 2 where a stretch of `short` bytes (at most depth) also begins in a string
+    of another owner; spread[k]: the string stands for equal ones of several owners.
     """
     t, begin = join(strings)
     order, shared = suffix_array(t, depth, queue_bytes)
     owner = np.searchsorted(begin, order, "right") - 1
-    counts = np.array(starts, np.int64)
+    counts, lengths = np.array(starts, np.int64), np.array([len(s) for s in strings], np.int64)
     alike = np.cumsum(shared < depth)  # suffixes with a number share their first `depth` symbols
+    nearly = np.cumsum(shared < short) if short else alike
     keep = order - begin[owner] < counts[owner]
-    order, alike = order[keep], alike[keep]
-    hit = np.zeros(len(t), bool)
-    hit[order[np.bincount(alike)[alike] > 1]] = True
-    return [np.ones(counts[k], bool) if often[k] else hit[b : b + counts[k]] for k, b in enumerate(begin)]
+    order, alike, nearly, owner = order[keep], alike[keep], nearly[keep], owner[keep]
+    hit = np.zeros(len(t), np.int8)
+    hit[order[np.bincount(alike)[alike] > 1]] = 1
+    for k in np.flatnonzero(often).tolist():
+        hit[begin[k] : begin[k] + max(0, min(int(counts[k]), int(lengths[k]) - depth + 1))] = 1
+    if short and len(order):
+        first = np.concatenate([[0], np.flatnonzero(nearly[1:] != nearly[:-1]) + 1])
+        sizes = np.diff(np.concatenate([first, [len(order)]]))
+        who = owners[owner]
+        several = (np.minimum.reduceat(who, first) != np.maximum.reduceat(who, first)) | np.logical_or.reduceat(spread[owner], first)
+        hit[order[np.repeat(several, sizes)]] += 2
+    return [hit[b : b + c] if short else hit[b : b + c].astype(bool) for b, c in zip(begin.tolist(), counts.tolist(), strict=True)]

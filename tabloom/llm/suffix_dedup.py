@@ -1,10 +1,14 @@
 """Removal of byte stretches that occur more than once, by suffix sorting in shards.
 
+Two lengths are of interest: stretches of LENGTH bytes that occur more than once are removed, and
+bytes of passages, stretches of PASSAGE bytes (less than any 51 words of usual prose) that also
+occur in another document, are counted.
+
 A shard must hold all places where a repeated stretch can start, so the corpus is cut by
-content: in each window of LENGTH bytes the k-gram with the smallest hash is the window's anchor
+content: in each window of PASSAGE bytes the k-gram with the smallest hash is the window's anchor
 (the rightmost of equals), which equal windows share wherever they stand. Consecutive windows
 with one anchor form a segment. Segments whose anchor hash is alone in the corpus hold nothing
-that repeats. Equal segments are counted together; the different segments of one anchor hash
+that repeats. A segment's bytes go on to the end of the longer stretch. Equal segments are counted together; the different segments of one anchor hash
 meet in a shard, where induced sorting (induced_sort.py) finds the windows that they share.
 
 Shards hold about SHARD_BYTES; an anchor with very many different segments is cut into blocks
@@ -26,7 +30,7 @@ from pyspark.sql import functions as F
 from .common import bounded_batches, materialise, mix64, utf8_column
 from .induced_sort import repeated_starts
 
-LENGTH = 400
+LENGTH, PASSAGE = 400, 288
 #: Bytes of a k-gram: a power of two, and more than the lines that many texts share.
 GRAM = 128
 SHARD_BYTES, SEGMENT_BLOCK = 3 << 20, 4096
@@ -35,7 +39,7 @@ PART = 1 << 20
 _CODES = mix64(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 
 
-def anchors(data: np.ndarray, length: int = LENGTH, gram: int = GRAM) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def anchors(data: np.ndarray, length: int = PASSAGE, gram: int = GRAM) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(hash of the anchor's k-gram, its place, first and last window start) of each segment of one text, in order."""
     n = len(data)
     if n < length:
@@ -70,16 +74,18 @@ def anchors(data: np.ndarray, length: int = LENGTH, gram: int = GRAM) -> tuple[n
 
 
 def _segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(rid, text) to a row (rid, h, g, a, b) for each segment; g is a digest of its bytes and its anchor's place in it."""
+    """(r, q, text) to a row (r, q, h, g, a, b) for each segment; g is a digest of its bytes and its anchor's place in it."""
     for batch in batches:
-        data, offsets = utf8_column(batch.column(1))
+        data, offsets = utf8_column(batch.column(2))
         owners, columns, digests = [], [], []
         size = 0
 
         def out():
             h, first, last = (np.concatenate(x) for x in zip(*columns, strict=True))
+            at = pa.array(np.concatenate(owners))
             return pa.RecordBatch.from_arrays(
-                [batch.column(0).take(pa.array(np.concatenate(owners))), pa.array(h.view(np.int64)), pa.array(digests, pa.int64()), pa.array(first), pa.array(last)], names=["rid", "h", "g", "a", "b"]
+                [batch.column(0).take(at), batch.column(1).take(at), pa.array(h.view(np.int64)), pa.array(np.frombuffer(b"".join(digests), np.int64)), pa.array(first), pa.array(last)],
+                names=["r", "q", "h", "g", "a", "b"],
             )
 
         for k in range(len(offsets) - 1):
@@ -89,7 +95,7 @@ def _segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 continue
             raw = text.tobytes()
             for p, a, b in zip(place.tolist(), first.tolist(), last.tolist(), strict=True):
-                digests.append(int.from_bytes(hashlib.blake2b(raw[a : b + LENGTH], digest_size=8, key=(p - a).to_bytes(4, "little")).digest(), "little", signed=True))
+                digests.append(hashlib.blake2b(raw[a : b + LENGTH], digest_size=8, key=(p - a).to_bytes(4, "little")).digest())
             owners.append(np.full(len(h), k))
             columns.append((h, first, last))
             size += len(h)
@@ -101,13 +107,13 @@ def _segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(rid, text, wanted list of (h, g, n, many, a, b)) to a row (rid, h, g, n, many, a, w, piece) for each wanted segment."""
+    """(r, q, text, wanted list of (h, g, n, many, spread, a, b)) to a row (r, q, h, g, n, many, spread, a, w, piece) for each wanted segment."""
     for batch in batches:
-        texts, wanted = batch.column(1), batch.column(2)
+        texts, wanted = batch.column(2), batch.column(3)
         lists = wanted.flatten()
         counts = np.diff(wanted.offsets.to_numpy())
         owner = np.repeat(np.arange(batch.num_rows), counts)
-        h, g, n, many, a, b = (lists.field(k) for k in range(6))
+        h, g, n, many, spread, a, b = (lists.field(k) for k in range(7))
         begin, end = a.to_numpy(), b.to_numpy()
         pieces, at, raw = [], -1, b""
         for k, (x, y) in enumerate(zip(begin.tolist(), end.tolist(), strict=True)):
@@ -118,62 +124,78 @@ def _fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for x in range(0, len(pieces), 20_000):
             s = slice(x, x + 20_000)
             part = lambda c: c.slice(x, 20_000)
+            own = pa.array(owner[s])
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0).take(pa.array(owner[s])), part(h), part(g), part(n), part(many), part(a), pa.array((end - begin + 1)[s]), pa.array(pieces[s], pa.binary())],
-                names=["rid", "h", "g", "n", "many", "a", "w", "piece"],
+                [batch.column(0).take(own), batch.column(1).take(own), part(h), part(g), part(n), part(many), part(spread), part(a), pa.array((end - begin + 1)[s]), pa.array(pieces[s], pa.binary())],
+                names=["r", "q", "h", "g", "n", "many", "spread", "a", "w", "piece"],
             )
 
 
-def _runs(mask: np.ndarray) -> list[tuple[int, int]]:
-    edge = np.flatnonzero(np.diff(np.concatenate([[0], mask.view(np.int8), [0]])))
-    return list(zip(edge[::2].tolist(), (edge[1::2] - 1).tolist(), strict=True))
-
-
 def _shard(pdf: pd.DataFrame) -> pd.DataFrame:
-    """The segments of one shard to runs (rid, x, y) of window starts that repeat."""
+    """The segments of one shard to runs (r, q, x, y, kind) of window starts: kind 1 repeat at LENGTH, 2 at PASSAGE in another document, 3 both."""
     pdf = pdf.drop_duplicates(["h", "g"])
-    hits = repeated_starts(list(pdf["piece"]), LENGTH, pdf["w"].tolist(), (pdf["many"] > 1).to_numpy())
-    rows = [(rid, a + x, a + y) for rid, a, many, hit in zip(pdf["rid"], pdf["a"], pdf["many"], hits, strict=True) if many == 1 for x, y in _runs(hit)]
-    return pd.DataFrame(rows, columns=["rid", "x", "y"]).astype({"x": "int64", "y": "int64"})
-
-
-def removed_runs(starts: list[tuple[int, int]], n: int) -> list[tuple[int, int]]:
-    """Maximal runs (begin, end) of bytes covered by windows that start in any of the given runs."""
+    owners = pdf.groupby(["r", "q"], sort=False).ngroup().to_numpy()
+    hits = repeated_starts(list(pdf["piece"]), LENGTH, pdf["w"].tolist(), (pdf["many"] > 1).to_numpy(), short=PASSAGE, owners=owners, spread=pdf["spread"].to_numpy(bool))
+    rows = []
+    # Places of a segment that occurs several times repeat anyway; where its copies are in one document, passages are still to be found.
+    for r, q, a, many, spread, hit in zip(pdf["r"], pdf["q"], pdf["a"], pdf["many"], pdf["spread"], hits, strict=True):
+        if spread or not hit.any():
+            continue
+        cuts = [0, *(np.flatnonzero(hit[1:] != hit[:-1]) + 1).tolist(), len(hit)]
+        rows += [(r, q, a + x, a + y - 1, int(hit[x])) for x, y in zip(cuts[:-1], cuts[1:], strict=True) if hit[x]]
+    return pd.DataFrame(rows, columns=["r", "q", "x", "y", "kind"]).astype({"r": "int64", "q": "int64", "x": "int64", "y": "int64", "kind": "int32"})
+
+
+def covered_runs(starts: list[tuple[int, int]], n: int, length: int = LENGTH) -> list[tuple[int, int]]:
+    """Maximal runs (begin, end) of bytes covered by windows of `length` that start in any of the given runs and fit into n bytes."""
     out: list[list[int]] = []
     for x, y in sorted(starts):
+        end = min(y, n - length) + length
+        if end < x + length:
+            continue
         if out and x <= out[-1][1]:
-            out[-1][1] = max(out[-1][1], y + LENGTH)
+            out[-1][1] = max(out[-1][1], end)
         else:
-            out.append([x, y + LENGTH])
-    return [(a, min(b, n)) for a, b in out]
+            out.append([x, end])
+    return [(a, b) for a, b in out]
 
 
 def suffix_dedup(docs: DataFrame, text: str = "text", ident: str = "doc_id", with_text: bool = False) -> DataFrame:
-    """One row for each input row: identifier, n_bytes, n_removed, n_spans, kept_sha256, and with with_text kept (binary) and spans.
+    """One row for each input row: identifier, n_bytes, n_removed, n_spans, kept_sha256, n_passage_bytes, n_passages, and with with_text kept (binary) and spans.
 
     Texts are UTF-8 bytes, null counts as empty. Each byte covered by a stretch of 400 bytes that
     also starts anywhere else, in the same document or another, is removed, judged on the input;
     overlaps count and matches never cross documents. Repeated rows and equal texts repeat each
-    other, so from 400 bytes on nothing of them stays. Identifiers may be null. An empty table
-    gives an empty result.
+    other, so from 400 bytes on nothing of them stays. n_passage_bytes counts the bytes covered by
+    a stretch of 288 bytes that also starts in another document, n_passages their maximal runs;
+    rows equal in identifier and text are one document there. Identifiers may be null. An empty
+    table gives an empty result.
     """
     bounded_batches(docs.sparkSession)
     kind = dict(docs.dtypes)[ident]
     given = docs.select(docs[ident].alias("id"), F.coalesce(docs[text], F.lit("")).alias("text"))
-    given = given.withColumn("rid", F.unhex(F.md5(F.concat_ws(":", F.coalesce(F.col("id").cast("string"), F.lit("")), F.col("text")).cast("binary"))))
-    segments = given.where(F.octet_length("text") >= LENGTH).select("rid", "text").mapInArrow(_segments, "rid binary, h long, g long, a long, b long")
+    # A document is named by 120 bits of a digest of its identifier and its text, the identifier's length before both.
+    name = F.coalesce(F.col("id").cast("string"), F.lit(""))
+    name = F.md5(F.concat(F.col("id").isNull().cast("string"), F.length(name).cast("string"), F.lit(":"), name, F.col("text")).cast("binary"))
+    given = given.withColumn("rid", name)
+    lanes = [F.conv(F.substring("rid", k, 15), 16, 10).cast("long").alias(c) for k, c in ((1, "r"), (16, "q"))]
+    given = given.select("id", "text", *lanes)
+    segments = given.where(F.octet_length("text") >= PASSAGE).select("r", "q", "text").mapInArrow(_segments, "r long, q long, h long, g long, a long, b long")
     segments = materialise(segments, "suffix-segments")
 
-    classes = segments.groupBy("h", "g").agg(F.count(F.lit(1)).alias("many"), F.min(F.struct("rid", "a", "b")).alias("one"))
+    # Columns of fixed width, so that groups are hashed; a group's first row gives all of r, q, a and b.
+    spread = (F.min("r") != F.max("r")) | (F.min("q") != F.max("q"))
+    classes = segments.groupBy("h", "g").agg(F.count(F.lit(1)).alias("many"), spread.alias("spread"), *[F.first(c).alias(c) for c in ("r", "q", "a", "b")])
     anchor = classes.groupBy("h").agg(F.count(F.lit(1)).alias("n"), F.sum("many").alias("all")).where("all > 1")
-    classes = materialise(classes.join(anchor, "h").select("h", "g", "many", "n", "one"), "suffix-classes")
+    classes = materialise(classes.join(anchor.drop("all"), "h"), "suffix-classes")
     # All windows of a segment that occurs several times repeat, in each of its places.
-    whole = segments.join(classes.where("many > 1").select("h", "g"), ["h", "g"]).select("rid", F.col("a").alias("x"), F.col("b").alias("y"))
+    often = classes.where("many > 1").select("h", "g", (F.col("spread").cast("int") * 2 + 1).alias("kind"))
+    whole = segments.join(often, ["h", "g"]).select("r", "q", F.col("a").alias("x"), F.col("b").alias("y"), "kind")
     # Anchors with several different segments go to the shards.
-    mixed = classes.where("n > 1").select("one.rid", F.struct("h", "g", "n", "many", "one.a", "one.b").alias("want"))
-    wanted = mixed.groupBy("rid").agg(F.collect_list("want").alias("wanted"))  # no more than a text has segments
-    once = given.select("rid", "text").join(wanted, "rid").dropDuplicates(["rid"])
-    pieces = once.mapInArrow(_fetch, "rid binary, h long, g long, n long, many long, a long, w long, piece binary")
+    mixed = classes.where("n > 1").select("r", "q", F.struct("h", "g", "n", "many", "spread", "a", "b").alias("want"))
+    wanted = mixed.groupBy("r", "q").agg(F.collect_list("want").alias("wanted"))  # no more than a text has segments
+    once = given.select("r", "q", "text").join(wanted, ["r", "q"]).dropDuplicates(["r", "q"])
+    pieces = once.mapInArrow(_fetch, "r long, q long, h long, g long, n long, many long, spread boolean, a long, w long, piece binary")
     pieces = materialise(pieces, "suffix-pieces")
     total = pieces.agg(F.coalesce(F.sum(F.octet_length("piece")), F.lit(0))).first()[0]
     shards = max(1, math.ceil(total / SHARD_BYTES))
@@ -181,28 +203,29 @@ def suffix_dedup(docs: DataFrame, text: str = "text", ident: str = "doc_id", wit
     blocks = F.ceil(F.col("n") / SEGMENT_BLOCK).cast("int")
     rows = pieces.withColumn("own", F.pmod(F.xxhash64("g"), blocks).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
     rows = rows.withColumn("shard", F.pmod(F.xxhash64("h", F.least("own", "other"), F.greatest("own", "other")), F.lit(shards)))
-    rows = rows.select("shard", "rid", "h", "g", "many", "a", "w", "piece").repartitionByRange(shards, "shard")  # one shard a task, which hashing wouldn't give
-    some = rows.groupBy("shard").applyInPandas(_shard, "rid binary, x long, y long")
-    starts = whole.union(some).groupBy("rid").agg(F.collect_set(F.struct("x", "y")).alias("starts"))  # no more than a text has windows
+    rows = rows.select("shard", "r", "q", "h", "g", "many", "spread", "a", "w", "piece").repartitionByRange(shards, "shard")  # one shard a task, which hashing wouldn't give
+    some = rows.groupBy("shard").applyInPandas(_shard, "r long, q long, x long, y long, kind int")
+    starts = whole.union(some).groupBy("r", "q").agg(F.collect_set(F.struct("x", "y", "kind")).alias("starts"))  # no more than a text has windows
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out: list[tuple] = []
             for value, runs in zip(batch.column(1), batch.column(2), strict=True):
-                raw = value.as_py().encode()
-                spans = removed_runs([(r["x"], r["y"]) for r in runs.as_py() or ()], len(raw))
+                raw, runs = value.as_py().encode(), runs.as_py() or ()
+                spans = covered_runs([(r["x"], r["y"]) for r in runs if r["kind"] & 1], len(raw))
+                passages = covered_runs([(r["x"], r["y"]) for r in runs if r["kind"] & 2], len(raw), PASSAGE)
                 at, kept = 0, []
                 for a, b in spans:
                     kept.append(raw[at:a])
                     at = b
                 body = b"".join([*kept, raw[at:]])
-                row = (len(raw), sum(b - a for a, b in spans), len(spans), hashlib.sha256(body).hexdigest())
+                row = (len(raw), sum(b - a for a, b in spans), len(spans), hashlib.sha256(body).hexdigest(), sum(b - a for a, b in passages), len(passages))
                 out.append((*row, body, [f"{a}:{b}" for a, b in spans]) if with_text else row)
-            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.binary(), pa.list_(pa.string())][: 6 if with_text else 4]
             columns = [pa.array([r[k] for r in out], t) for k, t in enumerate(kinds)]
             yield pa.RecordBatch.from_arrays([batch.column(0), *columns], names=["id", *names])
 
-    names = ["n_bytes", "n_removed", "n_spans", "kept_sha256", "kept", "spans"][: 6 if with_text else 4]
-    shape = f"id {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", kept binary, spans array<string>" * with_text
-    out = given.join(starts, "rid", "left").select("id", "text", "starts").mapInArrow(cut, shape)
+    names = ["n_bytes", "n_removed", "n_spans", "kept_sha256", "n_passage_bytes", "n_passages", "kept", "spans"][: 8 if with_text else 6]
+    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.binary(), pa.list_(pa.string())][: len(names)]
+    shape = f"id {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string, n_passage_bytes long, n_passages long" + ", kept binary, spans array<string>" * with_text
+    out = given.join(starts, ["r", "q"], "left").select("id", "text", "starts").mapInArrow(cut, shape)
     return out.withColumnRenamed("id", ident)

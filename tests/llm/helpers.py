@@ -83,3 +83,20 @@ def repeated(rows, length=400):
         kept = bytes(b for b, g in zip(t, gone, strict=True) if not g)
         out.append((len(t), sum(gone), len(re.findall(b"\1+", bytes(gone))), sha(kept)))
     return out
+
+
+def passage_bytes(rows, length=288):
+    """Bytes of each (identifier, text) that are covered by a string of `length` that also starts in another one."""
+    raw = [(i, (t or "").encode()) for i, t in rows]
+    seen = {}
+    for own in set(raw):
+        for k in range(len(own[1]) - length + 1):
+            seen.setdefault(own[1][k : k + length], set()).add(own)
+    out = []
+    for _, t in raw:
+        hit = bytearray(len(t))
+        for k in range(len(t) - length + 1):
+            if len(seen[t[k : k + length]]) > 1:
+                hit[k : k + length] = b"\1" * length
+        out.append(sum(hit))
+    return out

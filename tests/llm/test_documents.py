@@ -1,6 +1,7 @@
 """Each operator on a table of odd cases, against brute force; on an empty table; and on sf0.001."""
 
 import base64
+import random
 import zlib
 from collections import Counter, defaultdict
 
@@ -24,7 +25,7 @@ from tabloom.llm.suffix_dedup import suffix_dedup
 from tabloom.llm.token_count import token_counts
 from tabloom.llm.toxicity import fit, score_documents, without_toxic
 
-from .helpers import WORD, near_components, normal, odd_rows, repeated, sha, shingles, table
+from .helpers import WORD, near_components, normal, odd_rows, passage_bytes, repeated, sha, shingles, table
 
 RANKS, PATTERN, JSON = P.path("byte_bpe_50k.tiktoken"), P.PATTERN, P.path("byte_bpe_50k.json")
 
@@ -245,6 +246,28 @@ def test_suffix_dedup(docs, rows):
     want = Counter((i, *w) for (i, _, _), w in zip(rows, repeated([t for _, t, _ in rows]), strict=True))
     out = suffix_dedup(docs).collect()
     assert Counter((r["doc_id"], r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"]) for r in out) == want
+    passages = passage_bytes([(i, t) for i, t, _ in rows])
+    assert Counter((r["doc_id"], r["n_bytes"], r["n_passage_bytes"]) for r in out) == Counter((i, len((t or "").encode()), n) for (i, t, _), n in zip(rows, passages, strict=True))
+
+
+def test_suffix_dedup_of_many_short_passages(spark):
+    """Stretches around both lengths, within a document and across, at the ends and inside; identifiers are text with colons."""
+    rng = random.Random(21)
+    letters = lambda n: "".join(rng.choice("abcdefghij ") for _ in range(n))
+    shared = [letters(n) for n in (287, 288, 300, 399, 400, 401, 900)]
+    rows = [("a", "b:" + "x" * 3), ("a:b", "x" * 3)]
+    for k in range(60):
+        parts = [letters(rng.randint(0, 500))]
+        for _ in range(rng.randint(0, 3)):
+            parts += [rng.choice(shared), letters(rng.choice([0, 1, 50, 300]))]
+        rows.append((f"d:{k % 50}", "".join(parts)))
+    same = letters(900)
+    rows += [("a", "b:" + same), ("a:b", same), ("two", letters(420) * 2), ("three", shared[6] + shared[6]), (None, shared[4]), ("", shared[4])]
+    docs = spark.createDataFrame(rows, "doc_id string, text string").repartition(3)
+    want, passages = repeated([t for _, t in rows]), passage_bytes(rows)
+    out = suffix_dedup(docs).collect()
+    got = Counter((r["doc_id"], r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"], r["n_passage_bytes"]) for r in out)
+    assert got == Counter((i, *w, n) for (i, _), w, n in zip(rows, want, passages, strict=True))
 
 
 def test_toxicity(spark, docs, rows):

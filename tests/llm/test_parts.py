@@ -55,7 +55,7 @@ def test_anchors_depend_on_windows_alone():
     rng = np.random.default_rng(3)
     data = rng.integers(97, 101, 6000).astype(np.uint8)
     h, place, first, last = suffix_dedup.anchors(data)
-    assert first[0] == 0 and last[-1] == len(data) - 400 and (first[1:] == last[:-1] + 1).all()
+    assert first[0] == 0 and last[-1] == len(data) - suffix_dedup.PASSAGE and (first[1:] == last[:-1] + 1).all()
     moved = np.concatenate([rng.integers(97, 101, 777).astype(np.uint8), data[1000:3000]])
     by_start = {int(s): (int(x), int(p) - int(s)) for x, p, a, b in zip(h, place, first, last, strict=True) for s in range(a, b + 1)}
     for x, p, a, b in zip(*suffix_dedup.anchors(moved), strict=True):
