@@ -8,22 +8,27 @@ about 3 pairs in 10 million, at 0.8 about 2 in 100,000. Pairs that meet are comp
 up to the distance that a similarity at the threshold exceeds once in a million times.
 
 Groups are never expanded into pairs. Equal sets are collapsed first. A key's members are
-compared by signature in blocks, of which only a spanning forest leaves (candidates). Candidate
-components are then verified on full sets, again in blocks that give a spanning forest of the
-true links, and the components of these are the result.
+compared by signature, of which only a spanning forest leaves (candidates). Candidate components
+are then verified on full sets, which gives a spanning forest of the true links, and the
+components of these are the result.
+
+Both steps compare a small group at once. The members of a large one are compared with a
+representative first, then what isn't linked to it with a second one: work that grows with the
+members alone. Members that are connected by then, by whatever links, need no further comparison; the rest
+are compared in pairs of blocks, but for pairs of blocks that lie in one component.
 """
 
 from __future__ import annotations
 
 import hashlib
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import partial
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import bounded_batches, find_words, hash_words, materialise, mix64, release, row_slices, utf8_column
@@ -35,9 +40,12 @@ POSITIONS, BITS, DISTANCE = 60, 16, 19
 WORDS, PERCENT = 5, 80
 #: Pigeonhole: with one difference allowed in a chunk, CHUNKS * 2 > DISTANCE.
 CHUNKS = DISTANCE // 2 + 1
-#: Members of a key, and of a candidate component, that are compared in one block; larger ones are
-#: cut into blocks and each pair of blocks is compared.
+#: Members of a key, and of a candidate component, that are compared in one block; larger groups go by representatives.
 KEY_BLOCK, SET_BLOCK = 2048, 512
+#: Representatives that a large group's members are compared with before blocks are.
+REPRESENTATIVES = 2
+#: A set that this part of all rows has is joined to them by a broadcast.
+HOT_PARTS = 2000
 #: Elements for which a member counts at least when blocks of sets are cut.
 SET_ELEMENTS = 2000
 
@@ -232,14 +240,65 @@ def _candidates(percent: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.
     release()
 
 
-def in_blocks(rows: DataFrame, size: str, block: int) -> DataFrame:
-    """Adds (i, j, side): a row goes to every pair of blocks of its group that its own block is in.
+def around_leaders(rows: DataFrame, group: str, block: int) -> DataFrame:
+    """Adds (i, j, side): each group's members (side false) in blocks of about `block`, each with a copy of the group's smallest (side true).
 
-    Groups of at most `block` rows (column size) have one block and one row each.
+    rows: group, m (members of the group), nid, lead (whether the row may be the representative), and what is to be compared.
     """
-    rows = rows.withColumn("_b_n", F.ceil(F.col(size) / block).cast("int")).withColumn("_b_own", F.pmod(F.xxhash64("nid"), F.col("_b_n")).cast("int"))
-    rows = rows.withColumn("_b_other", F.explode(F.sequence(F.lit(0), F.col("_b_n") - 1)))
-    return rows.withColumns({"i": F.least("_b_own", "_b_other"), "j": F.greatest("_b_own", "_b_other"), "side": F.col("_b_own") > F.col("_b_other")}).drop("_b_n", "_b_own", "_b_other")
+    leaders = rows.where("lead").groupBy(group).agg(F.min("nid").alias("nid"))
+    leaders = rows.join(leaders, [group, "nid"], "left_semi")
+    blocks = F.ceil(F.col("m") / block).cast("int")
+    members = rows.withColumns({"i": F.pmod(F.xxhash64("nid"), blocks).cast("int"), "side": F.lit(False)})
+    copies = leaders.withColumns({"i": F.explode(F.sequence(F.lit(0), blocks - 1)), "side": F.lit(True)})
+    return members.unionByName(copies).withColumn("j", F.lit(-1))
+
+
+def block_pairs(rows: DataFrame, group: str, block: int, weight: Column) -> DataFrame:
+    """Adds (i, j, side): a row for every pair of blocks of its group that its own is in, but for pairs within one component.
+
+    rows: group, m, nid, root (component so far), and what is to be compared; each counts by its weight. Components of more than `block`
+    members have blocks of their own; smaller ones share blocks, which are paired with themselves too.
+    """
+    sizes = rows.groupBy(group, "root").agg(F.sum(weight).alias("_n"))
+    large = sizes.where(F.col("_n") > block)
+    rows = rows.join(large.select(group, "root", F.lit(True).alias("_large")), [group, "root"], "left").withColumn("_of", F.when(F.col("_large"), F.col("root")).otherwise(-1)).drop("_large")
+    sizes = sizes.withColumn("_of", F.when(F.col("_n") > block, F.col("root")).otherwise(-1)).groupBy(group, "_of").agg(F.ceil(F.sum("_n") / block).cast("int").alias("_b"))
+    rows = rows.join(sizes, [group, "_of"]).withColumn("_own", F.pmod(F.xxhash64("nid"), F.col("_b")).cast("int")).drop("_b")
+    # Pairs of components are few; only those of one group's blocks that are left are made.
+    other = sizes.select(group, F.col("_of").alias("_of2"), F.col("_b").alias("_b2"))
+    pairs = sizes.join(other, group).where((F.col("_of") < F.col("_of2")) | (F.col("_of") == -1) & (F.col("_of2") == -1))
+    pairs = pairs.withColumn("_x", F.explode(F.sequence(F.lit(0), F.col("_b") - 1))).withColumn("_y", F.explode(F.sequence(F.lit(0), F.col("_b2") - 1)))
+    pairs = pairs.where((F.col("_of") != F.col("_of2")) | (F.col("_x") <= F.col("_y")))
+    name = [F.xxhash64("_of", "_x").alias("i"), F.xxhash64("_of2", "_y").alias("j")]
+    left = pairs.select(group, "_of", F.col("_x").alias("_own"), *name, F.lit(False).alias("side"))
+    right = pairs.where((F.col("_of") != F.col("_of2")) | (F.col("_x") != F.col("_y"))).select(group, F.col("_of2").alias("_of"), F.col("_y").alias("_own"), *name, F.lit(True).alias("side"))
+    return rows.join(left.unionByName(right), [group, "_of", "_own"]).drop("_of", "_own")
+
+
+def linked(small: DataFrame, large: DataFrame, group: str, block: int, compare: Callable[[DataFrame], DataFrame], name: str, weight: Column) -> DataFrame:
+    """Components (node, root) of the links that compare() finds in each group.
+
+    small, large: rows (group, m, nid, ...) of groups of at most, and more than, `block` members.
+    compare: from rows with (i, j, side) to links (u, v) of each (group, i, j).
+    """
+    edges = compare(small.withColumns({"i": F.lit(0), "j": F.lit(0), "side": F.lit(False)}))
+    large = materialise(large, f"{name}-large")
+    if large.isEmpty():
+        return components(edges, name)
+    edges, large = materialise(edges, f"{name}-links"), large.withColumn("lead", F.lit(True))
+    for k in range(REPRESENTATIVES + 1):
+        more = compare(around_leaders(large, group, block) if k < REPRESENTATIVES else block_pairs(large.drop("lead"), group, block, weight))
+        edges = edges.union(materialise(more, f"{name}-links"))
+        found = components(edges, name)
+        if k == REPRESENTATIVES:
+            break
+        # Groups that are one component are settled; in the others a member of another component than the first comes next.
+        large = large.drop("root", "lead").join(found.select(F.col("node").alias("nid"), "root"), "nid", "left").withColumn("root", F.coalesce("root", "nid"))
+        state = large.groupBy(group).agg(F.min_by("root", "nid").alias("_first"), (F.min("root") != F.max("root")).alias("_open")).where("_open")
+        large = materialise(large.join(state, group).withColumn("lead", F.col("root") != F.col("_first")).drop("_first", "_open"), f"{name}-large")
+        if large.isEmpty():
+            break
+    return found
 
 
 def components(edges: DataFrame, name: str) -> DataFrame:
@@ -270,7 +329,7 @@ def components(edges: DataFrame, name: str) -> DataFrame:
         rest = two.where("u != v").union(left.select("w", "q")).union(left.select("q", "w")).distinct()
         both = materialise(rest, f"{name}-edges")
     if not steps:
-        return edges.select(F.col("u").alias("node"), F.col("u").alias("root")).limit(0)
+        return both.select(F.col("u").alias("node"), F.col("v").alias("root")).limit(0)
     out = steps[0].select(F.col("u").alias("node"), F.col("p").alias("root"))
     for hook in steps[1:]:
         far = hook.select(F.col("u").alias("root"), F.col("p").alias("q"))
@@ -346,15 +405,20 @@ def near_dedup(docs: DataFrame, text: str = "text", ident: str = "doc_id", words
     rows = materialise(given.mapInArrow(partial(_sketch, words), f"id {kind}, n long, digest binary, sig binary"), "near-sketch")
     named = rows.where("id IS NOT NULL AND n > 0")
     # Rows of one identifier with different texts are one document: its sets are linked from the start.
-    nodes = named.groupBy("digest").agg(F.min("id").alias("id"), F.first("n").alias("n"), F.first("sig").alias("sig"))
+    nodes = named.groupBy("digest").agg(F.min("id").alias("id"), F.first("n").alias("n"), F.first("sig").alias("sig"), F.count(F.lit(1)).alias("copies"))
     nodes = materialise(nodes.withColumn("nid", F.monotonically_increasing_id()), "near-nodes")
 
     keys = nodes.select("nid", "sig").mapInArrow(_keys, "key long, nid long")
-    shared = keys.groupBy("key").agg(F.count(F.lit(1)).alias("m")).where("m > 1")
-    members = keys.join(shared, "key").join(nodes.select("nid", "n", "sig"), "nid")
-    members = in_blocks(members, "m", KEY_BLOCK).select("key", "i", "j", "side", "nid", "n", "sig")
-    members = members.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
-    candidates = components(members.mapInArrow(partial(_candidates, percent), "u long, v long"), "near-candidates")
+    shared = materialise(keys.groupBy("key").agg(F.count(F.lit(1)).alias("m")).where("m > 1"), "near-keys")
+
+    def members(some: DataFrame) -> DataFrame:
+        return keys.join(some, "key").join(nodes.select("nid", "n", "sig"), "nid")
+
+    def near_signatures(rows: DataFrame) -> DataFrame:
+        rows = rows.select("key", "i", "j", "side", "nid", "n", "sig").repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
+        return rows.mapInArrow(partial(_candidates, percent), "u long, v long")
+
+    candidates = linked(members(shared.where(F.col("m") <= KEY_BLOCK)), members(shared.where(F.col("m") > KEY_BLOCK)), "key", KEY_BLOCK, near_signatures, "near-candidates", F.lit(1))
 
     group = candidates.select(F.col("node").alias("nid"), F.col("root").alias("c")).join(nodes.select("nid", "id", "digest", "n"), "nid")
     # Members, or thousands of elements: blocks of large sets have fewer members.
@@ -362,19 +426,35 @@ def near_dedup(docs: DataFrame, text: str = "text", ident: str = "doc_id", words
     group = group.join(sizes, "c").select("nid", "id", "digest", "c", "m")
     texts = group.join(given, "id").select("nid", "c", "m", "digest", "text")
     sets = texts.mapInArrow(partial(_set_rows, words), "nid long, c long, m long, elements binary").dropDuplicates(["nid"])
+    sets = materialise(sets, "near-sets")
 
     def verify(pdf: pd.DataFrame) -> pd.DataFrame:
         return _verify(percent, pdf)
 
-    links = in_blocks(sets, "m", SET_BLOCK).groupBy("c", "i", "j").applyInPandas(verify, "u long, v long")
-    same = named.join(nodes.select("digest", "nid"), "digest").groupBy("id").agg(F.min("nid").alias("u"), F.max("nid").alias("v")).where("u != v")
-    many = named.join(same.select("id"), "id").join(nodes.select("digest", "nid"), "digest").select("id", "nid").join(same.select("id", "u"), "id")
-    found = components(links.union(many.select("u", F.col("nid").alias("v")).where("u != v")), "near-links")
+    def near_sets(rows: DataFrame) -> DataFrame:
+        return rows.groupBy("c", "i", "j").applyInPandas(verify, "u long, v long")
+
+    found = linked(sets.where(F.col("m") <= SET_BLOCK), sets.where(F.col("m") > SET_BLOCK), "c", SET_BLOCK, near_sets, "near-links", F.greatest(F.lit(1), F.ceil(F.octet_length("elements") / (8 * SET_ELEMENTS))))
+
+    # Sets of one identifier are linked whatever their similarity.
+    code = F.xxhash64("digest")
+    several = named.groupBy("id").agg(F.min(code).alias("_least"), F.max(code).alias("_most")).where("_least != _most").select("id")
+    several = named.join(several, "id").select("id", "digest").distinct().join(nodes.select("digest", "nid"), "digest")
+    several = several.join(several.groupBy("id").agg(F.min("nid").alias("u")), "id").where("u != nid").select("u", F.col("nid").alias("v"))
+    several = materialise(several, "near-several")
+    if not several.isEmpty():
+        found = components(found.select(F.col("node").alias("u"), F.col("root").alias("v")).union(several), "near-all")
 
     least = found.join(nodes.select(F.col("nid").alias("node"), "id", "digest"), "node")
     least = least.join(least.groupBy("root").agg(F.min("id").alias("component")), "root").select("digest", "component")
-    rows = rows.join(least, "digest", "left").join(nodes.select("digest", F.col("id").alias("smallest")), "digest", "left")
-    component = F.when(F.col("id").isNull(), F.lit(None)).otherwise(F.coalesce("component", "smallest", "id"))
+    named = nodes.join(least, "digest", "left").select("digest", F.coalesce("component", "id").alias("component"), "copies")
+    named = materialise(named, "near-components")
+    # Sets that many rows have are few and go to every task, so that no task gathers a set's rows.
+    many = F.col("copies") > rows.count() / HOT_PARTS
+    marked = rows.join(F.broadcast(named.where(many).select("digest", "component")), "digest", "left")
+    rest = marked.where("component IS NULL").drop("component").join(named.where(~many).select("digest", "component"), "digest", "left")
+    rows = marked.where("component IS NOT NULL").unionByName(rest)
+    component = F.when(F.col("id").isNull(), F.lit(None)).otherwise(F.coalesce("component", "id"))
     return rows.select(
         F.col("id").alias(ident), F.col("n").alias("n_shingles"), component.alias("component_id"), F.coalesce(component == F.col("id"), F.lit(True)).alias("kept")
     )

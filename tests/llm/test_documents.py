@@ -11,6 +11,7 @@ import sentencepiece
 import tiktoken
 from tokenizers import Tokenizer
 
+from tabloom.llm import near_dedup as near_dedup_module
 from tabloom.llm import queries as Q
 from tabloom.llm import sharding
 from tabloom.llm.bpe import bpe_roundtrip
@@ -114,6 +115,26 @@ def test_near_dedup_of_a_large_group(spark):
     assert {r["doc_id"]: r["component_id"] for r in out} == want
 
 
+@pytest.mark.parametrize(("key", "block"), [(12, 6), (3, 2), (2048, 5)])
+def test_near_dedup_by_representatives(spark, monkeypatch, key, block):
+    """Families with and without a member that is near all others, chains, and families that share keys: with small blocks all links are found."""
+    monkeypatch.setattr(near_dedup_module, "KEY_BLOCK", key)
+    monkeypatch.setattr(near_dedup_module, "SET_BLOCK", block)
+    rng = random.Random(key)
+    rows = []
+    for family in range(4):
+        words = [f"f{family}w{k}" for k in range(100)]
+        for k in range(30):
+            own = list(words)
+            for j in range(k // 3 if family % 2 else k % 7):  # a chain, or a cloud
+                own[(j * 9 + family) % 100] = f"x{k // 3 if family % 2 else k}y{j}"
+            rows.append((rng.randrange(10**6), " ".join(own)))
+    rows += [(rng.randrange(10**6), " ".join(f"f0w{k}" for k in range(60)) + " " + " ".join(f"f1w{k}" for k in range(60))) for _ in range(3)]
+    out = near_dedup(spark.createDataFrame(rows, "doc_id long, text string"), words=3, percent=60).collect()
+    want = near_components(rows, 3, 60)
+    assert {r["doc_id"]: r["component_id"] for r in out} == want
+
+
 def test_token_counts(docs, rows):
     tool = Tokenizer.from_file(JSON)
     want = Counter((i, len((t or "").encode()), len(tool.encode(t or "", add_special_tokens=False).ids)) for i, t, _ in rows)
