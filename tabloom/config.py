@@ -14,7 +14,7 @@ class EngineConfig:
     schema_strategy: `existing`, `suggest` and `sniff` joined by `_or_`, tried in that order.
     write_disposition: WRITE_APPEND, WRITE_TRUNCATE or WRITE_EMPTY.
     large_csv_mb: larger CSV files are split over tasks.
-    detect: `grouped` (a sheet a task), `distributed` (sheets of any size) or `whole_sheet`.
+    detect: `by_size`, `grouped` (a sheet a task), `distributed` (sheets of any size) or `whole_sheet`.
     """
 
     source_dir: str = ""
@@ -30,7 +30,7 @@ class EngineConfig:
     block_density: float = 0.25
     row_density: float = 0.3
     trim_rows: bool = False
-    detect: str = "grouped"
+    detect: str = "by_size"
     parquet_as_grid: bool = False
     large_csv_mb: int = 64
     strict_integers: bool = False

@@ -1,6 +1,6 @@
 """Finding tables on sheets: regions of touching cells, filters, scores, and a choice without overlap.
 
-Two ways give the same regions. `label_grouped` handles a sheet a task, which is right for
+Two ways give the same regions, and `label_by_size` chooses between them. `label_grouped` handles a sheet a task, which is right for
 workbooks. `label_distributed` is for sheets of any size: each row is cut into runs of occupied
 columns, runs of neighbouring rows that touch are linked, and components are found by hooking
 and pointer jumping over runs.
@@ -9,8 +9,6 @@ and pointer jumping over runs.
 from __future__ import annotations
 
 import math
-import tempfile
-import uuid
 
 import numpy as np
 import pandas as pd
@@ -20,19 +18,32 @@ from pyspark.sql import functions as F
 from ..functions.text import has_content
 from ..functions.tokens import HEADER_NULLS
 from ..functions.values import is_number
+from ..storage import discard, materialise
 from .cells import SHEET, occupied
 
 BOX = "object string, sheet string, r1 int, c1 int, r2 int, c2 int, n_own long"
 BOX_COLUMNS = ["r1", "c1", "r2", "c2"]
+#: Occupied cells of a sheet that one task labels.
+TASK_CELLS = 4_000_000
 
 
-def label_mask(mask: np.ndarray) -> np.ndarray:
-    """8-connected components of a boolean matrix, numbered from 1 in reading order of their first cell; 0 is blank.
+def runs_of(r: np.ndarray, c: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(row, first column, last column of each run of neighbouring cells; run of each cell) of distinct cells sorted by row and column."""
+    new = np.ones(len(r), bool)
+    new[1:] = (r[1:] != r[:-1]) | (c[1:] != c[:-1] + 1)
+    first = np.flatnonzero(new)
+    last = np.concatenate([first[1:], [len(r)]]) - 1
+    return r[first], c[first], c[last], np.cumsum(new) - 1
+
+
+def label_runs(row: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """8-connected component of each run, named by its first run; runs are sorted by row and column.
 
-    Row runs are joined with a union-find, a row at a time.
+    Runs of neighbouring rows are joined with a union-find, by two fingers that move to the right.
+    Work and memory follow the runs, not the area that they span.
     """
-    labels = np.zeros(mask.shape, np.int64)
-    parent = [0]
+    rows, columns, ends = row.tolist(), a.tolist(), b.tolist()
+    parent = list(range(len(rows)))
 
     def root(x: int) -> int:
         while parent[x] != x:
@@ -40,43 +51,39 @@ def label_mask(mask: np.ndarray) -> np.ndarray:
             x = parent[x]
         return x
 
-    above: list[tuple[int, int, int]] = []
-    for r in range(mask.shape[0]):
-        edge = np.flatnonzero(np.diff(np.concatenate([[0], mask[r].view(np.int8), [0]])))
-        here, k = [], 0
-        for a, b in zip(edge[::2].tolist(), (edge[1::2] - 1).tolist(), strict=True):
-            own = 0
-            while k < len(above) and above[k][1] < a - 1:
-                k += 1
-            j = k
-            while j < len(above) and above[j][0] <= b + 1:
-                other = root(above[j][2])
-                if not own:
-                    own = other
-                elif own != other:
-                    own, other = min(own, other), max(own, other)
-                    parent[other] = own
-                j += 1
-            if not own:
-                own = len(parent)
-                parent.append(own)
-            labels[r, a : b + 1] = own
-            here.append((a, b, own))
-        above = here
-    roots = np.array([root(x) for x in range(len(parent))])
-    _, names = np.unique(roots, return_inverse=True)
-    return names[labels] if len(parent) > 1 else labels
+    k = 0
+    for i, r in enumerate(rows):
+        while rows[k] < r - 1 or rows[k] == r - 1 and ends[k] < columns[i] - 1:
+            k += 1
+        j = k
+        while j < i and rows[j] == r - 1 and columns[j] <= ends[i] + 1:
+            x, y = root(i), root(j)
+            if x != y:
+                parent[max(x, y)] = min(x, y)
+            j += 1
+    return np.array([root(x) for x in range(len(rows))], np.int64)
+
+
+def label_mask(mask: np.ndarray) -> np.ndarray:
+    """8-connected components of a boolean matrix, numbered from 1 in reading order of their first cell; 0 is blank."""
+    r, c = np.nonzero(mask)
+    if not len(r):
+        return np.zeros(mask.shape, np.int64)
+    row, a, b, run = runs_of(r, c)
+    _, names = np.unique(label_runs(row, a, b), return_inverse=True)
+    labels = np.zeros(mask.shape, np.int64)
+    labels[r, c] = names[run] + 1
+    return labels
 
 
 def label_grouped(cells: DataFrame) -> DataFrame:
     """Bounding box of each component (BOX), a sheet in one task."""
 
     def boxes(pdf: pd.DataFrame) -> pd.DataFrame:
-        r, c = pdf["row_idx"].to_numpy(), pdf["col_idx"].to_numpy()
-        mask = np.zeros((r.max() - r.min() + 1, c.max() - c.min() + 1), bool)
-        mask[r - r.min(), c - c.min()] = True
-        own = label_mask(mask)[r - r.min(), c - c.min()]
-        out = pd.DataFrame({"k": own, "r": r, "c": c}).groupby("k").agg(r1=("r", "min"), c1=("c", "min"), r2=("r", "max"), c2=("c", "max"), n_own=("r", "size"))
+        own = pdf[["row_idx", "col_idx"]].drop_duplicates().sort_values(["row_idx", "col_idx"])
+        row, a, b, _ = runs_of(own["row_idx"].to_numpy(), own["col_idx"].to_numpy())
+        out = pd.DataFrame({"k": label_runs(row, a, b), "r": row, "a": a, "b": b, "n": b - a + 1})
+        out = out.groupby("k").agg(r1=("r", "min"), c1=("a", "min"), r2=("r", "max"), c2=("b", "max"), n_own=("n", "sum"))
         out.insert(0, "object", pdf["object"].iloc[0])
         out.insert(1, "sheet", pdf["sheet"].iloc[0])
         return out
@@ -91,31 +98,20 @@ def row_runs(cells: DataFrame) -> DataFrame:
     return gap.groupBy(*SHEET, "row_idx", "run").agg(F.min("col_idx").alias("c1"), F.max("col_idx").alias("c2")).drop("run")
 
 
-def _kept(df: DataFrame, name: str) -> DataFrame:
-    """Written to the folder that all executors share, and read back."""
-    spark = df.sparkSession
-    where = spark.conf.get("spark.checkpoint.dir", None)
-    if not where:
-        where = tempfile.mkdtemp(prefix="tabloom-shared-")
-        spark.conf.set("spark.checkpoint.dir", where)
-    path = f"{where.rstrip('/')}/tabloom/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def connected(edges: DataFrame) -> DataFrame:
-    """(node, root) of edges (u, v) between strings, for nodes that have one. Rounds grow with the logarithm of the size."""
-    edges = _kept(edges.select("u", "v").union(edges.select(F.col("v").alias("u"), F.col("u").alias("v"))).where("u != v").distinct(), "edges")
+    """(node, root) of edges (u, v), for nodes that have one. Rounds grow with the logarithm of the size."""
+    edges = materialise(edges.select("u", "v").union(edges.select(F.col("v").alias("u"), F.col("u").alias("v"))).where("u != v"), "edges")
     steps: list[DataFrame] = []
     while not edges.isEmpty():
-        parent = _kept(edges.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("p")), "parents")
-        up = parent.select(F.col("u").alias("p"), F.col("p").alias("q"))
-        parent = _kept(parent.join(up, "p").select("u", F.col("q").alias("p")), "parents")
+        hook = edges.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("p"))
+        up = hook.select(F.col("u").alias("p"), F.col("p").alias("q"))  # the same exchange as hook's
+        parent = materialise(hook.join(up, "p").select("u", F.col("q").alias("p")), "parents")
         steps.append(parent)
         rest = edges.join(parent, "u").select(F.col("p").alias("a"), "v")
         rest = rest.join(parent.select(F.col("u").alias("v"), F.col("p").alias("b")), "v").select(F.col("a").alias("u"), F.col("b").alias("v"))
         hop = parent.select(F.col("p").alias("w")).distinct().join(parent.select(F.col("u").alias("w"), F.col("p").alias("q")), "w").where("w != q")
-        edges = _kept(rest.where("u != v").union(hop.select("w", "q")).union(hop.select("q", "w")).distinct(), "edges")
+        done, edges = edges, materialise(rest.where("u != v").union(hop.select("w", "q")).union(hop.select("q", "w")).distinct(), "edges")
+        discard(done)
     if not steps:
         return edges.select(F.col("u").alias("node"), F.col("v").alias("root"))
     out = steps[0].select(F.col("u").alias("node"), F.col("p").alias("root"))
@@ -126,8 +122,7 @@ def connected(edges: DataFrame) -> DataFrame:
 
 def label_distributed(cells: DataFrame) -> DataFrame:
     """Bounding box of each component (BOX), over runs."""
-    name = F.md5(F.concat_ws("\u0001", *SHEET, "row_idx", "c1").cast("binary"))
-    runs = _kept(row_runs(cells).withColumn("id", name), "runs")
+    runs = materialise(row_runs(cells).withColumn("id", F.monotonically_increasing_id()), "runs")
     below = runs.select(*SHEET, (F.col("row_idx") - 1).alias("row_idx"), F.col("c1").alias("b1"), F.col("c2").alias("b2"), F.col("id").alias("v"))
     touch = runs.join(below, [*SHEET, "row_idx"]).where((F.col("b1") <= F.col("c2") + 1) & (F.col("b2") >= F.col("c1") - 1))
     roots = connected(touch.select(F.col("id").alias("u"), "v"))
@@ -138,6 +133,15 @@ def label_distributed(cells: DataFrame) -> DataFrame:
     return box.drop("root")
 
 
+def label_by_size(cells: DataFrame) -> DataFrame:
+    """The same boxes: a sheet in one task, but for sheets with more than TASK_CELLS cells, which are labelled over all tasks."""
+    large = occupied(cells).groupBy(*SHEET).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > TASK_CELLS).drop("n")
+    large = materialise(large, "large-sheets")
+    if large.isEmpty():
+        return label_grouped(cells)
+    return label_grouped(cells.join(large, SHEET, "left_anti")).unionByName(label_distributed(cells.join(large, SHEET, "left_semi")))
+
+
 def large_enough(boxes: DataFrame, min_rows: int = 3, min_cols: int = 2) -> DataFrame:
     return boxes.where((F.col("r2") - F.col("r1") + 1 >= min_rows) & (F.col("c2") - F.col("c1") + 1 >= min_cols))
 
@@ -225,12 +229,12 @@ def sheet_boxes(cells: DataFrame) -> DataFrame:
     )
 
 
-def detect_tables(cells: DataFrame, mode: str = "grouped", min_rows: int = 3, min_cols: int = 2, density_limit: float = 0.25, min_header: float = 0.6) -> DataFrame:
+def detect_tables(cells: DataFrame, mode: str = "by_size", min_rows: int = 3, min_cols: int = 2, density_limit: float = 0.25, min_header: float = 0.6) -> DataFrame:
     """Tables of every sheet: object, sheet, table_id, r1, c1, r2, c2, n_cells, n_nonnull, score."""
     if mode == "whole_sheet":
         boxes = large_enough(sheet_boxes(cells), min_rows, min_cols)
         return choose(scored(boxes, cells, min_header, min_rows, density_limit, dense_only=False))
-    boxes = {"grouped": label_grouped, "distributed": label_distributed}[mode](cells)
+    boxes = {"by_size": label_by_size, "grouped": label_grouped, "distributed": label_distributed}[mode](cells)
     return choose(scored(large_enough(boxes, min_rows, min_cols), cells, min_header, min_rows, density_limit))
 
 

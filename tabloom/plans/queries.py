@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import csv
 import io
-import tempfile
+import posixpath
 import uuid
 import zipfile
 from collections.abc import Callable
@@ -25,8 +25,11 @@ from ..operators import detect as D
 from ..operators import header as H
 from ..operators import infer as I
 from ..operators.align import align, coercion_loss
+from ..operators import schema as SC
 from ..operators.schema import reconciled
 from ..sources.messages import parse_messages, route
+from ..storage import put, shared_dir
+from .ledger import Ledger
 from .pipeline import process_object, settle
 from .sink import load
 
@@ -310,6 +313,11 @@ final AS (
 """
 
 
+@query("components_bbox_by_size", f"WITH RECURSIVE {EVENT_CTE} SELECT 'events' AS object, * FROM boxes")
+def components_bbox_by_size(spark, d):
+    return D.label_by_size(event_cells(spark, d))
+
+
 @query("components_bbox", f"WITH RECURSIVE {EVENT_CTE} SELECT 'events' AS object, * FROM boxes")
 def components_bbox(spark, d):
     return D.label_distributed(event_cells(spark, d))
@@ -649,6 +657,13 @@ def xlsx_bytes(sheets: dict[str, list[list]]) -> bytes:
     return out.getvalue()
 
 
+def _file(spark, name: str, content: str | bytes) -> str:
+    """A small file in a new folder that all executors can read."""
+    where = f"{shared_dir(spark)}/tabloom/files-{uuid.uuid4().hex[:12]}"
+    where = where if "://" in where or where.startswith("file:") else f"file://{where}"
+    return put(spark, f"{where}/{name}", content.encode() if isinstance(content, str) else content)
+
+
 def _nation_rows(spark, d) -> list[list]:
     return [["n_nationkey", "n_name", "n_regionkey"], *[list(r) for r in table(spark, d, "nation").orderBy("n_nationkey").collect()]]
 
@@ -663,21 +678,35 @@ _NATION_CELLS = (
 def read_csv_grid(spark, d):
     from ..sources.grid import read_grid
 
-    where = tempfile.mkdtemp(prefix="tabloom-")
-    with open(f"{where}/nation.csv", "w") as f:
-        f.write("\n" + csv_text(_nation_rows(spark, d), ";").replace("\n", "\n   \n", 1))
-    return C.to_cells(read_grid(spark, f"file://{where}/nation.csv")).drop("object")
+    path = _file(spark, "nation.csv", "\n" + csv_text(_nation_rows(spark, d), ";").replace("\n", "\n   \n", 1))
+    return C.to_cells(read_grid(spark, path)).drop("object")
+
+
+@query("read_large_csv", _NATION_CELLS.format("'_default_'"))
+def read_large_csv_query(spark, d):
+    from ..sources.grid import read_object
+
+    path = _file(spark, "nation.csv", "\n" + csv_text(_nation_rows(spark, d), "\t").replace("\n", "\n   \n", 1))
+    return C.to_cells(read_object(spark, path, large_csv=0)).drop("object")
+
+
+@query("read_csv_comma_fallback", "SELECT 0 AS col_idx, r_regionkey || ';' || r_name AS value, r_regionkey + 1 AS row_idx FROM region UNION ALL SELECT 0, 'k;v', 0 UNION ALL SELECT 0, '99;x;y;z', 6")
+def read_csv_comma_fallback(spark, d):
+    """The sniffed delimiter doesn't fit all lines, so a comma is taken."""
+    from ..sources.grid import read_grid
+
+    rows = table(spark, d, "region").orderBy("r_regionkey").select("r_regionkey", "r_name").collect()
+    path = _file(spark, "region.csv", "".join(f"{k};{v}\n" for k, v in [("k", "v"), *rows, (99, "x;y;z")]))
+    return C.to_cells(read_grid(spark, path)).drop("object", "sheet")
 
 
 @query("read_xlsx_grid", _NATION_CELLS.format("'Nations & more'"))
 def read_xlsx_grid(spark, d):
     from ..sources.grid import GridDataSource
 
-    where = tempfile.mkdtemp(prefix="tabloom-")
-    with open(f"{where}/book.xlsx", "wb") as f:
-        f.write(xlsx_bytes({"empty": [], "Nations & more": _nation_rows(spark, d)}))
+    path = _file(spark, "book.xlsx", xlsx_bytes({"empty": [], "Nations & more": _nation_rows(spark, d)}))
     spark.dataSource.register(GridDataSource)
-    return C.to_cells(spark.read.format("grid").load(where)).drop("object")
+    return C.to_cells(spark.read.format("grid").load(path)).drop("object")
 
 
 @query("read_parquet_grid", "SELECT unnest([0, 1]) AS col_idx, unnest([r_regionkey::VARCHAR, r_name]) AS value, r_regionkey AS row_idx FROM region")
@@ -689,11 +718,9 @@ def read_parquet_grid(spark, d):
 
 @query("process_object", "SELECT 'nations' AS sheet, 'loaded' AS outcome, n_rows, k AS place FROM (SELECT count(*) AS n_rows, 1 AS k FROM nation UNION ALL SELECT count(*), 2 FROM region)")
 def process_object_query(spark, d):
-    where = tempfile.mkdtemp(prefix="tabloom-")
     regions = [["r_regionkey", "r_name"], *[list(r) for r in table(spark, d, "region").orderBy("r_regionkey").collect()]]
-    with open(f"{where}/book.xlsx", "wb") as f:
-        f.write(xlsx_bytes({"nations": [*_nation_rows(spark, d), [None], *regions]}))
-    got = process_object(spark, f"file://{where}/book.xlsx", f"q_{uuid.uuid4().hex[:10]}", EngineConfig(source_dir=where))
+    path = _file(spark, "book.xlsx", xlsx_bytes({"nations": [*_nation_rows(spark, d), [None], *regions]}))
+    got = process_object(spark, path, f"q_{uuid.uuid4().hex[:10]}", EngineConfig())
     rows = [(s.sheet, s.outcome, s.n_rows, int(s.table.rsplit("_", 1)[1])) for s in got]
     return spark.createDataFrame(rows, "sheet string, outcome string, n_rows long, place int")
 
@@ -702,22 +729,60 @@ def process_object_query(spark, d):
 def listener(spark, d):
     from ..streaming.listener import Listener
 
-    where = tempfile.mkdtemp(prefix="tabloom-")
-    with open(f"{where}/book.csv", "w") as f:
-        f.write(csv_text(_nation_rows(spark, d)))
-    with open(f"{where}/note.txt", "w") as f:
-        f.write("no table")
-    import os
-
-    os.mkdir(f"{where}/messages")
+    where = posixpath.dirname(_file(spark, "book.csv", csv_text(_nation_rows(spark, d))))
+    put(spark, f"{where}/note.txt", b"no table")
     name = uuid.uuid4().hex[:10]
-    with open(f"{where}/messages/m.json", "w") as f:
-        f.write("".join(f'{{"object_name": "{o}", "target_dataset_id": "ds_{name}"}}\n' for o in ("book.csv", "gone.csv", "note.txt")) + "{bad\n")
-    log = Listener(spark, EngineConfig(source_dir=f"file://{where}"), f"log_{name}")
+    lines = "".join(f'{{"object_name": "{o}", "target_dataset_id": "ds_{name}"}}\n' for o in ("book.csv", "gone.csv", "note.txt")) + "{bad\n"
+    put(spark, f"{where}/messages/m.json", lines.encode())
+    log = Listener(spark, EngineConfig(source_dir=where), f"log_{name}")
     log.start(f"{where}/messages", f"{where}/checkpoint", once=True).awaitTermination()
     return spark.table(log.outcomes).select("object_name", "status", "decision")
 
 
+@query("numeric_dataset", "SELECT 'loaded' AS outcome, count(*) AS n_rows, 2 * count(*) AS table_rows FROM nation")
+def numeric_dataset(spark, d):
+    """A dataset whose name begins with a digit; the second load reports the rows of the table after it."""
+    path, name = _file(spark, "nation.csv", csv_text(_nation_rows(spark, d))), f"123{uuid.uuid4().hex[:10]}"
+    process_object(spark, path, name, EngineConfig())
+    got = process_object(spark, path, name, EngineConfig())
+    return spark.createDataFrame([(s.outcome, s.n_rows, s.table_rows) for s in got], "outcome string, n_rows long, table_rows long")
+
+
+@query("replayed_load", "SELECT 'loaded' AS outcome, count(*) AS n_rows, count(*) AS in_table FROM nation")
+def replayed_load(spark, d):
+    """The same version of an object, delivered twice with a ledger of loads, is in the table once."""
+    path, name = _file(spark, "nation.csv", csv_text(_nation_rows(spark, d))), uuid.uuid4().hex[:10]
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS log_{name}")
+    for _ in range(2):
+        got = process_object(spark, path, f"ds_{name}", EngineConfig(), None, Ledger(spark, f"log_{name}.loads", "nation.csv", f"ds_{name}", "1"))
+    n = spark.table(f"ds_{name}.nation").count()
+    return spark.createDataFrame([(s.outcome, s.n_rows, n) for s in got], "outcome string, n_rows long, in_table long")
+
+
+@query("schema_existing", "SELECT * FROM (VALUES (0, 'n_nationkey', 'INTEGER', 'NULLABLE'), (1, 'n_name', 'STRING', 'NULLABLE'), (2, 'n_regionkey', 'INTEGER', 'NULLABLE')) t(place, name, type, mode)")
+def schema_existing(spark, d):
+    """The schema of the table that is there, though the data alone would give another."""
+    name = f"tabloom_queries.nation_{uuid.uuid4().hex[:12]}"
+    spark.sql("CREATE DATABASE IF NOT EXISTS tabloom_queries")
+    load(align(as_text(spark, d, "nation"), _NATION), name, _NATION)
+    data = as_text(spark, d, "nation").withColumn("n_regionkey", F.lit("word"))
+    return _fields(spark, SC.determine_schema(data, name, "existing_or_sniff"))
+
+
+@query("schema_suggested", "SELECT * FROM (VALUES (0, 'n_name', 'STRING', 'NULLABLE'), (1, 'n_nationkey', 'FLOAT', 'NULLABLE')) t(place, name, type, mode)")
+def schema_suggested(spark, d):
+    """A suggestion within a fence, with a name that the data lack and a type that nobody knows."""
+
+    def suggester(sample: str, columns: list[str]) -> str:
+        return '```json\n[{"name": "n_name", "type": "varchar"}, {"name": "gone", "type": "STRING"}, {"name": "n_nationkey", "type": "float"}]\n```'
+
+    return _fields(spark, SC.determine_schema(as_text(spark, d, "nation"), "tabloom_queries.none", "existing_or_suggest_or_sniff", suggester))
+
+
+def _fields(spark, schema) -> DataFrame:
+    return spark.createDataFrame([(k, f["name"], f["type"], f["mode"]) for k, f in enumerate(schema)], "place int, name string, type string, mode string")
+
+
 # ---- flagship --------------------------------------------------------------------------------------
 
 

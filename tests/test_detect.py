@@ -113,6 +113,20 @@ def test_labels_are_components(rows, cols, bits):
     assert {frozenset((c, r) for r, c in s) for s in flood(mask)} == {frozenset(map(tuple, np.argwhere(label_mask(mask.T) == k))) for k in range(1, label_mask(mask.T).max() + 1)}
 
 
+def test_large_sheets_are_labelled_over_all_tasks(spark, monkeypatch):
+    from tabloom.operators import detect
+
+    rng = np.random.default_rng(5)
+    cells = [("o", s, int(r), int(c), "x") for s, n in (("a", 40), ("b", 400), ("c", 900)) for r, c in {tuple(x) for x in rng.integers(0, 40, (n, 2)).tolist()}]
+    cells.append(("o", "a", 10_000_000, 2_000_000, "x"))  # far away: memory follows the cells
+    df = spark.createDataFrame(cells, "object string, sheet string, row_idx int, col_idx int, value string").persist()
+    want = sorted(map(tuple, label_grouped(df).collect()))
+    monkeypatch.setattr(detect, "TASK_CELLS", 200)
+    assert sorted(map(tuple, detect.label_by_size(df).collect())) == want == sorted(map(tuple, label_distributed(df).collect()))
+    monkeypatch.setattr(detect, "TASK_CELLS", 10_000)
+    assert sorted(map(tuple, detect.label_by_size(df).collect())) == want
+
+
 def test_boxes_that_touch():
     assert overlap((0, 0, 2, 2), (2, 2, 4, 4)) and not overlap((0, 0, 2, 2), (3, 0, 4, 4))
 
