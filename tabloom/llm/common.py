@@ -4,45 +4,30 @@ from __future__ import annotations
 
 import ctypes
 import gc
-import tempfile
-import uuid
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
+from ..storage import discard, materialise, scratch, shared_dir
+
+__all__ = ["bounded_batches", "discard", "materialise", "scratch", "shared_dir"]
+
 #: White space of the text contracts: space and the bytes 09 to 0D.
 SPACE_CLASS = r"[\x20\x09-\x0D]+"
 WORD_CLASS = r"[^\x20\x09-\x0D]+"
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder every executor can read: spark.checkpoint.dir, or a temporary one where it is unset (tests)."""
-    where = spark.conf.get("spark.checkpoint.dir", None)
-    if not where:
-        where = tempfile.mkdtemp(prefix="tabloom-shared-")
-        spark.conf.set("spark.checkpoint.dir", where)
-    return where
-
-
-def materialise(df: DataFrame, name: str) -> DataFrame:
-    """Write df as Parquet into the shared folder and read it back.
-
-    Lineage ends there, so a lost executor costs a re-read and not a recomputation.
-    """
-    spark = df.sparkSession
-    path = f"{shared_dir(spark).rstrip('/')}/tabloom/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 #: Bytes of rows that go to a Python worker at once; a longer row goes alone.
 BATCH_BYTES = 8 << 20
 
 
 def bounded_batches(spark: SparkSession) -> SparkSession:
-    """Makes Arrow batches small enough for texts of any length. A smaller setting stays as it is."""
+    """Makes Arrow batches small enough for texts of any length. A smaller setting stays as it is.
+
+    The setting stays in the session, as results are computed only when they are read.
+    """
     key = "spark.sql.execution.arrow.maxBytesPerBatch"
     now = spark.conf.get(key)
     if not now.rstrip("bB").isdigit() or not 0 < int(now.rstrip("bB")) <= BATCH_BYTES:

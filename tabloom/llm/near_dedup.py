@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded_batches, find_words, hash_words, materialise, mix64, release, row_slices, utf8_column
+from .common import bounded_batches, discard, find_words, hash_words, materialise, mix64, release, row_slices, utf8_column
 
 #: Positions of a signature and bits of each; the signature distance (positions that differ) up to
 #: which every pair is found.
@@ -283,12 +283,16 @@ def linked(small: DataFrame, large: DataFrame, group: str, block: int, compare:
     """
     edges = compare(small.withColumns({"i": F.lit(0), "j": F.lit(0), "side": F.lit(False)}))
     large = materialise(large, f"{name}-large")
+    used = [large]
     if large.isEmpty():
+        discard(large)
         return components(edges, name)
     edges, large = materialise(edges, f"{name}-links"), large.withColumn("lead", F.lit(True))
+    used.append(edges)
     for k in range(REPRESENTATIVES + 1):
         more = compare(around_leaders(large, group, block) if k < REPRESENTATIVES else block_pairs(large.drop("lead"), group, block, weight))
-        edges = edges.union(materialise(more, f"{name}-links"))
+        used.append(materialise(more, f"{name}-links"))
+        edges = edges.union(used[-1])
         found = components(edges, name)
         if k == REPRESENTATIVES:
             break
@@ -296,8 +300,10 @@ def linked(small: DataFrame, large: DataFrame, group: str, block: int, compare:
         large = large.drop("root", "lead").join(found.select(F.col("node").alias("nid"), "root"), "nid", "left").withColumn("root", F.coalesce("root", "nid"))
         state = large.groupBy(group).agg(F.min_by("root", "nid").alias("_first"), (F.min("root") != F.max("root")).alias("_open")).where("_open")
         large = materialise(large.join(state, group).withColumn("lead", F.col("root") != F.col("_first")).drop("_first", "_open"), f"{name}-large")
+        used += [found, large]
         if large.isEmpty():
             break
+    discard(*[df for df in used if df is not found])
     return found
 
 
@@ -317,24 +323,29 @@ def components(edges: DataFrame, name: str) -> DataFrame:
         hook = materialise(hook, f"{name}-hook")
         if hook.isEmpty():
             break
+        first = hook
         for _ in range(2):
             far = hook.select(F.col("u").alias("p"), F.col("p").alias("q"))
             hook = hook.join(far, "p").select("u", F.col("q").alias("p"))
         hook = materialise(hook, f"{name}-jump")
+        discard(first)
         steps.append(hook)
         one = both.join(hook, "u").select(F.col("p").alias("a"), "v")
         two = one.join(hook.select(F.col("u").alias("v"), F.col("p").alias("b")), "v").select(F.col("a").alias("u"), F.col("b").alias("v"))
         up = hook.select(F.col("u").alias("w"), F.col("p").alias("q"))
         left = hook.select(F.col("p").alias("w")).distinct().join(up, "w").where("w != q")
         rest = two.where("u != v").union(left.select("w", "q")).union(left.select("q", "w")).distinct()
-        both = materialise(rest, f"{name}-edges")
+        done, both = both, materialise(rest, f"{name}-edges")
+        discard(done)
     if not steps:
-        return both.select(F.col("u").alias("node"), F.col("v").alias("root")).limit(0)
+        return materialise(both.select(F.col("u").alias("node"), F.col("v").alias("root")), f"{name}-roots")  # empty
     out = steps[0].select(F.col("u").alias("node"), F.col("p").alias("root"))
-    for hook in steps[1:]:
-        far = hook.select(F.col("u").alias("root"), F.col("p").alias("q"))
+    for step in steps[1:]:
+        far = step.select(F.col("u").alias("root"), F.col("p").alias("q"))
         out = out.join(far, "root", "left").select("node", F.coalesce("q", "root").alias("root"))
-    return materialise(out, f"{name}-roots")
+    out = materialise(out, f"{name}-roots")
+    discard(hook, both, *steps)
+    return out
 
 
 def _set_rows(size: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -419,6 +430,7 @@ def near_dedup(docs: DataFrame, text: str = "text", ident: str = "doc_id", words
         return rows.mapInArrow(partial(_candidates, percent), "u long, v long")
 
     candidates = linked(members(shared.where(F.col("m") <= KEY_BLOCK)), members(shared.where(F.col("m") > KEY_BLOCK)), "key", KEY_BLOCK, near_signatures, "near-candidates", F.lit(1))
+    discard(shared)
 
     group = candidates.select(F.col("node").alias("nid"), F.col("root").alias("c")).join(nodes.select("nid", "id", "digest", "n"), "nid")
     # Members, or thousands of elements: blocks of large sets have fewer members.
@@ -435,6 +447,7 @@ def near_dedup(docs: DataFrame, text: str = "text", ident: str = "doc_id", words
         return rows.groupBy("c", "i", "j").applyInPandas(verify, "u long, v long")
 
     found = linked(sets.where(F.col("m") <= SET_BLOCK), sets.where(F.col("m") > SET_BLOCK), "c", SET_BLOCK, near_sets, "near-links", F.greatest(F.lit(1), F.ceil(F.octet_length("elements") / (8 * SET_ELEMENTS))))
+    discard(sets, candidates)
 
     # Sets of one identifier are linked whatever their similarity.
     code = F.xxhash64("digest")
