@@ -224,21 +224,59 @@ class Pass:
         return out
 
 
-def common_prefixes(raw: np.ndarray, room: np.ndarray, x: np.ndarray, y: np.ndarray, most: int) -> np.ndarray:
-    """Symbols that the suffixes x and y share, up to `most`; room is the distance to a string's end."""
+#: Steps between the S* suffixes, in order of the text, whose shared prefixes are found first, next, ...
+_STEPS = (64, 16, 4, 1)
+
+
+def neighbours_share(raw: np.ndarray, room: np.ndarray, order: np.ndarray, most: int) -> np.ndarray:
+    """Symbols that each of the sorted suffixes but the first shares with the one before it, up to `most`.
+
+    A suffix that stands d symbols after one that shares l with its neighbour shares at least l - d
+    with its own, if the neighbour's suffix d further on is among the sorted ones and comes earlier.
+    So a few suffixes are compared from their start, and the others from where that leaves off.
+    """
+    n = len(order)
+    if n < 2:
+        return np.zeros(max(0, n - 1), np.int32)
+    rank = np.full(len(raw), -1, np.int64)
+    rank[order] = np.arange(n)
+    text = np.sort(order)  # in order of the text
+    place = rank[text]
     padded = np.concatenate([raw, np.zeros(8, np.uint8)])
     words = np.ascontiguousarray(np.lib.stride_tricks.sliding_window_view(padded, 8)).view("<u8").ravel()  # the first symbol in the lowest bits
+    out = np.zeros(n, np.int32)
+    known = place == 0
+    fresh = np.concatenate([[True], text[:-1] + room[text[:-1]] < text[1:]])  # the first of a string
+    for step in _STEPS:
+        todo = np.flatnonzero(~known & ((np.arange(n) % step == 0) | fresh))
+        last = np.maximum.accumulate(np.where(known, np.arange(n), -1))[todo]
+        base = np.maximum(last, 0)
+        shift = text[todo] - text[base]
+        has = (last >= 0) & (place[base] > 0)
+        there = order[np.maximum(place[base] - 1, 0)] + shift
+        has &= there < len(raw)
+        there = rank[np.minimum(there, len(raw) - 1)]
+        has &= (there >= 0) & (there < place[todo])
+        least = np.where(has, np.maximum(out[place[base]] - shift, 0), 0)
+        out[place[todo]] = common_prefixes(words, room, order[place[todo] - 1], text[todo], most, least)
+        known[todo] = True
+    return out[1:]
+
+
+def common_prefixes(words: np.ndarray, room: np.ndarray, x: np.ndarray, y: np.ndarray, most: int, least: np.ndarray) -> np.ndarray:
+    """Symbols that the suffixes x and y share, up to `most`, given that they share `least`; room is the distance to a string's end."""
     out = np.minimum(np.minimum(room[x], room[y]), most).astype(np.int32)
-    left, a, b, at = np.arange(len(x)), x, y, 0
+    at = least.astype(np.int64)
+    left = np.flatnonzero(out > at)
+    at, a, b = at[left], x[left] + at[left], y[left] + at[left]
     while len(left):
         differ = words[a] ^ words[b]
         some = differ != 0
         hit, bits = left[some], differ[some]
         bits &= ~bits + np.uint64(1)  # the lowest bit that is set
-        out[hit] = np.minimum(out[hit], at + (np.frexp(bits.astype(np.float64))[1] - 1) // 8)
-        at += 8
-        more = ~some & (out[left] > at)
-        left, a, b = left[more], a[more] + 8, b[more] + 8
+        out[hit] = np.minimum(out[hit], at[some] + (np.frexp(bits.astype(np.float64))[1] - 1) // 8)
+        more = ~some & (out[left] > at + 8)
+        left, a, b, at = left[more], a[more] + 8, b[more] + 8, at[more] + 8
     return out
 
 
@@ -259,7 +297,7 @@ def suffix_array(t: np.ndarray, depth: int, queue_bytes: int = QUEUE_BYTES) -> t
 
     stars = _star_order(t, s, depth)
     shared = np.zeros(len(stars), np.int32)
-    shared[1:] = common_prefixes((t - 1).astype(np.uint8), room, stars[:-1], stars[1:], depth)
+    shared[1:] = neighbours_share((t - 1).astype(np.uint8), room, stars, depth)
     cuts = np.searchsorted(t[stars], np.arange(258))
 
     def meet(a: np.ndarray, b: np.ndarray) -> int:
