@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import hashlib
 import math
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -74,18 +75,21 @@ def anchors(data: np.ndarray, length: int = PASSAGE, gram: int = GRAM) -> tuple[
 
 
 def _segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(r, q, text) to a row (r, q, h, g, a, b) for each segment; g is a digest of its bytes and its anchor's place in it."""
+    """(r, q, text) to a row (r, q, h, g, s) for each segment; g is a digest of its bytes and its anchor's place in it.
+
+    s is its first window start << 20, how much later its last one is << 10, and its anchor's place after the first.
+    """
     for batch in batches:
         data, offsets = utf8_column(batch.column(2))
         owners, columns, digests = [], [], []
         size = 0
 
         def out():
-            h, first, last = (np.concatenate(x) for x in zip(*columns, strict=True))
+            h, place = (np.concatenate(x) for x in zip(*columns, strict=True))
             at = pa.array(np.concatenate(owners))
             return pa.RecordBatch.from_arrays(
-                [batch.column(0).take(at), batch.column(1).take(at), pa.array(h.view(np.int64)), pa.array(np.frombuffer(b"".join(digests), np.int64)), pa.array(first), pa.array(last)],
-                names=["r", "q", "h", "g", "a", "b"],
+                [batch.column(0).take(at), batch.column(1).take(at), pa.array(h.view(np.int64)), pa.array(np.frombuffer(b"".join(digests), np.int64)), pa.array(place)],
+                names=["r", "q", "h", "g", "s"],
             )
 
         for k in range(len(offsets) - 1):
@@ -97,7 +101,7 @@ def _segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for p, a, b in zip(place.tolist(), first.tolist(), last.tolist(), strict=True):
                 digests.append(hashlib.blake2b(raw[a : b + LENGTH], digest_size=8, key=(p - a).to_bytes(4, "little")).digest())
             owners.append(np.full(len(h), k))
-            columns.append((h, first, last))
+            columns.append((h, first << 20 | (last - first) << 10 | (place - first)))
             size += len(h)
             if size > 100_000:
                 yield out()
@@ -107,14 +111,15 @@ def _segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(r, q, text, wanted list of (h, g, n, many, spread, a, b)) to a row (r, q, h, g, n, many, spread, a, w, piece) for each wanted segment."""
+    """(r, q, text, wanted list of (h, g, n, many, spread, s)) to a row (r, q, h, g, n, many, spread, s, piece) for each wanted segment."""
     for batch in batches:
         texts, wanted = batch.column(2), batch.column(3)
         lists = wanted.flatten()
         counts = np.diff(wanted.offsets.to_numpy())
         owner = np.repeat(np.arange(batch.num_rows), counts)
-        h, g, n, many, spread, a, b = (lists.field(k) for k in range(7))
-        begin, end = a.to_numpy(), b.to_numpy()
+        h, g, n, many, spread, place = (lists.field(k) for k in range(6))
+        s = place.to_numpy()
+        begin, end = s >> 20, (s >> 20) + (s >> 10 & 1023)
         pieces, at, raw = [], -1, b""
         for k, (x, y) in enumerate(zip(begin.tolist(), end.tolist(), strict=True)):
             if owner[k] != at:
@@ -122,23 +127,38 @@ def _fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 raw = texts[int(at)].as_py().encode()
             pieces.append(raw[x : y + LENGTH])
         for x in range(0, len(pieces), 20_000):
-            s = slice(x, x + 20_000)
             part = lambda c: c.slice(x, 20_000)
-            own = pa.array(owner[s])
+            own = pa.array(owner[x : x + 20_000])
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0).take(own), batch.column(1).take(own), part(h), part(g), part(n), part(many), part(spread), part(a), pa.array((end - begin + 1)[s]), pa.array(pieces[s], pa.binary())],
-                names=["r", "q", "h", "g", "n", "many", "spread", "a", "w", "piece"],
+                [batch.column(0).take(own), batch.column(1).take(own), part(h), part(g), part(n), part(many), part(spread), part(place), pa.array(pieces[x : x + 20_000], pa.binary())],
+                names=["r", "q", "h", "g", "n", "many", "spread", "s", "piece"],
             )
 
 
+def may_share(anchor: list[int], place: list[int], pieces: list[bytes]) -> np.ndarray:
+    """Which segments can have a window in common with another one of their anchor.
+
+    A common window holds the anchor's k-gram and PASSAGE - GRAM more bytes, so that on one side of
+    the k-gram at least half as many are alike.
+    """
+    side = (PASSAGE - GRAM + 1) // 2
+    before = [(h, x[p - side : p]) if p >= side else None for h, p, x in zip(anchor, place, pieces, strict=True)]
+    after = [(h, x[p + GRAM : p + GRAM + side]) for h, p, x in zip(anchor, place, pieces, strict=True)]
+    seen, seen_after = Counter(before), Counter(after)
+    return np.array([b is not None and seen[b] > 1 or seen_after[a] > 1 and len(a[1]) == side for b, a in zip(before, after, strict=True)], bool)
+
+
 def _shard(pdf: pd.DataFrame) -> pd.DataFrame:
     """The segments of one shard to runs (r, q, x, y, kind) of window starts: kind 1 repeat at LENGTH, 2 at PASSAGE in another document, 3 both."""
     pdf = pdf.drop_duplicates(["h", "g"])
+    pdf = pdf[may_share(pdf["h"].tolist(), (pdf["s"] & 1023).tolist(), pdf["piece"].tolist())]
+    place = pdf["s"].to_numpy()
+    first = place >> 20
     owners = pdf.groupby(["r", "q"], sort=False).ngroup().to_numpy()
-    hits = repeated_starts(list(pdf["piece"]), LENGTH, pdf["w"].tolist(), (pdf["many"] > 1).to_numpy(), short=PASSAGE, owners=owners, spread=pdf["spread"].to_numpy(bool))
+    hits = repeated_starts(list(pdf["piece"]), LENGTH, ((place >> 10 & 1023) + 1).tolist(), (pdf["many"] > 1).to_numpy(), short=PASSAGE, owners=owners, spread=pdf["spread"].to_numpy(bool))
     rows = []
     # Places of a segment that occurs several times repeat anyway; where its copies are in one document, passages are still to be found.
-    for r, q, a, many, spread, hit in zip(pdf["r"], pdf["q"], pdf["a"], pdf["many"], pdf["spread"], hits, strict=True):
+    for r, q, a, many, spread, hit in zip(pdf["r"], pdf["q"], first.tolist(), pdf["many"], pdf["spread"], hits, strict=True):
         if spread or not hit.any():
             continue
         cuts = [0, *(np.flatnonzero(hit[1:] != hit[:-1]) + 1).tolist(), len(hit)]
@@ -180,22 +200,23 @@ def suffix_dedup(docs: DataFrame, text: str = "text", ident: str = "doc_id", wit
     given = given.withColumn("rid", name)
     lanes = [F.conv(F.substring("rid", k, 15), 16, 10).cast("long").alias(c) for k, c in ((1, "r"), (16, "q"))]
     given = given.select("id", "text", *lanes)
-    segments = given.where(F.octet_length("text") >= PASSAGE).select("r", "q", "text").mapInArrow(_segments, "r long, q long, h long, g long, a long, b long")
+    segments = given.where(F.octet_length("text") >= PASSAGE).select("r", "q", "text").mapInArrow(_segments, "r long, q long, h long, g long, s long")
     segments = materialise(segments, "suffix-segments")
 
-    # Columns of fixed width, so that groups are hashed; a group's first row gives all of r, q, a and b.
+    # Columns of fixed width, so that groups are hashed; a group's first row gives all of r, q and s.
     spread = (F.min("r") != F.max("r")) | (F.min("q") != F.max("q"))
-    classes = segments.groupBy("h", "g").agg(F.count(F.lit(1)).alias("many"), spread.alias("spread"), *[F.first(c).alias(c) for c in ("r", "q", "a", "b")])
+    classes = segments.groupBy("h", "g").agg(F.count(F.lit(1)).alias("many"), spread.alias("spread"), *[F.first(c).alias(c) for c in ("r", "q", "s")])
     anchor = classes.groupBy("h").agg(F.count(F.lit(1)).alias("n"), F.sum("many").alias("all")).where("all > 1")
     classes = materialise(classes.join(anchor.drop("all"), "h"), "suffix-classes")
     # All windows of a segment that occurs several times repeat, in each of its places.
     often = classes.where("many > 1").select("h", "g", (F.col("spread").cast("int") * 2 + 1).alias("kind"))
-    whole = segments.join(often, ["h", "g"]).select("r", "q", F.col("a").alias("x"), F.col("b").alias("y"), "kind")
+    begin = F.shiftright("s", 20)
+    whole = segments.join(often, ["h", "g"]).select("r", "q", begin.alias("x"), (begin + F.shiftright("s", 10).bitwiseAND(1023)).alias("y"), "kind")
     # Anchors with several different segments go to the shards.
-    mixed = classes.where("n > 1").select("r", "q", F.struct("h", "g", "n", "many", "spread", "a", "b").alias("want"))
+    mixed = classes.where("n > 1").select("r", "q", F.struct("h", "g", "n", "many", "spread", "s").alias("want"))
     wanted = mixed.groupBy("r", "q").agg(F.collect_list("want").alias("wanted"))  # no more than a text has segments
     once = given.select("r", "q", "text").join(wanted, ["r", "q"]).dropDuplicates(["r", "q"])
-    pieces = once.mapInArrow(_fetch, "r long, q long, h long, g long, n long, many long, spread boolean, a long, w long, piece binary")
+    pieces = once.mapInArrow(_fetch, "r long, q long, h long, g long, n long, many long, spread boolean, s long, piece binary")
     pieces = materialise(pieces, "suffix-pieces")
     total = pieces.agg(F.coalesce(F.sum(F.octet_length("piece")), F.lit(0))).first()[0]
     shards = max(1, math.ceil(total / SHARD_BYTES))
@@ -203,7 +224,7 @@ def suffix_dedup(docs: DataFrame, text: str = "text", ident: str = "doc_id", wit
     blocks = F.ceil(F.col("n") / SEGMENT_BLOCK).cast("int")
     rows = pieces.withColumn("own", F.pmod(F.xxhash64("g"), blocks).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
     rows = rows.withColumn("shard", F.pmod(F.xxhash64("h", F.least("own", "other"), F.greatest("own", "other")), F.lit(shards)))
-    rows = rows.select("shard", "r", "q", "h", "g", "many", "spread", "a", "w", "piece").repartitionByRange(shards, "shard")  # one shard a task, which hashing wouldn't give
+    rows = rows.select("shard", "r", "q", "h", "g", "many", "spread", "s", "piece").repartitionByRange(shards, "shard")  # one shard a task, which hashing wouldn't give
     some = rows.groupBy("shard").applyInPandas(_shard, "r long, q long, x long, y long, kind int")
     starts = whole.union(some).groupBy("r", "q").agg(F.collect_set(F.struct("x", "y", "kind")).alias("starts"))  # no more than a text has windows
 
