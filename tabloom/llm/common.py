@@ -45,6 +45,14 @@ def release() -> None:
         trim(0)
 
 
+def unused(name: str, columns: list[str]) -> str:
+    """The name, with as many _ after it as it takes to differ from all columns (in any case)."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
 

@@ -82,8 +82,11 @@ def exact_dedup(docs: DataFrame, text: str = "text", ident: str = "doc_id", carr
     """
     spark, carry = docs.sparkSession, [ident] if carry is None else carry
     bounds, long = splitters(docs, text, ident, shuffle_partitions(spark))
-    given = docs.select(*{c: None for c in [ident, text, *carry]})
-    rows = _with_key(given.drop("_xd_norm", "_xd_sha", "_xd_tie"), text, ident)
+    # The caller's columns go by numbers, so that none of them clashes with a name here.
+    safe = {c: f"_xd_c{k}" for k, c in enumerate(dict.fromkeys([ident, text, *carry]))}
+    given = docs.select(*[docs[c].alias(s) for c, s in safe.items()])
+    names, ident, text, carry = carry, safe[ident], safe[text], [safe[c] for c in carry]
+    rows = _with_key(given, text, ident)
     begin = _begin(LEADING)
     if long:  # fewer than there are ranges
         few = spark.createDataFrame([(x, True) for x in long], "_xd_lead string, _xd_long boolean")
@@ -124,7 +127,7 @@ def exact_dedup(docs: DataFrame, text: str = "text", ident: str = "doc_id", carr
     rows = rows.join(F.broadcast(edges), ["_xd_range", "_xd_run"], "left")  # at most two small rows a range
     here = F.col("_xd_first").isNull() | (first.eqNullSafe(F.col("_xd_first")))
     return rows.select(
-        *[F.col(c) for c in carry if c not in ("keep_id", "group_size", "kept", "text_sha256")],
+        *[F.col(s).alias(c) for c, s in zip(names, carry, strict=True) if c not in ("keep_id", "group_size", "kept", "text_sha256")],
         F.when(F.col("_xd_first").isNull(), F.col("_xd_keep.id")).otherwise(F.col("_xd_first.id")).alias("keep_id"),
         F.coalesce("_xd_total", "_xd_size").cast("long").alias("group_size"),
         (F.col("_xd_new") & here).alias("kept"),

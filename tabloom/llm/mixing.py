@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import materialise, shuffle_partitions, word_count
+from .common import materialise, shuffle_partitions, unused, word_count
 
 #: Weights of the sources, repeating, in order of name; the slopes of their schedules likewise.
 WEIGHTS, SLOPES = (5, 2, 1), (-0.5, 0.0, 0.5)
@@ -127,10 +127,11 @@ def mixed_documents(docs: DataFrame, text: str = "text", ident: str = "doc_id",
     that share an identifier, null included, are planned each by itself; rows equal in all columns
     are interchangeable, so one of them is put out as often as all of them are passed.
     """
-    rest = F.to_json(F.struct(*[docs[c] for c in docs.columns if c != text], docs[text].isNull().alias("_mx_none")))
-    copy = F.md5(F.concat(F.md5(F.coalesce(docs[text], F.lit("")).cast("binary")), rest).cast("binary")).alias("_mx_copy")
+    name, place = unused("_mx_copy", docs.columns), unused("_mx_position", docs.columns)
+    rest = F.to_json(F.struct(*[docs[c] for c in docs.columns if c != text], docs[text].isNull().alias(unused("_mx_none", docs.columns))))
+    copy = F.md5(F.concat(F.md5(F.coalesce(docs[text], F.lit("")).cast("binary")), rest).cast("binary")).alias(name)
     rows = docs.select(docs[ident].alias("_mx_ident"), docs[source].alias("_mx_source"), word_count(docs[text]).alias("size"), copy)
-    plan = _planned(rows, weights, slopes, budget, most).where("passes > 0").select("_mx_copy", F.explode("positions").alias("_mx_position"))
-    rows = docs.select("*", copy).dropDuplicates(["_mx_copy"]).join(plan, "_mx_copy")
-    rows = rows.repartitionByRange(shuffle_partitions(docs.sparkSession), "_mx_position", "_mx_copy").sortWithinPartitions("_mx_position", "_mx_copy")
+    plan = _planned(rows, weights, slopes, budget, most).where("passes > 0").select(name, F.explode("positions").alias(place))
+    rows = docs.select("*", copy).dropDuplicates([name]).join(plan, name)
+    rows = rows.repartitionByRange(shuffle_partitions(docs.sparkSession), place, name).sortWithinPartitions(place, name)
     return rows.select(*docs.columns)

@@ -5,7 +5,7 @@ import random
 import re
 from collections import Counter
 
-SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, kept boolean, id string, _xd_key string, n long, shard int, rid string, position double, size long, fold int"
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, kept boolean, id string, _xd_key string, _mx_copy string, n long, shard int, rid string, position double, size long, fold int"
 SPACE, WORD = re.compile(r"[\x20\x09-\x0D]+"), re.compile(r"[^\x20\x09-\x0D]+")
 
 
@@ -33,7 +33,7 @@ def odd_rows():
 
 
 def table(spark, rows):
-    full = [(i, t, "en", s, None if t is None else len(t), True, "x", None, 3, 5, "r", 0.5, 9, 1) for i, t, s in rows]
+    full = [(i, t, "en", s, None if t is None else len(t), True, "x", None, "c", 3, 5, "r", 0.5, 9, 1) for i, t, s in rows]
     return spark.createDataFrame(full, SCHEMA)
 
 
