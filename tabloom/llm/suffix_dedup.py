@@ -11,7 +11,8 @@ with one anchor form a segment. Segments whose anchor hash is alone in the corpu
 that repeats. A segment's bytes go on to the end of the longer stretch. Equal segments are counted together; the different segments of one anchor hash
 meet in a shard, where induced sorting (induced_sort.py) finds the windows that they share.
 
-Shards hold about SHARD_BYTES; an anchor with very many different segments is cut into blocks
+Shards hold about SHARD_BYTES, which small tasks make; each is read as a stream and sorted
+externally, so that a larger one needs disk and no more memory. An anchor with very many different segments is cut into blocks
 and each pair of blocks shares a shard, so that no task grows with the corpus.
 """
 
@@ -19,17 +20,18 @@ from __future__ import annotations
 
 import hashlib
 import math
+import tempfile
 from collections import Counter
 from collections.abc import Iterator
+from functools import partial
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded_batches, materialise, mix64, utf8_column
-from .induced_sort import repeated_starts
+from .common import bounded_batches, materialise, mix64, release, utf8_column
+from .induced_sort import MEMORY_BYTES, repeated_starts
 
 LENGTH, PASSAGE = 400, 288
 #: Bytes of a k-gram: a power of two, and more than the lines that many texts share.
@@ -148,22 +150,76 @@ def may_share(anchor: list[int], place: list[int], pieces: list[bytes]) -> np.nd
     return np.array([b is not None and seen[b] > 1 or seen_after[a] > 1 and len(a[1]) == side for b, a in zip(before, after, strict=True)], bool)
 
 
-def _shard(pdf: pd.DataFrame) -> pd.DataFrame:
-    """The segments of one shard to runs (r, q, x, y, kind) of window starts: kind 1 repeat at LENGTH, 2 at PASSAGE in another document, 3 both."""
-    pdf = pdf.drop_duplicates(["h", "g"])
-    pdf = pdf[may_share(pdf["h"].tolist(), (pdf["s"] & 1023).tolist(), pdf["piece"].tolist())]
-    place = pdf["s"].to_numpy()
-    first = place >> 20
-    owners = pdf.groupby(["r", "q"], sort=False).ngroup().to_numpy()
-    hits = repeated_starts(list(pdf["piece"]), LENGTH, ((place >> 10 & 1023) + 1).tolist(), (pdf["many"] > 1).to_numpy(), short=PASSAGE, owners=owners, spread=pdf["spread"].to_numpy(bool))
-    rows = []
-    # Places of a segment that occurs several times repeat anyway; where its copies are in one document, passages are still to be found.
-    for r, q, a, many, spread, hit in zip(pdf["r"], pdf["q"], first.tolist(), pdf["many"], pdf["spread"], hits, strict=True):
-        if spread or not hit.any():
-            continue
-        cuts = [0, *(np.flatnonzero(hit[1:] != hit[:-1]) + 1).tolist(), len(hit)]
-        rows += [(r, q, a + x, a + y - 1, int(hit[x])) for x, y in zip(cuts[:-1], cuts[1:], strict=True) if hit[x]]
-    return pd.DataFrame(rows, columns=["r", "q", "x", "y", "kind"]).astype({"r": "int64", "q": "int64", "x": "int64", "y": "int64", "kind": "int32"})
+class _Shard:
+    """The segments of one shard: their bytes in a file beyond a bound, and a few numbers of each."""
+
+    def __init__(self, memory: int):
+        self.memory, self.size = memory, 0
+        self.bytes = tempfile.SpooledTemporaryFile(memory // 8)
+        self.rows: list[tuple] = []  # r, q, s, many, spread, bytes
+
+    def add(self, group: list[tuple]) -> None:
+        """Segments (h, g, r, q, many, spread, s, piece) of one anchor, in order of g."""
+        group = [x for k, x in enumerate(group) if not k or x[1] != group[k - 1][1]]
+        for x, some in zip(group, may_share([x[0] for x in group], [x[6] & 1023 for x in group], [x[7] for x in group]), strict=True):
+            if some:
+                self.rows.append((x[2], x[3], x[6], x[4], x[5], len(x[7])))
+                self.bytes.write(x[7])
+                self.size += len(x[7])
+
+    def strings(self) -> Iterator[bytes]:
+        self.bytes.seek(0)
+        for x in self.rows:
+            yield self.bytes.read(x[5])
+
+    def runs(self) -> Iterator[pa.RecordBatch]:
+        """Runs (r, q, x, y, kind) of window starts: kind 1 repeat at LENGTH, 2 at PASSAGE in another document, 3 both."""
+        if not self.rows:
+            return
+        r, q, s, many, spread = (np.array([x[k] for x in self.rows]) for k in range(5))
+        owners = np.unique(np.stack([r, q], 1), axis=0, return_inverse=True)[1].ravel()
+        hits = repeated_starts(self.strings(), LENGTH, (s >> 10 & 1023) + 1, many > 1, self.memory, PASSAGE, owners, spread.astype(bool), self.size)
+        rows: list[tuple] = []
+        # Places of a segment that occurs several times repeat anyway; where its copies are in one document, passages are still to be found.
+        for (own, lane, place, _, several, _), hit in zip(self.rows, hits, strict=True):
+            if several or not hit.any():
+                continue
+            a = place >> 20
+            cuts = [0, *(np.flatnonzero(hit[1:] != hit[:-1]) + 1).tolist(), len(hit)]
+            rows += [(own, lane, a + x, a + y - 1, int(hit[x])) for x, y in zip(cuts[:-1], cuts[1:], strict=True) if hit[x]]
+            if len(rows) > 50_000:
+                yield _run_batch(rows)
+                rows = []
+        if rows:
+            yield _run_batch(rows)
+
+
+def _run_batch(rows: list[tuple]) -> pa.RecordBatch:
+    kinds = [pa.int64()] * 4 + [pa.int32()]
+    return pa.RecordBatch.from_arrays([pa.array(list(x), k) for x, k in zip(zip(*rows, strict=True), kinds, strict=True)], names=["r", "q", "x", "y", "kind"])
+
+
+def _sort_shards(memory: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (shard, h, g, r, q, many, spread, s, piece), sorted by the first three, to the runs of each shard. A row at a time is held, and an anchor's block."""
+    shard, last, group = None, None, []
+    for batch in batches:
+        columns = [batch.column(k).to_pylist() for k in range(9)]
+        for number, *row in zip(*columns, strict=True):
+            if (number, row[0]) != last:
+                if group:
+                    shard.add(group)
+                    group = []
+                if last is None or number != last[0]:
+                    if shard is not None:
+                        yield from shard.runs()
+                    shard = _Shard(memory)
+                last = number, row[0]
+            group.append(row)
+    if shard is not None:
+        if group:
+            shard.add(group)
+        yield from shard.runs()
+    release()
 
 
 def covered_runs(starts: list[tuple[int, int]], n: int, length: int = LENGTH) -> list[tuple[int, int]]:
@@ -180,7 +236,7 @@ def covered_runs(starts: list[tuple[int, int]], n: int, length: int = LENGTH) ->
     return [(a, b) for a, b in out]
 
 
-def suffix_dedup(docs: DataFrame, text: str = "text", ident: str = "doc_id", with_text: bool = False) -> DataFrame:
+def suffix_dedup(docs: DataFrame, text: str = "text", ident: str = "doc_id", with_text: bool = False, shard_bytes: int = SHARD_BYTES, memory: int = MEMORY_BYTES) -> DataFrame:
     """One row for each input row: identifier, n_bytes, n_removed, n_spans, kept_sha256, n_passage_bytes, n_passages, and with with_text kept (binary) and spans.
 
     Texts are UTF-8 bytes, null counts as empty. Each byte covered by a stretch of 400 bytes that
@@ -189,7 +245,7 @@ def suffix_dedup(docs: DataFrame, text: str = "text", ident: str = "doc_id", wit
     other, so from 400 bytes on nothing of them stays. n_passage_bytes counts the bytes covered by
     a stretch of 288 bytes that also starts in another document, n_passages their maximal runs;
     rows equal in identifier and text are one document there. Identifiers may be null. An empty
-    table gives an empty result.
+    table gives an empty result. A shard may be far larger than the memory that its sort may take.
     """
     bounded_batches(docs.sparkSession)
     kind = dict(docs.dtypes)[ident]
@@ -219,13 +275,13 @@ def suffix_dedup(docs: DataFrame, text: str = "text", ident: str = "doc_id", wit
     pieces = once.mapInArrow(_fetch, "r long, q long, h long, g long, n long, many long, spread boolean, s long, piece binary")
     pieces = materialise(pieces, "suffix-pieces")
     total = pieces.agg(F.coalesce(F.sum(F.octet_length("piece")), F.lit(0))).first()[0]
-    shards = max(1, math.ceil(total / SHARD_BYTES))
+    shards = max(1, math.ceil(total / shard_bytes))
     # As in the pairs of blocks of near_dedup: one block, and one row, for all but very common anchors.
     blocks = F.ceil(F.col("n") / SEGMENT_BLOCK).cast("int")
     rows = pieces.withColumn("own", F.pmod(F.xxhash64("g"), blocks).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
     rows = rows.withColumn("shard", F.pmod(F.xxhash64("h", F.least("own", "other"), F.greatest("own", "other")), F.lit(shards)))
-    rows = rows.select("shard", "r", "q", "h", "g", "many", "spread", "s", "piece").repartitionByRange(shards, "shard")  # one shard a task, which hashing wouldn't give
-    some = rows.groupBy("shard").applyInPandas(_shard, "r long, q long, x long, y long, kind int")
+    rows = rows.select("shard", "h", "g", "r", "q", "many", "spread", "s", "piece").repartitionByRange(shards, "shard")  # one shard a task, which hashing wouldn't give
+    some = rows.sortWithinPartitions("shard", "h", "g").mapInArrow(partial(_sort_shards, memory), "r long, q long, x long, y long, kind int")
     starts = whole.union(some).groupBy("r", "q").agg(F.collect_set(F.struct("x", "y", "kind")).alias("starts"))  # no more than a text has windows
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

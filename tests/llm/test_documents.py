@@ -286,7 +286,7 @@ def test_suffix_dedup_of_many_short_passages(spark):
     rows += [("a", "b:" + same), ("a:b", same), ("two", letters(420) * 2), ("three", shared[6] + shared[6]), (None, shared[4]), ("", shared[4])]
     docs = spark.createDataFrame(rows, "doc_id string, text string").repartition(3)
     want, passages = repeated([t for _, t in rows]), passage_bytes(rows)
-    out = suffix_dedup(docs).collect()
+    out = suffix_dedup(docs, shard_bytes=1 << 30, memory=60_000).collect()  # all in one shard, much larger than its memory
     got = Counter((r["doc_id"], r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"], r["n_passage_bytes"]) for r in out)
     assert got == Counter((i, *w, n) for (i, _), w, n in zip(rows, want, passages, strict=True))
 

@@ -3,6 +3,7 @@
 import random
 import re
 import struct
+import tracemalloc
 import zlib
 from fractions import Fraction
 
@@ -47,8 +48,47 @@ def test_repeated_starts(strings, depth):
     for s, n in zip(strings, counts, strict=True):
         for k in range(n):
             seen[s[k : k + depth]] = seen.get(s[k : k + depth], 0) + 1
-    got = induced_sort.repeated_starts(strings, depth, counts, np.zeros(len(strings), bool), queue_bytes=64)
-    assert [g.tolist() for g in got] == [[seen[s[k : k + depth]] > 1 for k in range(n)] for s, n in zip(strings, counts, strict=True)]
+    for memory in (600, 1 << 20):
+        got = induced_sort.repeated_starts(strings, depth, counts, np.zeros(len(strings), bool), memory)
+        assert [g.tolist() for g in got] == [[seen[s[k : k + depth]] > 1 for k in range(n)] for s, n in zip(strings, counts, strict=True)]
+
+
+@settings(max_examples=40, deadline=None)
+@given(st.lists(st.tuples(st.binary(min_size=6, max_size=50).map(lambda b: bytes(x % 2 for x in b)), st.integers(0, 2), st.booleans(), st.booleans()), min_size=1, max_size=6), st.integers(3, 6), st.integers(2, 3))
+def test_repeated_starts_of_two_lengths(rows, depth, short):
+    strings, owners = [x[0] for x in rows], np.array([x[1] for x in rows])
+    often, spread = np.array([x[2] for x in rows]), np.array([x[2] and x[3] for x in rows])
+    counts = [len(s) - short + 1 for s in strings]
+    long, who = {}, {}
+    for k, s in enumerate(strings):
+        for a in range(counts[k]):
+            long.setdefault(s[a : a + depth], []).append((k, a))
+            who.setdefault(s[a : a + short], set()).update({owners[k], f"more of {k}"} if spread[k] else {owners[k]})
+    want = []
+    for k, s in enumerate(strings):
+        first = [a + depth <= len(s) and (often[k] or len(long[s[a : a + depth]]) > 1) for a in range(counts[k])]
+        want.append([int(x) + 2 * (len(who[s[a : a + short]]) > 1) for a, x in enumerate(first)])
+    for memory in (600, 1 << 20):
+        got = induced_sort.repeated_starts(iter(strings), depth, counts, often, memory, short, owners, spread, sum(map(len, strings)))
+        assert [g.tolist() for g in got] == want
+
+
+def test_sorting_needs_no_more_memory_than_it_may():
+    """A text of more bytes than all the memory that its sort is given: arrays, sorts and queues go to disk, and the result is that of plenty of memory."""
+    rng = np.random.default_rng(31)
+    strings = [bytes((rng.integers(0, 6, 500) + 97).astype(np.uint8)) for _ in range(3500)]
+    strings += [s[100:480] for s in strings[:1600]] + [b"a" * 5000, b"ab" * 2000]
+    counts = [max(1, len(s) - 59) for s in strings]
+    own, none = np.arange(len(strings)), np.zeros(len(strings), bool)
+    memory = 1 << 20
+    assert sum(map(len, strings)) > 2 * memory
+    space = induced_sort.Space(memory)
+    tracemalloc.start()
+    small = [zlib.crc32(g.tobytes()) for g in induced_sort.repeated_starts(strings, 60, counts, none, short=40, owners=own, spread=none, space=space)]
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert space.on_disk > 20 and peak < 3 * memory, (space.on_disk, peak)
+    assert small == [zlib.crc32(g.tobytes()) for g in induced_sort.repeated_starts(strings, 60, counts, none, 1 << 28, 40, own, none)]
 
 
 def test_anchors_depend_on_windows_alone():
