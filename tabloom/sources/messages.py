@@ -15,6 +15,22 @@ def message_stream(spark: SparkSession, path: str, files_per_trigger: int = 16)
     return spark.readStream.schema(shape).option("maxFilesPerTrigger", files_per_trigger).json(path)
 
 
+def broker_stream(spark: SparkSession, kind: str = "kafka", **options: str) -> DataFrame:
+    """Messages of a broker, by a streaming source whose rows have a value: JSON text. Its connector has to be in the session.
+
+    For example broker_stream(spark, **{"kafka.bootstrap.servers": "host:9092", "subscribe": "objects"}).
+    """
+    return messages_of(spark.readStream.format(kind).options(**options).load())
+
+
+def messages_of(lines: DataFrame, column: str = "value") -> DataFrame:
+    """Messages from a column of JSON text or bytes, batch or stream; text that is no JSON object is kept in _corrupt_record."""
+    text = lines.select(F.col(column).cast("string").alias("value"))
+    got = parse_messages(text)
+    bad = F.when(F.col("object_name").isNull() & F.col("target_dataset_id").isNull(), F.col("value"))
+    return got.select("object_name", "target_dataset_id", bad.alias("_corrupt_record"))
+
+
 def parse_messages(lines: DataFrame, column: str = "value") -> DataFrame:
     """Adds object_name and target_dataset_id from a column of JSON text; null where it is no JSON object."""
     got = F.from_json(F.col(column), MESSAGE_SCHEMA, {"mode": "PERMISSIVE"})

@@ -81,14 +81,15 @@ class Listener:
         if not dead.isEmpty():
             dead.write.mode("append").saveAsTable(self.dead)
 
-    def start(self, messages_dir: str, checkpoint: str, once: bool = False) -> StreamingQuery:
-        """Starts the stream; with once it stops when all messages that are there are done."""
-        writer = message_stream(self.spark, messages_dir).writeStream.foreachBatch(self.batch).option("checkpointLocation", checkpoint)
+    def start(self, messages: str | DataFrame, checkpoint: str, once: bool = False) -> StreamingQuery:
+        """Starts the stream, from a folder of JSON lines or a stream of messages; with once it stops when all messages that are there are done."""
+        stream = message_stream(self.spark, messages) if isinstance(messages, str) else messages
+        writer = stream.writeStream.foreachBatch(self.batch).option("checkpointLocation", checkpoint)
         return (writer.trigger(availableNow=True) if once else writer.trigger(processingTime="5 seconds")).start()
 
-    def run(self, messages_dir: str, checkpoint: str) -> None:
+    def run(self, messages: str | DataFrame, checkpoint: str) -> None:
         """Blocks until interrupted, then stops."""
-        query = self.start(messages_dir, checkpoint)
+        query = self.start(messages, checkpoint)
         try:
             query.awaitTermination()
         except KeyboardInterrupt:

@@ -10,7 +10,7 @@ from tabloom.plans.ledger import Ledger
 from tabloom.plans.pipeline import decision, process_object
 from tabloom.plans.queries import csv_text, xlsx_bytes
 from tabloom.sources.grid import GridDataSource, read_grid, read_large_csv, read_object
-from tabloom.sources.messages import parse_messages, route
+from tabloom.sources.messages import broker_stream, parse_messages, route
 from tabloom.sources.parse import UnsupportedFormat, parse_csv, parse_file, parse_xlsx
 from tabloom.streaming.listener import Listener
 
@@ -273,6 +273,17 @@ def test_listener(spark, folder):
     assert spark.table(log.dead).count() == 4 and log.retry().count() == 0
 
 
+def test_listener_on_a_broker_stream(spark, folder):
+    """Lines of text stand for a broker's values."""
+    inbox = folder / "values"
+    inbox.mkdir()
+    (inbox / "1.txt").write_text('{"object_name": "one.csv", "target_dataset_id": "t_broker"}\n{bad\n')
+    log = Listener(spark, EngineConfig(source_dir=f"file://{folder}"), "t_broker_log")
+    log.start(broker_stream(spark, "text", path=str(inbox)), str(folder / "checkpoint2"), once=True).awaitTermination()
+    assert sorted((r["object_name"] or "", r["status"], r["reason"]) for r in spark.table(log.outcomes).collect()) == [("", "invalid", "bad JSON"), ("one.csv", "ok", None)]
+    assert spark.table("t_broker.one").count() == 3
+
+
 def test_config():
     assert EngineConfig.from_env({"TABLOOM_SOURCE_DIR": "/d", "TABLOOM_SAMPLE_ROWS": "9", "TABLOOM_TRIM_ROWS": "true"}) == EngineConfig(source_dir="/d", sample_rows=9, trim_rows=True)
     with pytest.raises(ValueError, match="SOURCE_DIR"):
