@@ -1,7 +1,7 @@
 """Queries over the driver's tables, one or more for each operator, and the SQL that says the same.
 
 Grids are built from the tables by casting to text. Nothing is filtered away to make a query cheap,
-except in the grid of events, which keeps one event a cell.
+except in the grid of hours and users, which keeps one event a cell; components_bbox_all_events has all of them.
 """
 
 from __future__ import annotations
@@ -313,6 +313,18 @@ final AS (
 """
 
 
+ALL_EVENTS_CTE = EVENT_CTE.replace(
+    "(hour(ts) + 24 * dayofweek(ts))::INT AS r, (user_id % 48)::INT AS c, min(event_id) AS id FROM events GROUP BY ALL", "(event_id // 100)::INT AS r, (event_id % 100)::INT AS c, event_id AS id FROM events"
+)
+
+
+@query("components_bbox_all_events", f"WITH RECURSIVE {ALL_EVENTS_CTE} SELECT 'events' AS object, * FROM boxes")
+def components_bbox_all_events(spark, d):
+    """A grid that grows with the table: every event has a cell of its own, 100 in a row."""
+    at = table(spark, d, "events").select(F.col("event_type").alias("sheet"), F.floor(F.col("event_id") / 100).cast("int").alias("row_idx"), (F.col("event_id") % 100).cast("int").alias("col_idx"), F.col("event_id").cast("string").alias("value"))
+    return D.label_by_size(at.withColumn("object", F.lit("events")))
+
+
 @query("components_bbox_by_size", f"WITH RECURSIVE {EVENT_CTE} SELECT 'events' AS object, * FROM boxes")
 def components_bbox_by_size(spark, d):
     return D.label_by_size(event_cells(spark, d))
