@@ -76,18 +76,18 @@ def test_repeated_starts_of_two_lengths(rows, depth, short):
 def test_sorting_needs_no_more_memory_than_it_may():
     """A text of more bytes than all the memory that its sort is given: arrays, sorts and queues go to disk, and the result is that of plenty of memory."""
     rng = np.random.default_rng(31)
-    strings = [bytes((rng.integers(0, 6, 500) + 97).astype(np.uint8)) for _ in range(3500)]
-    strings += [s[100:480] for s in strings[:1600]] + [b"a" * 5000, b"ab" * 2000]
+    strings = [bytes((rng.integers(0, 6, 500) + 97).astype(np.uint8)) for _ in range(1800)]
+    strings += [s[100:480] for s in strings[:800]] + [b"a" * 5000, b"ab" * 2000]
     counts = [max(1, len(s) - 59) for s in strings]
     own, none = np.arange(len(strings)), np.zeros(len(strings), bool)
-    memory = 1 << 20
+    memory = 1 << 19
     assert sum(map(len, strings)) > 2 * memory
     space = induced_sort.Space(memory)
     tracemalloc.start()
     small = [zlib.crc32(g.tobytes()) for g in induced_sort.repeated_starts(strings, 60, counts, none, short=40, owners=own, spread=none, space=space)]
     peak = tracemalloc.get_traced_memory()[1]
     tracemalloc.stop()
-    assert space.on_disk > 20 and peak < 3 * memory, (space.on_disk, peak)
+    assert space.on_disk > 20 and peak < 4 * memory, (space.on_disk, peak)
     assert small == [zlib.crc32(g.tobytes()) for g in induced_sort.repeated_starts(strings, 60, counts, none, 1 << 28, 40, own, none)]
 
 
