@@ -42,6 +42,8 @@ WORDS, PERCENT = 5, 80
 CHUNKS = DISTANCE // 2 + 1
 #: Members of a key, and of a candidate component, that are compared in one block; larger groups go by representatives.
 KEY_BLOCK, SET_BLOCK = 2048, 512
+#: Edges (both ways) that one task holds: 16 MB.
+TASK_EDGES = 1 << 20
 #: Representatives that a large group's members are compared with before blocks are.
 REPRESENTATIVES = 2
 #: A set that this part of all rows has is joined to them by a broadcast.
@@ -311,18 +313,17 @@ def components(edges: DataFrame, name: str) -> DataFrame:
     """(node, root) for every node of edges (u, v): root is some node of its component.
 
     Each round hooks every node to its smallest neighbour, jumps pointers twice and contracts the
-    edges, until none is left; what a round hooked is written to the shared folder. Numbers are
-    hashed order, so rounds grow with the logarithm of the largest component.
+    edges; what a round hooked is written to the shared folder. As soon as at most TASK_EDGES are
+    left, one task joins them. Numbers are hashed order, so rounds grow with the logarithm of the
+    largest component.
     """
     both = edges.select("u", "v").union(edges.select(F.col("v").alias("u"), F.col("u").alias("v"))).where("u != v").distinct()
     both, steps = materialise(both, f"{name}-edges"), []
-    while True:
-        hook = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("p"))
-        if len(steps) > 64:
-            raise RuntimeError("components don't settle")
-        hook = materialise(hook, f"{name}-hook")
-        if hook.isEmpty():
+    while n := both.count():
+        if n <= TASK_EDGES:
+            steps.append(materialise(both.where("u < v").repartition(1).mapInArrow(_join_edges, "u long, p long"), f"{name}-rest"))
             break
+        hook = materialise(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("p")), f"{name}-hook")
         first = hook
         for _ in range(2):
             far = hook.select(F.col("u").alias("p"), F.col("p").alias("q"))
@@ -344,10 +345,29 @@ def components(edges: DataFrame, name: str) -> DataFrame:
         far = step.select(F.col("u").alias("root"), F.col("p").alias("q"))
         out = out.join(far, "root", "left").select("node", F.coalesce("q", "root").alias("root"))
     out = materialise(out, f"{name}-roots")
-    discard(hook, both, *steps)
+    discard(both, *steps)
     return out
 
 
+def _join_edges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Edges (u, v) to (node, smallest node of its component)."""
+    held = [(b.column(0).to_numpy(), b.column(1).to_numpy()) for b in batches]
+    if not held:
+        return
+    u, v = (np.concatenate(x) for x in zip(*held, strict=True))
+    nodes, at = np.unique(np.concatenate([u, v]), return_inverse=True)
+    a, b = at[: len(u)], at[len(u) :]
+    parent = np.arange(len(nodes))
+    while len(a):
+        np.minimum.at(parent, np.maximum(a, b), np.minimum(a, b))
+        while (parent[parent] != parent).any():
+            parent = parent[parent]
+        a, b = parent[a], parent[b]
+        apart = a != b
+        a, b = a[apart], b[apart]
+    yield pa.RecordBatch.from_arrays([pa.array(nodes), pa.array(nodes[parent])], names=["u", "p"])
+
+
 def _set_rows(size: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(nid, c, m, digest, text) to (nid, c, m, set) where the text's set has that digest."""
     for batch in batches:

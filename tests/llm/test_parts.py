@@ -121,6 +121,30 @@ def test_intersections():
     assert got.tolist() == [[len(np.intersect1d(a, b)) if a is not b else 0 for b in sets] for a in sets]
 
 
+def test_components(spark, monkeypatch):
+    """Chains, stars and cycles, by one task and by rounds until few edges are left."""
+    rng = random.Random(6)
+    edges = [(k, k + 1) for k in range(100, 160)] + [(300, k) for k in range(301, 350)] + [(400 + k, 400 + (k + 1) % 20) for k in range(20)]
+    edges += [(rng.randrange(1000, 1200), rng.randrange(1000, 1200)) for _ in range(120)] + [(7, 7)]
+    names = {x: rng.randrange(1 << 60) for e in edges for x in e}
+    parent = {x: x for e in edges if e[0] != e[1] for x in e}
+
+    def root(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for a, b in edges:
+        if a != b:
+            parent[root(a)] = root(b)
+    df = spark.createDataFrame([(names[a], names[b]) for a, b in edges], "u long, v long")
+    for most in (1 << 20, 100, 0):
+        monkeypatch.setattr(near_dedup, "TASK_EDGES", most)
+        got = {r["node"]: r["root"] for r in near_dedup.components(df, "test").collect()}
+        assert set(got) == {names[x] for x in parent}
+        assert all((got[names[a]] == got[names[b]]) == (root(a) == root(b)) for a in parent for b in parent)
+
+
 def test_difference_balances():
     rng = random.Random(1)
     sizes = [rng.randint(1, 5000) for _ in range(2000)]
