@@ -1,6 +1,6 @@
 """Exact dedup by a distributed content sort, in DataFrame functions only.
 
-Sampled splitters cut the order of the normalised bytes into ranges, one a partition. A splitter
+Sampled splitters cut the order of the normalised bytes into ranges, each a partition. A splitter
 holds leading bytes; where several splitters share theirs, a second sample finds splitters with
 far longer leading bytes inside that prefix. Texts that agree in these too are told apart by
 digest, and equal texts by identifier and input partition, so that a range can end anywhere, also
@@ -18,8 +18,8 @@ from pyspark.sql import functions as F
 
 from .common import SPACE_CLASS, materialise, shuffle_partitions
 
-#: Sampled rows for each range; leading characters of a splitter, and of those within a prefix that has several.
-SAMPLES_PER_RANGE, LEADING, LEADING_LONG = 16, 32, 512
+#: Ranges for each shuffle partition, and sampled rows for each range; leading characters of a splitter, and of those within a prefix that has several.
+RANGES_PER_PARTITION, SAMPLES_PER_RANGE, LEADING, LEADING_LONG = 2, 16, 32, 512
 #: What a row counts besides its text, when ranges are made equal.
 ROW_BYTES = 128
 
@@ -81,7 +81,7 @@ def exact_dedup(docs: DataFrame, text: str = "text", ident: str = "doc_id", carr
     named like a result column are replaced. An empty table gives an empty result.
     """
     spark, carry = docs.sparkSession, [ident] if carry is None else carry
-    bounds, long = splitters(docs, text, ident, shuffle_partitions(spark))
+    bounds, long = splitters(docs, text, ident, RANGES_PER_PARTITION * shuffle_partitions(spark))
     # The caller's columns go by numbers, so that none of them clashes with a name here.
     safe = {c: f"_xd_c{k}" for k, c in enumerate(dict.fromkeys([ident, text, *carry]))}
     given = docs.select(*[docs[c].alias(s) for c, s in safe.items()])
