@@ -27,6 +27,8 @@ from functools import partial
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -90,7 +92,7 @@ def _segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             h, place = (np.concatenate(x) for x in zip(*columns, strict=True))
             at = pa.array(np.concatenate(owners))
             return pa.RecordBatch.from_arrays(
-                [batch.column(0).take(at), batch.column(1).take(at), pa.array(h.view(np.int64)), pa.array(np.frombuffer(b"".join(digests), np.int64)), pa.array(place)],
+                [batch.column(0).take(at), batch.column(1).take(at), pa.array(h.view(np.int64)), pa.array(np.array(digests, np.uint64).view(np.int64)), pa.array(place)],
                 names=["r", "q", "h", "g", "s"],
             )
 
@@ -99,9 +101,8 @@ def _segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             h, place, first, last = anchors(text)
             if not len(h):
                 continue
-            raw = text.tobytes()
-            for p, a, b in zip(place.tolist(), first.tolist(), last.tolist(), strict=True):
-                digests.append(hashlib.blake2b(raw[a : b + LENGTH], digest_size=8, key=(p - a).to_bytes(4, "little")).digest())
+            raw = memoryview(text.tobytes())
+            digests += [xxhash.xxh3_64_intdigest(raw[a : b + LENGTH], p - a) for p, a, b in zip(place.tolist(), first.tolist(), last.tolist(), strict=True)]
             owners.append(np.full(len(h), k))
             columns.append((h, first << 20 | (last - first) << 10 | (place - first)))
             size += len(h)
@@ -203,7 +204,7 @@ def _sort_shards(memory: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.
     """Rows (shard, h, g, r, q, many, spread, s, piece), sorted by the first three, to the runs of each shard. A row at a time is held, and an anchor's block."""
     shard, last, group = None, None, []
     for batch in batches:
-        columns = [batch.column(k).to_pylist() for k in range(9)]
+        columns = [*(batch.column(k).to_numpy(zero_copy_only=False).tolist() for k in range(8)), batch.column(8).to_pylist()]
         for number, *row in zip(*columns, strict=True):
             if (number, row[0]) != last:
                 if group:
@@ -287,10 +288,13 @@ def suffix_dedup(docs: DataFrame, text: str = "text", ident: str = "doc_id", wit
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out: list[tuple] = []
-            for value, runs in zip(batch.column(1), batch.column(2), strict=True):
-                raw, runs = value.as_py().encode(), runs.as_py() or ()
-                spans = covered_runs([(r["x"], r["y"]) for r in runs if r["kind"] & 1], len(raw))
-                passages = covered_runs([(r["x"], r["y"]) for r in runs if r["kind"] & 2], len(raw), PASSAGE)
+            lists = batch.column(2)
+            x, y, marks = (lists.flatten().field(k).to_numpy().tolist() for k in range(3))
+            ends = np.cumsum(pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)).tolist()
+            for value, a, b in zip(batch.column(1), [0, *ends[:-1]], ends, strict=True):
+                raw = value.as_py().encode()
+                spans = covered_runs([(x[k], y[k]) for k in range(a, b) if marks[k] & 1], len(raw))
+                passages = covered_runs([(x[k], y[k]) for k in range(a, b) if marks[k] & 2], len(raw), PASSAGE)
                 at, kept = 0, []
                 for a, b in spans:
                     kept.append(raw[at:a])
