@@ -35,6 +35,12 @@ def bounded_batches(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def drop_shuffles(spark: SparkSession) -> None:
+    """Lets Spark remove the shuffle files of finished steps, which otherwise stay until the driver happens to collect its garbage."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def release() -> None:
     """Gives memory that is free again back to the system, as Python workers live on between tasks."""
     gc.enable()

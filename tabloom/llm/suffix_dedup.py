@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded_batches, materialise, mix64, release, utf8_column
+from .common import bounded_batches, drop_shuffles, materialise, mix64, release, utf8_column
 from .induced_sort import MEMORY_BYTES, repeated_starts
 
 LENGTH, PASSAGE = 400, 288
@@ -261,10 +261,11 @@ def suffix_dedup(docs: DataFrame, text: str = "text", ident: str = "doc_id", wit
     segments = materialise(segments, "suffix-segments")
 
     # Columns of fixed width, so that groups are hashed; a group's first row gives all of r, q and s.
-    spread = (F.min("r") != F.max("r")) | (F.min("q") != F.max("q"))
+    spread = F.min("r") != F.max("r")  # 60 bits tell the documents of one segment apart
     classes = segments.groupBy("h", "g").agg(F.count(F.lit(1)).alias("many"), spread.alias("spread"), *[F.first(c).alias(c) for c in ("r", "q", "s")])
     anchor = classes.groupBy("h").agg(F.count(F.lit(1)).alias("n"), F.sum("many").alias("all")).where("all > 1")
     classes = materialise(classes.join(anchor.drop("all"), "h"), "suffix-classes")
+    drop_shuffles(docs.sparkSession)
     # All windows of a segment that occurs several times repeat, in each of its places.
     often = classes.where("many > 1").select("h", "g", (F.col("spread").cast("int") * 2 + 1).alias("kind"))
     begin = F.shiftright("s", 20)
@@ -275,6 +276,7 @@ def suffix_dedup(docs: DataFrame, text: str = "text", ident: str = "doc_id", wit
     once = given.select("r", "q", "text").join(wanted, ["r", "q"]).dropDuplicates(["r", "q"])
     pieces = once.mapInArrow(_fetch, "r long, q long, h long, g long, n long, many long, spread boolean, s long, piece binary")
     pieces = materialise(pieces, "suffix-pieces")
+    drop_shuffles(docs.sparkSession)
     total = pieces.agg(F.coalesce(F.sum(F.octet_length("piece")), F.lit(0))).first()[0]
     shards = max(1, math.ceil(total / shard_bytes))
     # As in the pairs of blocks of near_dedup: one block, and one row, for all but very common anchors.
