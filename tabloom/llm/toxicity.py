@@ -6,24 +6,30 @@ alike only if all hashes collide, and forms of one stem are alike in part.
 Filters of several widths slide over the words, each filter's largest response over the whole
 text is kept, and a logistic layer scores the maxima. Scores are then calibrated for the
 language that the text's own function words show: the threshold that separates best on a
-held-back part of the training rows moves to 0.5.
+held-back part of the training rows moves to 0.5. Every labelled row outside the held-out fold
+trains or calibrates: a start is learned in one task and carried on in shards.
 """
 
 from __future__ import annotations
 
+import copy
+import math
 import pickle
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded_batches, find_words, hash_words, materialise, release, row_slices, utf8_column
+from .common import bounded_batches, discard, drop_shuffles, find_words, hash_words, materialise, release, row_slices, utf8_column
 
-#: Labelled rows that training uses at most, and bytes of their word hashes; both bound what the training task holds.
-SAMPLE_ROWS, SAMPLE_BYTES = 6000, 64 << 20
+#: Labelled rows of the start of training at most, and bytes of their word hashes; both bound what its one task holds.
+START_ROWS, START_BYTES = 6000, 64 << 20
+#: Labelled rows of a shard of the pass over all of them, and the rate of learning there.
+SHARD_ROWS, PASS_RATE = 8192, 0.03
 BUCKETS, DIM, FILTERS, WIDTHS = 1 << 16, 8, 12, (1, 2, 3)
 #: First bytes of a word that are hashed beside the word itself (twice).
 STEMS = (6, 4)
@@ -32,6 +38,8 @@ WIDE = PARTS * DIM
 EPOCHS, RATE, SEED = 6, 0.1, 17
 #: Words of a text that are convolved at once; the maxima of the parts are joined.
 BLOCK_WORDS = 1 << 15
+#: Steps of a probability that calibration tells apart; slices of a part of the table that are averaged by themselves.
+LEVELS, SLICES = 10_000, 4
 
 #: Function words that tell languages apart.
 FUNCTION_WORDS = {
@@ -56,6 +64,17 @@ class Model:
     cuts: np.ndarray  # threshold of each language
 
 
+@dataclass
+class Sums:
+    """Sums of squared gradients of a model's parts (Adagrad); of a row of the table, their mean."""
+
+    table: np.ndarray
+    filters: list[np.ndarray]
+    bias: np.ndarray
+    out: np.ndarray
+    base: float
+
+
 def words_of(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(codes of the words, first word of each row and one more): outer punctuation is removed, words of nothing else go.
 
@@ -138,11 +157,7 @@ def _prob(x: float) -> float:
     return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
 
 
-def train(texts: list[np.ndarray], labels: np.ndarray, tune: np.ndarray, seed: int = SEED) -> Model:
-    """Fits on the texts (hashes of their words) where tune is false; calibrates where it is true.
-
-    With no row of one of the two labels the model scores every text as the labels' mean says.
-    """
+def _start(seed: int = SEED) -> tuple[Model, Sums]:
     rng = np.random.default_rng(seed)
     n_filters = FILTERS * len(WIDTHS)
     model = Model(
@@ -154,79 +169,110 @@ def train(texts: list[np.ndarray], labels: np.ndarray, tune: np.ndarray, seed: i
         cuts=np.full(len(LANGUAGES), 0.5),
     )
     model.out[n_filters // FILTERS :: 4] *= -1  # some filters speak against
+    sums = Sums(np.full((PARTS, BUCKETS), 1e-3, np.float32), [np.full_like(f, 1e-3) for f in model.filters], np.full(n_filters, 1e-3, np.float32), np.full(n_filters, 1e-3, np.float32), 1e-3)
+    return model, sums
+
+
+def _constant(rows: int, toxic: int) -> Model:
+    """The model that scores every text as the labels' mean says."""
+    model, _ = _start()
+    model.out[:] = 0
+    model.base = float(np.log((toxic + 0.5) / (rows - toxic + 0.5))) if rows else 0.0
+    return model
+
+
+def _step(model: Model, sums: Sums, h: np.ndarray, label: int, weight: float, rate: float) -> None:
+    """One step of Adagrad on one text."""
+    best, where = _maxima(model, h, True)
+    d = (_prob(_logit(model, best)) - label) * weight
+    live = best > 0
+    up = np.where(live, d * model.out, 0)
+    g = d * np.maximum(best, 0) + 1e-4 * model.out
+    sums.out += g * g
+    model.out -= rate * g / np.sqrt(sums.out)
+    sums.base += d * d
+    model.base -= rate * d / np.sqrt(sums.base)
+    if not len(h) or abs(d) < 1e-3:
+        return
+    sums.bias += up * up
+    model.bias -= rate * up / np.sqrt(sums.bias)
+    for j, width in enumerate(WIDTHS):
+        s = slice(j * FILTERS, (j + 1) * FILTERS)
+        act = np.flatnonzero(live[s])
+        if not len(act):
+            continue
+        u, at = up[s][act], where[s][act]
+        for k in range(width):
+            p = at + k
+            inside = p < len(h)
+            q, uu, aa = p[inside], u[inside], act[inside]
+            if not len(q):
+                continue
+            rows, buckets = slice(k * WIDE, (k + 1) * WIDE), _buckets(h[q])
+            e = np.concatenate([model.table[m][b] for m, b in enumerate(buckets)], 1)
+            back = model.filters[j][rows][:, aa].T * uu[:, None]
+            g = (e * uu[:, None]).T
+            sums.filters[j][rows, aa] += g * g
+            model.filters[j][rows, aa] -= rate * g / np.sqrt(sums.filters[j][rows, aa])
+            for m, b in enumerate(buckets):
+                gb = back[:, m * DIM : (m + 1) * DIM]
+                np.add.at(sums.table[m], b, (gb * gb).mean(1))
+                np.add.at(model.table[m], b, -rate * gb / np.sqrt(sums.table[m][b])[:, None])
+
+
+def _weight(rows: int, toxic: int) -> float:
+    """How much a toxic row counts beside a clean one."""
+    return float(np.sqrt((rows - toxic) / toxic))
+
+
+def learn(texts: list[np.ndarray], labels: np.ndarray, seed: int = SEED) -> tuple[Model, Sums]:
+    """Some epochs over texts (hashes of their words) of both labels."""
+    model, sums = _start(seed)
+    rng, weight = np.random.default_rng(seed), _weight(len(labels), labels.sum())
+    for epoch in range(EPOCHS):
+        for i in rng.permutation(len(texts)):
+            _step(model, sums, texts[i], labels[i], weight if labels[i] else 1.0, RATE * (1 - epoch / EPOCHS))
+    return model, sums
+
+
+def train(texts: list[np.ndarray], labels: np.ndarray, tune: np.ndarray, seed: int = SEED) -> Model:
+    """Fits on the texts (hashes of their words) where tune is false; calibrates where it is true.
+
+    With no row of one of the two labels the model scores every text as the labels' mean says.
+    """
     own = np.flatnonzero(~tune)
     if len(own) == 0 or labels[own].min() == labels[own].max():
-        model.out[:] = 0
-        model.base = float(np.log((labels.sum() + 0.5) / (len(labels) - labels.sum() + 0.5))) if len(labels) else 0.0
-        return model
-    g_table = np.full((PARTS, BUCKETS), 1e-3, np.float32)
-    g_filters = [np.full_like(f, 1e-3) for f in model.filters]
-    g_bias, g_out, g_base = np.full(n_filters, 1e-3, np.float32), np.full(n_filters, 1e-3, np.float32), 1e-3
-    weight = np.where(labels > 0, np.sqrt((labels[own] == 0).sum() / (labels[own] > 0).sum()), 1.0)
-    for epoch in range(EPOCHS):
-        rate = RATE * (1 - epoch / EPOCHS)
-        for i in rng.permutation(own):
-            h = texts[i]
-            best, where = _maxima(model, h, True)
-            d = (_prob(_logit(model, best)) - labels[i]) * weight[i]
-            live = best > 0
-            up = np.where(live, d * model.out, 0)
-            g = d * np.maximum(best, 0) + 1e-4 * model.out
-            g_out += g * g
-            model.out -= rate * g / np.sqrt(g_out)
-            g_base += d * d
-            model.base -= rate * d / np.sqrt(g_base)
-            if not len(h) or abs(d) < 1e-3:
-                continue
-            g_bias += up * up
-            model.bias -= rate * up / np.sqrt(g_bias)
-            buckets = _buckets(h)
-            for j, width in enumerate(WIDTHS):
-                s = slice(j * FILTERS, (j + 1) * FILTERS)
-                act = np.flatnonzero(live[s])
-                if not len(act):
-                    continue
-                u, at = up[s][act], where[s][act]
-                for k in range(width):
-                    p = at + k
-                    inside = p < len(h)
-                    q, uu, aa = p[inside], u[inside], act[inside]
-                    if not len(q):
-                        continue
-                    rows = slice(k * WIDE, (k + 1) * WIDE)
-                    e = np.concatenate([model.table[m][b[q]] for m, b in enumerate(buckets)], 1)
-                    back = model.filters[j][rows][:, aa].T * uu[:, None]
-                    g = (e * uu[:, None]).T
-                    g_filters[j][rows, aa] += g * g
-                    model.filters[j][rows, aa] -= rate * g / np.sqrt(g_filters[j][rows, aa])
-                    for m in range(PARTS):
-                        b, gb = buckets[m][q], back[:, m * DIM : (m + 1) * DIM]
-                        np.add.at(g_table[m], b, (gb * gb).mean(1))
-                        np.add.at(model.table[m], b, -rate * gb / np.sqrt(g_table[m][b])[:, None])
-    held = np.flatnonzero(tune)
-    if len(held):
-        scores = np.array([_prob(_logit(model, _maxima(model, texts[i]))) for i in held])
-        langs = np.array([language(texts[i]) for i in held])
-        overall = _best_cut(scores, labels[held], 0.5)
-        for k in range(len(LANGUAGES)):
-            mine = langs == k
-            enough = mine.sum() >= 50 and 0 < labels[held][mine].sum() < mine.sum()
-            model.cuts[k] = _best_cut(scores[mine], labels[held][mine], overall) if enough else overall
+        return _constant(len(labels), labels.sum())
+    model, _ = learn([texts[i] for i in own], labels[own], seed)
+    model.cuts = cuts(levels(model, ((texts[i], labels[i]) for i in np.flatnonzero(tune))))
     return model
 
 
-def _best_cut(scores: np.ndarray, labels: np.ndarray, else_: float) -> float:
-    """The threshold with fewest errors; of the gap between scores where it may lie, the middle."""
-    if not len(scores) or labels.min() == labels.max():
+def levels(model: Model, rows: Iterable[tuple[np.ndarray, int]]) -> np.ndarray:
+    """Number of rows by language, probability in steps of 1 / LEVELS, and label."""
+    counts = np.zeros((len(LANGUAGES), LEVELS + 1, 2), np.int64)
+    for h, label in rows:
+        counts[language(h), int(_prob(_logit(model, _maxima(model, h))) * LEVELS + 0.5), int(label > 0)] += 1
+    return counts
+
+
+def cuts(counts: np.ndarray) -> np.ndarray:
+    """The threshold of each language; one with few rows, or rows of one label, takes that of all rows."""
+    overall = _best_cut(counts.sum(0), 0.5)
+    return np.array([_best_cut(own, overall) if own.sum() >= 50 else overall for own in counts])
+
+
+def _best_cut(counts: np.ndarray, else_: float) -> float:
+    """The threshold with fewest errors, the highest of equals; of the gap between levels where it may lie, the middle."""
+    clean, toxic = counts.T
+    if not clean.any() or not toxic.any():
         return else_
-    order = np.argsort(-scores, kind="stable")
-    s, y = scores[order], labels[order]
-    wrong = np.concatenate([[y.sum()], y.sum() - np.cumsum(y) + np.cumsum(1 - y)])
-    edge = np.concatenate([[True], s[1:] != s[:-1], [True]])
-    wrong = np.where(edge, wrong, len(y) + 1)
-    k = int(wrong.argmin())
-    above, below = (s[k - 1] if k else 1.0), (s[k] if k < len(s) else 0.0)
-    return float(np.clip((above + below) / 2, 0.02, 0.98))
+    below = lambda c: np.concatenate([[0], np.cumsum(c)])
+    wrong = below(toxic) + clean.sum() - below(clean)  # from level k on counts as toxic
+    k = len(wrong) - 1 - int(wrong[::-1].argmin())
+    held = np.flatnonzero(clean + toxic)
+    high, low = held[held >= k], held[held < k]
+    return float(np.clip(((high[0] if len(high) else LEVELS) + (low[-1] if len(low) else 0)) / 2 / LEVELS, 0.02, 0.98))
 
 
 def score(model: Model, hashes: np.ndarray) -> float:
@@ -240,40 +286,155 @@ def fold(ident):
     return F.pmod(F.crc32(F.coalesce(ident.cast("string"), F.lit("")).cast("binary")), F.lit(5))
 
 
-def fit(docs: DataFrame, labels: DataFrame, text: str = "text", ident: str = "doc_id", label: str = "toxic", rows: int = SAMPLE_ROWS, most_bytes: int = SAMPLE_BYTES) -> Model:
-    """A model from at most `rows` labelled rows outside the held-out fold (fold 0), of `most_bytes` together.
+def fit(docs: DataFrame, labels: DataFrame, text: str = "text", ident: str = "doc_id", label: str = "toxic", rows: int = START_ROWS, most_bytes: int = START_BYTES, shard_rows: int = SHARD_ROWS) -> Model:
+    """A model from all labelled rows outside the held-out fold (fold 0), whole texts.
+
+    Folds 2 to 4 train, fold 1 calibrates. Rows with a null label are left out; labels without a
+    document don't count; of several labels of an identifier the larger counts, of several texts
+    the first in order.
 
-    The rows are those documents with the smallest xxhash64 of the identifier; whole texts are
-    read. Fold 1 calibrates, folds 2 to 4 train. Rows with a null label are left out; labels
-    without a document don't count; of several labels of an identifier the larger counts, of
-    several texts the first in order. A row that doesn't fit into what is left of the bytes is
-    passed over. One task holds the sample and trains; the driver gets the model.
+    Training starts in one task, with some epochs over at most `rows` rows of `most_bytes` together:
+    those with the smallest xxhash64 of the identifier, a quarter of them toxic ones if there are
+    so many; a row that doesn't fit into what is left of the bytes is passed over there. Then every row
+    trains: shards of about `shard_rows` go on from that start, each by itself, and the model takes the mean
+    of their changes. Thresholds come from counts over all rows of fold 1. The identifier alone
+    deals the rows out, so that the layout of the input and the cluster don't matter.
     """
-    bounded_batches(docs.sparkSession)
+    spark = bounded_batches(docs.sparkSession)
     marks = labels.select(labels[ident].alias("_tx_id"), labels[label].cast("int").alias("_tx_y")).where(F.col("_tx_y").isNotNull() & (fold(F.col("_tx_id")) != 0))
-    marks = marks.groupBy("_tx_id").agg(F.max("_tx_y").alias("_tx_y")).join(docs.select(docs[ident].alias("_tx_id")), "_tx_id", "left_semi")
-    marks = marks.orderBy(F.xxhash64("_tx_id"), "_tx_id").limit(rows)
-    both = docs.select(docs[ident].alias("_tx_id"), docs[text].alias("_tx_text")).join(F.broadcast(marks), "_tx_id")  # at most `rows` rows
+    marks = marks.groupBy("_tx_id").agg(F.max("_tx_y").alias("_tx_y"))
+    both = docs.select(docs[ident].alias("_tx_id"), docs[text].alias("_tx_text")).where(fold(F.col("_tx_id")) != 0).join(marks, "_tx_id")
     both = both.groupBy("_tx_id").agg(F.min("_tx_text").alias("_tx_text"), F.max("_tx_y").alias("_tx_y"))
     hashed = both.select("_tx_id", "_tx_y", fold(F.col("_tx_id")).alias("fold"), "_tx_text").mapInArrow(_hash_batches, "id string, y int, fold int, h binary")
-    hashed = materialise(hashed.withColumn("place", F.xxhash64("id")), "toxicity-sample")
+    hashed = materialise(hashed.withColumn("place", F.xxhash64("id")), "toxicity-rows", compression="zstd")
+    drop_shuffles(spark)
+    try:
+        return _fit(hashed, rows, most_bytes, shard_rows)
+    finally:
+        discard(hashed)
+
+
+def _fit(hashed: DataFrame, rows: int, most_bytes: int, shard_rows: int) -> Model:
+    """As fit, from rows (id, y, fold, h, place)."""
+    spark, is_toxic = hashed.sparkSession, F.col("y") > 0
+    own = hashed.where("fold > 1")
+    n, toxic, n_all, toxic_all = hashed.agg(F.count_if(F.col("fold") > 1), F.count_if((F.col("fold") > 1) & is_toxic), F.count(F.lit(1)), F.count_if(is_toxic)).first()
+    if toxic in (0, n):
+        return _constant(n_all, toxic_all)
+    some = max(1, min(toxic, rows // 4), rows - (n - toxic))
+    last = [own.where(which).select("place").orderBy("place").limit(max(1, k)).agg(F.max("place")).first()[0] for which, k in ((is_toxic, some), (~is_toxic, rows - some))]
+
+    def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        texts, y, left = [], [], most_bytes
+        for h, label in _rows(batches):
+            if h.nbytes <= left:
+                left -= h.nbytes
+                texts.append(h)
+                y.append(label)
+        both = bool(y) and 0 < sum(y) < len(y)
+        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(learn(texts, np.array(y, np.int64)) if both else _start())], pa.binary())], names=["model"])
+        release()
 
-    def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        texts, y, tune, left = [], [], [], most_bytes
-        for batch in batches:
-            for h, own, part in zip(batch.column(0), batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
-                h = np.frombuffer(h.as_py(), np.uint64)
-                if h.nbytes <= left:
-                    left -= h.nbytes
-                    texts.append(h)
-                    y.append(own)
-                    tune.append(part == 1)
-        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(train(texts, np.array(y, np.int64), np.array(tune, bool)))], pa.binary())], names=["model"])
+    ordered = own.where(F.col("place") <= F.when(is_toxic, last[0]).otherwise(last[1])).repartition(1).sortWithinPartitions("place", "id").select("h", "y")  # about `rows` rows
+    model, sums = pickle.loads(ordered.mapInArrow(first, "model binary").first()["model"])
+
+    shards, weight, begin = math.ceil(n / shard_rows), _weight(n, toxic), spark.sparkContext.broadcast((model, sums))
+
+    def go_on(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        old, old_sums = begin.value
+        new, new_sums = copy.deepcopy(begin.value)
+        n = 0
+        for h, label in _rows(batches):
+            _step(new, new_sums, h, label, weight if label else 1.0, PASS_RATE)
+            n += 1
+        if n:
+            yield from _changes(old, old_sums, new, new_sums, n, TaskContext.get().partitionId())
         release()
 
-    ordered = hashed.repartition(1).sortWithinPartitions("place", "id").select("h", "y", "fold")  # at most `rows` rows
-    got = ordered.mapInArrow(learn, "model binary").first()
-    return pickle.loads(got["model"]) if got else train([], np.zeros(0, np.int64), np.zeros(0, bool))
+    dealt = own.select("h", "y", "place", "id", F.pmod(F.xxhash64("place"), F.lit(shards)).cast("int").alias("shard"))
+    dealt = dealt.repartitionById(shards, F.col("shard")).sortWithinPartitions("place", "id").select("h", "y")
+    changes = dealt.mapInArrow(go_on, "slice int, shard int, n long, at binary, change binary")
+    slices = changes.repartitionById(PARTS * SLICES + 1, F.col("slice")).sortWithinPartitions("slice", "shard")
+    for row in slices.mapInArrow(_mean_changes, "slice int, at binary, change binary").toLocalIterator():
+        change = np.frombuffer(row["change"], np.float32)
+        if row["slice"] < PARTS * SLICES:
+            model.table.reshape(-1, DIM)[np.frombuffer(row["at"], np.int32)] += change.reshape(-1, DIM)
+        else:
+            _put_dense(model, _dense(model) + change)
+    begin.destroy()
+    drop_shuffles(spark)
+
+    shared = spark.sparkContext.broadcast(model)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = levels(shared.value, _rows(batches))
+        at = np.flatnonzero(counts)
+        yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(counts.ravel()[at], pa.int64())], names=["at", "n"])
+        release()
+
+    counts = np.zeros((len(LANGUAGES), LEVELS + 1, 2), np.int64)
+    for row in hashed.where("fold = 1").select("h", "y").mapInArrow(count, "at long, n long").groupBy("at").agg(F.sum("n").alias("n")).collect():  # at most as many as counts has
+        counts.ravel()[row["at"]] = row["n"]
+    model.cuts = cuts(counts)
+    return model
+
+
+def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, int]]:
+    """(hashes, label 0 or 1) of rows (h, y), one at a time."""
+    for batch in batches:
+        for h, y in zip(batch.column(0), batch.column(1).to_pylist(), strict=True):
+            yield np.frombuffer(h.as_py(), np.uint64), int(y > 0)
+
+
+def _dense(model: Model) -> np.ndarray:
+    return np.concatenate([*(f.ravel() for f in model.filters), model.bias, model.out, [model.base]]).astype(np.float32)
+
+
+def _put_dense(model: Model, values: np.ndarray) -> None:
+    *parts, base = np.split(values, np.cumsum([*(f.size for f in model.filters), len(model.bias), len(model.out)]))
+    model.filters = [p.reshape(f.shape) for p, f in zip(parts, model.filters, strict=False)]
+    model.bias, model.out, model.base = parts[-2], parts[-1], float(base[0])
+
+
+def _changes(old: Model, old_sums: Sums, new: Model, new_sums: Sums, n: int, shard: int) -> Iterator[pa.RecordBatch]:
+    """What a shard of n rows changed: the rows of the table that it touched, in slices, and all the rest."""
+    touched = np.flatnonzero((new_sums.table != old_sums.table).ravel())
+    change = new.table.reshape(-1, DIM)[touched] - old.table.reshape(-1, DIM)[touched]
+    ends = np.searchsorted(touched, np.arange(PARTS * SLICES + 1) * (BUCKETS // SLICES))
+    out = [(k, touched[a:b].astype(np.int32).tobytes(), change[a:b].tobytes()) for k, (a, b) in enumerate(zip(ends[:-1], ends[1:], strict=True)) if a < b]
+    out.append((PARTS * SLICES, b"", (_dense(new) - _dense(old)).tobytes()))
+    slices, at, values = zip(*out, strict=True)
+    same = lambda x, kind: pa.array([x] * len(out), kind)
+    yield pa.RecordBatch.from_arrays([pa.array(slices, pa.int32()), same(shard, pa.int32()), same(n, pa.int64()), pa.array(at, pa.binary()), pa.array(values, pa.binary())], names=["slice", "shard", "n", "at", "change"])
+
+
+def _mean_changes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows of _changes, in order of slice and shard, to one of each slice: the mean over the shards that touched a row of the table, and by rows for the rest."""
+    now, total, seen = None, None, None
+
+    def out():
+        at = np.flatnonzero(seen) if now < PARTS * SLICES else np.zeros(0, np.int64)
+        mean = total[at] / seen[at, None] if now < PARTS * SLICES else total / seen
+        first = now * (BUCKETS // SLICES)
+        return pa.RecordBatch.from_arrays([pa.array([now], pa.int32()), pa.array([(at + first).astype(np.int32).tobytes()], pa.binary()), pa.array([mean.astype(np.float32).tobytes()], pa.binary())], names=["slice", "at", "change"])
+
+    for batch in batches:
+        for k, n, at, change in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist(), batch.column(3), batch.column(4), strict=True):
+            change = np.frombuffer(change.as_py(), np.float32).astype(np.float64)
+            if k != now:
+                if now is not None:
+                    yield out()
+                now, total, seen = (k, np.zeros((BUCKETS // SLICES, DIM)), np.zeros(BUCKETS // SLICES)) if k < PARTS * SLICES else (k, np.zeros(len(change)), 0)
+            if k < PARTS * SLICES:
+                at = np.frombuffer(at.as_py(), np.int32) - k * (BUCKETS // SLICES)
+                total[at] += change.reshape(-1, DIM)
+                seen[at] += 1
+            else:
+                total += n * change
+                seen += n
+    if now is not None:
+        yield out()
+    release()
 
 
 def _hash_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

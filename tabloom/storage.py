@@ -25,15 +25,15 @@ def shared_dir(spark: SparkSession) -> str:
     return where.rstrip("/")
 
 
-def materialise(df: DataFrame, name: str) -> DataFrame:
-    """Write df as Parquet into the shared folder and read it back.
+def materialise(df: DataFrame, name: str, **options: str) -> DataFrame:
+    """Write df as Parquet, with the writer's options, into the shared folder and read it back.
 
     Lineage ends there, so a lost executor costs a re-read and not a recomputation. The files stay
     until discard(), discard_all() or the end of scratch(), as results are read from them.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/tabloom/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     _written.append(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._tabloom_path = path

@@ -313,6 +313,27 @@ def test_toxicity_passes_over_a_text_that_does_not_fit(spark):
         assert min(toxic) > max(clean)
 
 
+def test_toxicity_learns_from_every_labelled_row(spark):
+    """Words that only rows outside the start use are learned too, and thresholds count every row of fold 1."""
+    rng = random.Random(3)
+    late = set(range(3000))  # rows that a start of 300 doesn't hold, whether identifiers are hashed as text or not
+    for key in ("id", "string(id)"):
+        late -= {r[0] for r in spark.sql(f"SELECT id FROM range(3000) ORDER BY xxhash64({key}) LIMIT 700").collect()}
+    vocabulary = ["".join(rng.choice("abcdefgh") for _ in range(5)) for _ in range(300)]
+
+    def words(i):
+        own = [rng.choice(vocabulary) for _ in range(20)]
+        if i % 3 == 0:
+            own[rng.randrange(20)] = ("rotten" if i % 2 else "nasty") if i in late else "vile"
+        return " ".join(own)
+
+    docs = spark.createDataFrame([(i, words(i)) for i in range(3000)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i % 3 == 0)) for i in range(3000)], "doc_id long, toxic int")
+    out = score_documents(docs, fit(docs, labels, rows=300)).where("held_out").collect()
+    wrong = sum(r["predicted"] != (r["doc_id"] % 3 == 0) for r in out)
+    assert len(out) > 500 and wrong <= 0.03 * len(out), f"{wrong} of {len(out)}"
+
+
 EMPTY = {
     "exact": lambda d: exact_dedup(d), "near": lambda d: near_dedup(d), "tokens": lambda d: token_counts(d, JSON), "secrets": lambda d: secret_spans(d),
     "mix": lambda d: mix(d), "mixed": lambda d: mixed_documents(d), "mpeg": lambda d: mpeg_column(d), "shards": lambda d: shard_by_bytes(d),
