@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded_batches, drop_shuffles, materialise, mix64, release, utf8_column
+from .common import bounded_batches, discard, drop_shuffles, materialise, mix64, release, utf8_column
 from .induced_sort import MEMORY_BYTES, repeated_starts
 
 LENGTH, PASSAGE = 400, 288
@@ -111,6 +111,7 @@ def _segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 owners, columns, digests, size = [], [], [], 0
         if size:
             yield out()
+    release()
 
 
 def _fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -123,19 +124,20 @@ def _fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         h, g, n, many, spread, place = (lists.field(k) for k in range(6))
         s = place.to_numpy()
         begin, end = s >> 20, (s >> 20) + (s >> 10 & 1023)
-        pieces, at, raw = [], -1, b""
-        for k, (x, y) in enumerate(zip(begin.tolist(), end.tolist(), strict=True)):
-            if owner[k] != at:
-                at = owner[k]
-                raw = texts[int(at)].as_py().encode()
-            pieces.append(raw[x : y + LENGTH])
-        for x in range(0, len(pieces), 20_000):
-            part = lambda c: c.slice(x, 20_000)
-            own = pa.array(owner[x : x + 20_000])
+        at, raw = -1, b""
+        for first in range(0, len(owner), 5000):
+            pieces, some = [], slice(first, first + 5000)
+            for k, x, y in zip(owner[some].tolist(), begin[some].tolist(), end[some].tolist(), strict=True):
+                if k != at:
+                    at, raw = k, texts[k].as_py().encode()
+                pieces.append(raw[x : y + LENGTH])
+            part = lambda c, first=first: c.slice(first, 5000)
+            own = pa.array(owner[some])
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0).take(own), batch.column(1).take(own), part(h), part(g), part(n), part(many), part(spread), part(place), pa.array(pieces[x : x + 20_000], pa.binary())],
+                [batch.column(0).take(own), batch.column(1).take(own), part(h), part(g), part(n), part(many), part(spread), part(place), pa.array(pieces, pa.binary())],
                 names=["r", "q", "h", "g", "n", "many", "spread", "s", "piece"],
             )
+    release()
 
 
 def may_share(anchor: list[int], place: list[int], pieces: list[bytes]) -> np.ndarray:
@@ -258,13 +260,18 @@ def suffix_dedup(docs: DataFrame, text: str = "text", ident: str = "doc_id", wit
     lanes = [F.conv(F.substring("rid", k, 15), 16, 10).cast("long").alias(c) for k, c in ((1, "r"), (16, "q"))]
     given = given.select("id", "text", *lanes)
     segments = given.where(F.octet_length("text") >= PASSAGE).select("r", "q", "text").mapInArrow(_segments, "r long, q long, h long, g long, s long")
-    segments = materialise(segments, "suffix-segments")
+    every = materialise(segments, "suffix-segments")
+    # Segments whose anchor is alone go first, by counts of the anchors only, so that no wide row of theirs is dealt out.
+    met = materialise(every.groupBy("h").agg(F.count(F.lit(1)).alias("all")).where("all > 1").select("h"), "suffix-anchors")
+    segments = materialise(every.join(met, "h", "left_semi"), "suffix-met")
+    discard(every, met)
+    drop_shuffles(docs.sparkSession)
 
     # Columns of fixed width, so that groups are hashed; a group's first row gives all of r, q and s.
     spread = F.min("r") != F.max("r")  # 60 bits tell the documents of one segment apart
     classes = segments.groupBy("h", "g").agg(F.count(F.lit(1)).alias("many"), spread.alias("spread"), *[F.first(c).alias(c) for c in ("r", "q", "s")])
-    anchor = classes.groupBy("h").agg(F.count(F.lit(1)).alias("n"), F.sum("many").alias("all")).where("all > 1")
-    classes = materialise(classes.join(anchor.drop("all"), "h"), "suffix-classes")
+    anchor = classes.groupBy("h").agg(F.count(F.lit(1)).alias("n"))
+    classes = materialise(classes.join(anchor, "h"), "suffix-classes")
     drop_shuffles(docs.sparkSession)
     # All windows of a segment that occurs several times repeat, in each of its places.
     often = classes.where("many > 1").select("h", "g", (F.col("spread").cast("int") * 2 + 1).alias("kind"))
@@ -285,7 +292,11 @@ def suffix_dedup(docs: DataFrame, text: str = "text", ident: str = "doc_id", wit
     rows = rows.withColumn("shard", F.pmod(F.xxhash64("h", F.least("own", "other"), F.greatest("own", "other")), F.lit(shards)))
     rows = rows.select("shard", "h", "g", "r", "q", "many", "spread", "s", "piece").repartitionByRange(shards, "shard")  # one shard a task, which hashing wouldn't give
     some = rows.sortWithinPartitions("shard", "h", "g").mapInArrow(partial(_sort_shards, memory), "r long, q long, x long, y long, kind int")
-    starts = whole.union(some).groupBy("r", "q").agg(F.collect_set(F.struct("x", "y", "kind")).alias("starts"))  # no more than a text has windows
+    # What repeats is written before the texts are dealt out again, so that the pieces are gone by then.
+    found = materialise(whole.union(some), "suffix-starts")
+    discard(segments, classes, pieces)
+    drop_shuffles(docs.sparkSession)
+    starts = found.groupBy("r", "q").agg(F.collect_set(F.struct("x", "y", "kind")).alias("starts"))  # no more than a text has windows
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -306,6 +317,7 @@ def suffix_dedup(docs: DataFrame, text: str = "text", ident: str = "doc_id", wit
                 out.append((*row, body, [f"{a}:{b}" for a, b in spans]) if with_text else row)
             columns = [pa.array([r[k] for r in out], t) for k, t in enumerate(kinds)]
             yield pa.RecordBatch.from_arrays([batch.column(0), *columns], names=["id", *names])
+        release()
 
     names = ["n_bytes", "n_removed", "n_spans", "kept_sha256", "n_passage_bytes", "n_passages", "kept", "spans"][: 8 if with_text else 6]
     kinds = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.binary(), pa.list_(pa.string())][: len(names)]

@@ -6,11 +6,13 @@ import zlib
 from collections import Counter, defaultdict
 
 import public_tokenizers as P
+import pyarrow as pa
 import pytest
 import sentencepiece
 import tiktoken
 from tokenizers import Tokenizer
 
+from tabloom import storage
 from tabloom.llm import near_dedup as near_dedup_module
 from tabloom.llm import queries as Q
 from tabloom.llm import sharding
@@ -22,7 +24,7 @@ from tabloom.llm.mpeg_audio import mpeg_column
 from tabloom.llm.near_dedup import near_dedup
 from tabloom.llm.secrets import secret_spans
 from tabloom.llm.sharding import shard_by_bytes
-from tabloom.llm.suffix_dedup import suffix_dedup
+from tabloom.llm.suffix_dedup import _fetch, suffix_dedup
 from tabloom.llm.token_count import token_counts
 from tabloom.llm.toxicity import fit, score_documents, without_toxic
 
@@ -291,6 +293,24 @@ def test_suffix_dedup_of_many_short_passages(spark):
     assert got == Counter((i, *w, n) for (i, _), w, n in zip(rows, want, passages, strict=True))
 
 
+def test_suffix_dedup_keeps_only_the_table_that_its_result_reads(docs, rows):
+    before = set(storage._written)
+    out = suffix_dedup(docs)
+    left = [p.rsplit("/", 1)[1].rsplit("-", 1)[0] for p in storage._written if p not in before]
+    assert left == ["suffix-starts"] and out.count() == len(rows)
+
+
+def test_suffix_dedup_hands_pieces_on_in_small_batches():
+    text = "".join(random.Random(2).choice("abcdefgh") for _ in range(20_000))
+    wanted = [{"h": k, "g": k, "n": 1, "many": 1, "spread": False, "s": k << 20 | 3 << 10} for k in range(12_000)]
+    kind = pa.list_(pa.struct([("h", pa.int64()), ("g", pa.int64()), ("n", pa.int64()), ("many", pa.int64()), ("spread", pa.bool_()), ("s", pa.int64())]))
+    batch = pa.RecordBatch.from_arrays([pa.array([1, 2, 3]), pa.array([4, 5, 6]), pa.array([text, "", text[::-1]]), pa.array([wanted, [], wanted[:10]], kind)], names=["r", "q", "text", "wanted"])
+    out = list(_fetch(iter([batch])))
+    got = [tuple(x.values()) for b in out for x in b.to_pylist()]
+    want = [(r, q, *w.values(), t[k : k + 403].encode()) for r, q, t, ws in ((1, 4, text, wanted), (3, 6, text[::-1], wanted[:10])) for k, w in enumerate(ws)]
+    assert got == want and max(b.nbytes for b in out) < 3 << 20
+
+
 def test_toxicity(spark, docs, rows):
     labels = spark.createDataFrame([(k, 1, int(k == 19)) for k in range(1, 140)] + [(None, 0, 1), (3, None, None)], "doc_id long, quality int, toxic int")
     model = fit(docs, labels)
